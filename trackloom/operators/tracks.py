@@ -14,7 +14,7 @@ def track_distance(
     epoch: str = "time",
     lat: str = "lat",
     lon: str = "lon",
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = 600,
 ) -> DataFrame:
     """Kilometres flown and positions per track: the sum of steps between reports.
 

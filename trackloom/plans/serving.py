@@ -48,7 +48,7 @@ def serving_job(
         if layers[layer] is not None:
             counts = (
                 layers[layer]
-                .groupBy(F.col("_metadata.file_path").alias("file_path"))
+                .groupBy(F.col("_source_file").alias("file_path"))
                 .agg(F.count(F.lit(1)).alias("record_count"))
             )
             rows = ledger_rows(listing, layer, counts)

@@ -9,7 +9,6 @@ from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import reference_data as ref
 from ..schemas import fields
@@ -77,9 +76,25 @@ def exact_routes(spark: SparkSession) -> DataFrame:
 
 
 def route_rules(spark: SparkSession) -> DataFrame:
-    """Number-range rules with carrier and airport attributes of both ends."""
-    from ..operators.lookup import with_airport_attributes
+    """Number-range rules with carrier and airport attributes of both ends.
 
-    carriers = airlines(spark).withColumn("airline_prefix", F.col("airline_icao"))
-    ruled = number_range_rules(spark).join(carriers, "airline_prefix", "left")
-    return with_airport_attributes(ruled, airports(spark))
+    Put together from the fixed values, not by joins: a join of local relations has no
+    exact size, and the planner would then shuffle the reports by their few prefixes.
+    """
+    carriers = {icao: (name, iata, icao) for icao, name, iata in ref.AIRLINES}
+    places = {code: (code, city, name, lat, lon) for code, name, city, lat, lon in ref.AIRPORTS}
+    rows = [
+        (rank, prefix, low, high, *carriers[prefix], *places[origin], *places[destination])
+        for rank, (prefix, low, high, origin, destination) in enumerate(ref.NUMBER_RANGE_RULES)
+    ]
+    ends = ", ".join(
+        f"{end}_code string, {end}_city string, {end}_airport string, "
+        f"{end}_lat double, {end}_lon double"
+        for end in ("origin", "destination")
+    )
+    return literal_rows(
+        spark,
+        rows,
+        "rule_rank int, airline_prefix string, min_flight_num int, max_flight_num int, "
+        f"airline_name string, airline_iata string, airline_icao string, {ends}",
+    )

@@ -7,7 +7,7 @@ import zlib
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -163,8 +163,14 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def file_path() -> Column:
+    """Path of the row's file as listings show it; the metadata column holds it encoded."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    return df.withColumn("_source_file", file_path())
 
 
 def new_files(listing: DataFrame, ledger: DataFrame, key: str = "path", ledger_key: str = "file_path") -> DataFrame:
@@ -198,7 +204,7 @@ def with_line_order(df: DataFrame) -> DataFrame:
     """
     return df.withColumns(
         {
-            "_file": F.col("_metadata.file_path"),
+            "_file": file_path(),
             "_block": F.col("_metadata.file_block_start"),
             "_line": F.monotonically_increasing_id(),
         }

@@ -21,7 +21,7 @@ def read_logs(
     if since:
         reader = reader.option("modifiedAfter", since)
     lines = with_line_order(reader.text(root))
-    path = F.url_decode(F.col("_file"))
+    path = F.col("_file")
 
     def part(name):
         return F.nullif(F.regexp_extract(path, rf"{name}=([^/]+)", 1), F.lit(""))
