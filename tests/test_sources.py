@@ -267,3 +267,30 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         shared_root(Session)
+
+
+def test_route_files(spark, tmp_path):
+    from trackloom.sources import routes
+
+    exact = tmp_path / "exact.csv"
+    exact.write_text("callsign,origin,destination,airline\nigo1 ,del,bom,x\nIGO2,ccu,del,x\nIGO1,blr,maa,x\n")
+    got = {r.callsign: (r.origin_code, r.destination_code) for r in routes.read_exact_routes(spark, str(exact)).collect()}
+    assert got == {"IGO1": ("BLR", "MAA"), "IGO2": ("CCU", "DEL")}
+    plan = tmp_path / "schedule.csv"
+    plan.write_text("FlightNo, Origin ,Destination,ScheduledDepartureTime\n6E1,DEL,MAA,1\n6E1,BOM,DEL,2\nZZ2,DEL,BOM,3\n")
+    read = lambda **o: {r.callsign: r.origin_code for r in routes.read_route_schedule(spark, str(plan), **o).collect()}
+    assert read() == {"IGO1": "BOM", "UNK2": "DEL"}
+    assert read(last_wins=True) == {"IGO1": "BOM", "UNK2": "DEL"}
+    assert read(known_only=True) == {"IGO1": "BOM"}
+    plan.write_text("FlightNo,Origin,Destination\n6E1,BOM,DEL\n6E1,DEL,MAA\n")
+    assert read(last_wins=True) == {"IGO1": "DEL"} and read() == {"IGO1": "BOM"}
+    assert "callsign" in routes.schedule_or_rules(spark, str(plan)).columns
+    assert "min_flight_num" in routes.schedule_or_rules(spark, str(tmp_path / "none.csv")).columns
+
+
+def test_counting_while_writing_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "a int, year int, month int")
+    for i, frame in enumerate((empty, empty.filter("a > 1"), spark.range(5).filter("false"))):
+        out, seen = sinks.counted(frame)
+        out.write.parquet(str(tmp_path / str(i)))
+        assert seen.get["rows"] == 0

@@ -198,10 +198,11 @@ CTES = {
         left join live_airports d on s.destination_code = d.code""",
     "primary_routes": """
         select callsign, origin_code, destination_code from (
-            select 'IGO' || num as callsign, origin_code, destination_code,
-                   row_number() over (partition by 'IGO' || num
-                       order by flight_no desc, origin_code desc, destination_code desc) as rn
-            from coded where origin_code is not null and flight_no like '6E%') where rn = 1""",
+            select airline_prefix || num as callsign, origin_code, destination_code,
+                   row_number() over (partition by airline_prefix || num
+                       order by flight_no desc, origin_code desc nulls last,
+                                destination_code desc nulls last) as rn
+            from coded) where rn = 1""",
     "near": f"""
         select a.event_id, s.code, {KM} as km,
                row_number() over (partition by a.event_id order by {KM}, s.code) as rn
@@ -480,6 +481,20 @@ CHECKS = {
                r.destination_code, r.origin_city, r.origin_airport, r.origin_lat, r.origin_lon,
                r.destination_city, r.destination_airport, r.destination_lat, r.destination_lon
         from parts p join schedule_routes r on p.callsign = r.callsign""",
+    "enrich_callsign": f"""
+        select event_id, callsign, airline_icao as airline_prefix, num as flight_number,
+               origin_code, destination_code, airline_name, airline_iata, airline_icao
+        from (select t.event_id, t.callsign, n.num, a.*, r.origin_code, r.destination_code,
+                     row_number() over (partition by t.event_id order by r.rule_rank) as rn
+              from telemetry t
+              left join (select event_id as id, try_cast(nullif(regexp_replace(
+                             callsign, '[^0-9]', '', 'g'), '') as int) as num from telemetry) n
+                on t.event_id = n.id
+              left join airlines a
+                on substr({CLEAN.format(c='t.callsign')}, 1, 3) = a.airline_icao
+              left join rules r
+                on substr({CLEAN.format(c='t.callsign')}, 1, 3) = r.airline_prefix
+               and n.num between r.min_flight_num and r.max_flight_num) where rn = 1""",
     "enrich_range_all": """
         select event_id, airline_prefix, flight_number, rule_rank, origin_code, destination_code
         from rule_hits""",

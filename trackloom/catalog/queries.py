@@ -419,15 +419,23 @@ def enrich_range_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _primary_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Route rows as a CSV gives them; the latest order of a call sign wins."""
-    rows = views.schedule(spark, sf_dir).select(
-        F.concat(F.lit("igo"), fn.trailing_digits("FlightNo"), F.lit(" ")).alias("callsign"),
+    """The schedule as a route CSV gives it; the highest flight number of a call sign wins."""
+    schedule = views.schedule(spark, sf_dir).withColumnRenamed("FlightNo", "flight_no")
+    coded = lookup.schedule_carrier(schedule, dims.schedule_carriers(spark))
+    code = fn.make_callsign("airline_prefix", fn.trailing_digits("flight_no"))
+    rows = coded.select(
+        F.concat(F.lower(code), F.lit(" ")).alias("callsign"),
         F.col("Origin").alias("origin"),
         F.col("Destination").alias("destination"),
-        "FlightNo",
+        "flight_no",
     )
-    complete = rows.filter(F.col("origin").isNotNull()).filter(F.col("FlightNo").startswith("6E"))
-    return lookup.exact_route_table(complete, ["FlightNo"])
+    return lookup.exact_route_table(rows, ["flight_no"])
+
+
+@query
+def enrich_callsign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = views.telemetry(spark, sf_dir).select("event_id", "callsign")
+    return lookup.enrich_callsign(reports, dims.airlines(spark), dims.number_range_rules(spark))
 
 
 @query

@@ -31,7 +31,7 @@ _CARRIER = (
 TELEMETRY = f"""
 select event_id,
        'a' || lpad(cast(user_id as varchar(20)), 5, '0') as icao24,
-       {{epoch}} as time,
+       t as time,
        case when event_id % 97 = 0 then null
             when event_id % 5 = 0 then lower(cs) || '  ' else cs end as callsign,
        case when event_id % 89 = 0 then null
@@ -46,9 +46,8 @@ select event_id,
        event_type = 'click' as spi,
        case when event_id % 11 = 0 then null
             else lpad(cast(event_id % 50 as varchar(20)), 4, '0') end as squawk,
-       cast({{epoch}} as double) as lastposupdate,
-       cast({{epoch}} as double) + 1 as lastcontact
-from (select e.*, {_CARRIER.format(u='user_id')}
+       cast(t as double) as lastposupdate, cast(t as double) + 1 as lastcontact
+from (select e.*, {{epoch}} as t, {_CARRIER.format(u='user_id')}
              || cast(100 + (user_id * 7 + (event_id % 2) * 11) % 900 as varchar(20)) as cs
       from {{events}} e) x
 """

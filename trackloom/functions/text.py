@@ -1,8 +1,7 @@
 """Call signs, flight numbers, codes and route texts."""
 
+import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +14,12 @@ def clean_code(c: Column | str) -> Column:
 
 
 def has_prefix(c: Column | str, prefixes: Sequence[str]) -> Column:
-    """True where the text starts with any of ``prefixes``; null stays null."""
-    text = as_column(c)
-    return reduce(or_, [text.startswith(p) for p in dict.fromkeys(prefixes)])
+    """True where the text starts with any of ``prefixes``; null stays null.
+
+    One pattern, not one test per prefix: the text is often an expression, which every
+    test would evaluate again.
+    """
+    return as_column(c).rlike("^(?:" + "|".join(map(re.escape, dict.fromkeys(prefixes))) + ")")
 
 
 def first_of(*columns: Column | str) -> Column:
@@ -50,8 +52,8 @@ def make_callsign(prefix: Column | str, number: Column | str) -> Column:
 
 def known_prefix(c: Column | str, prefixes: Sequence[str]) -> Column:
     """The first of ``prefixes`` that the text starts with, else null."""
-    text = as_column(c)
-    return F.coalesce(*[F.when(text.startswith(p), F.lit(p)) for p in prefixes])
+    any_of = "|".join(re.escape(p) for p in prefixes)
+    return F.nullif(F.regexp_extract(as_column(c), f"^({any_of})", 1), F.lit(""))
 
 
 def airline_prefix(c: Column | str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import reference_data as ref
 from ..functions import (
     airline_iata,
+    all_digits,
     clean_code,
     flight_number,
     known_prefix,
@@ -101,16 +102,19 @@ def route_schedule(
     carriers: DataFrame,
     airports: DataFrame,
     known_only: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """A published schedule (``FlightNo, Origin, Destination``) as routes by call sign.
 
     Self loops and incomplete rows are dropped. Of several rows for one call sign the
     smallest (flight number, origin, destination) stays, so the result does not
-    depend on file order. ``known_only`` also drops carriers that are not listed and
-    flight numbers without digits at the end.
+    depend on file order; with ``order`` the last row in that order stays instead.
+    ``known_only`` also drops carriers that are not listed and flight numbers without
+    digits at the end.
     """
     rows = without_self_loops(
         schedule.select(
+            *order,
             F.col("FlightNo").alias("flight_no"),
             F.col("Origin").alias("origin_code"),
             F.col("Destination").alias("destination_code"),
@@ -124,8 +128,9 @@ def route_schedule(
     )
     if known_only:
         coded = coded.filter(F.col("airline_prefix") != ref.UNKNOWN_CARRIER[2])
+    row = F.struct(*order, "flight_no", "origin_code", "destination_code")
     one = coded.groupBy("callsign", "airline_iata", "airline_name", "airline_prefix").agg(
-        F.min(F.struct("flight_no", "origin_code", "destination_code")).alias("r")
+        (F.max(row) if order else F.min(row)).alias("r")
     )
     # a call sign belongs to one carrier, so this is one row per call sign
     return with_airport_attributes(
@@ -159,6 +164,24 @@ def with_callsign_parts(
     )
 
 
+def enrich_callsign(
+    df: DataFrame, airlines: DataFrame, rules: DataFrame, callsign: str = "callsign"
+) -> DataFrame:
+    """Carrier, route and number from the call sign alone; keeps every row.
+
+    The number is made of all digits. ``airlines`` gives the known prefixes; a prefix
+    without rules still names the carrier.
+    """
+    code = clean_code(callsign)
+    parts = df.withColumns(
+        {"airline_prefix": F.substring(code, 1, 3), "flight_number": all_digits(callsign)}
+    )
+    routed = enrich_by_rules(parts, rules).drop("rule_rank")
+    named = with_airline_attributes(routed, airlines)
+    known = F.when(F.col("airline_icao").isNotNull(), F.col("airline_prefix"))
+    return named.withColumn("airline_prefix", known)
+
+
 def enrich_exact(df: DataFrame, routes: DataFrame, callsign: str = "callsign") -> DataFrame:
     """Adds the columns of a route table with one row per call sign; keeps every row."""
     taken = set(df.columns) - {callsign}

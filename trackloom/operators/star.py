@@ -1,13 +1,12 @@
 """The star schema: flight facts, route, aircraft and airspace dimensions.
 
-Wide aggregates here work in two levels. The first level groups by the wanted keys
-and by the few-valued columns that need "distinct" or "first"; it holds numbers only,
-so it is a hash aggregate with a map-side partial step, whatever the size of a group.
-The second level merges those few rows per key. A single aggregate with a distinct
-count and a text value would sort every input row four times.
+Wide aggregates are kept numeric, so that they are hash aggregates with a map-side
+partial step, whatever the size of a group. A text measure or a distinct count in the
+same aggregate would make Spark sort every input row several times; these are taken
+apart into a narrow branch or a second level that sees few rows.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -127,59 +126,39 @@ def with_durations(fact: DataFrame) -> DataFrame:
 def fact_flight_history(gold: DataFrame) -> DataFrame:
     """One row per flight (date, call sign, aircraft, route) with 34 measures and 4 derived.
 
-    ``stddev_velocity`` is merged from the first level's counts, means and variances by
-    the parallel variance formula around the true mean of the flight.
+    The numeric measures are one hash aggregate. Squawk codes and the aircraft of the
+    first report come from a second, narrow branch that is reduced to the distinct
+    combinations of a flight before it is merged. Both end up partitioned by flight, so
+    their join moves nothing. The key is a struct, in which missing parts are equal.
     """
-    rows = with_flight_keys(gold).withColumn("_cruise", cruise_altitude())
-    details = ["squawk", "aircraft_model", "aircraft_type"]
-    parts = rows.groupBy(*FLIGHT_KEYS, *details).agg(
+    rows = with_flight_keys(gold).withColumns(
+        {"_cruise": cruise_altitude(), "_flight": F.struct(*FLIGHT_KEYS)}
+    )
+    measures = rows.groupBy("_flight").agg(
         *[getattr(F, f)(c).alias(name) for name, (f, c) in _EXTREMES.items()],
-        *[F.sum(c).alias(f"_sum_{name}") for name, c in _MEANS.items()],
-        *[F.count(c).alias(f"_n_{name}") for name, c in _MEANS.items()],
+        *[F.avg(c).alias(name) for name, c in _MEANS.items()],
+        F.stddev("velocity").alias("stddev_velocity"),
         *[flagged(c).alias(name) for name, c in _FLAGS.items()],
-        F.avg("velocity").alias("_mean"),
-        F.var_pop("velocity").alias("_var"),
         F.count(F.lit(1)).alias("total_data_points"),
     )
-    # few rows per flight are left; both steps below share one shuffle on the flight keys
-    flight = Window.partitionBy(*FLIGHT_KEYS)
-    n = F.col("_n_avg_velocity")
-    mean = F.try_divide(
-        F.sum("_sum_avg_velocity").over(flight), F.sum("_n_avg_velocity").over(flight)
-    )
-    spread = n * (F.col("_var") + F.pow(F.col("_mean") - mean, 2.0))
-    merged = (
-        parts.withColumn("_m2", spread)
-        .groupBy(*FLIGHT_KEYS)
+    aircraft = ["aircraft_model", "aircraft_type"]
+    details = (
+        rows.groupBy("_flight", "squawk", *aircraft)
+        .agg(F.min("time").alias("_seen"))
+        .groupBy("_flight")
         .agg(
-            *[getattr(F, f)(name).alias(name) for name, (f, _) in _EXTREMES.items()],
-            *[
-                F.try_divide(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}")).alias(name)
-                for name in _MEANS
-            ],
-            F.when(
-                F.sum("_n_avg_velocity") > 1,
-                F.sqrt(F.sum("_m2") / (F.sum("_n_avg_velocity") - 1)),
-            ).alias("stddev_velocity"),
-            *[F.sum(name).alias(name) for name in _FLAGS],
-            F.sum("total_data_points").alias("total_data_points"),
+            F.min(F.struct(F.isnull("_seen"), "_seen", *aircraft)).alias("_first"),
             F.countDistinct("squawk").alias("unique_squawk_codes"),
-            F.min(
-                F.struct(F.isnull("first_seen"), "first_seen", "aircraft_model", "aircraft_type")
-            ).alias("_aircraft"),
         )
     )
-    return (
-        with_durations(merged)
-        .withColumns(
-            {
-                "flight_id": flight_id("flight_date", "callsign_clean"),
-                "aircraft_model": F.col("_aircraft.aircraft_model"),
-                "aircraft_type": F.col("_aircraft.aircraft_type"),
-            }
-        )
-        .drop("_aircraft")
+    fact = measures.join(details, "_flight").select(
+        flight_id("_flight.flight_date", "_flight.callsign_clean").alias("flight_id"),
+        "_flight.*",
+        *[c for c in measures.columns if c != "_flight"],
+        *[f"_first.{c}" for c in aircraft],
+        "unique_squawk_codes",
     )
+    return with_durations(fact)
 
 
 def dim_route_analytics(fact: DataFrame, sep: str = "-") -> DataFrame:
