@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from trackloom.catalog import views
 from trackloom.operators import live
+from trackloom.operators.serving import AIRLINE_STATS
 from trackloom.plans.live import live_job
+from trackloom.plans.serving import serving_job
 from trackloom.schemas import SPEED_STATES
 from trackloom.sinks import write_stream
 from trackloom.sources import dims, payloads
 from trackloom.sources.streams import read_file_stream
 from trackloom.streaming import enrich, state
+from trackloom.streaming.serve import serving_table
 
 DDL = "icao24 string, time bigint, n int, lat double"
 
@@ -134,7 +137,13 @@ def test_live_job_runs_all_three(spark, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == matched.count()
     kept = state.read_state(spark, str(tmp_path / "state"))
     assert kept.agg(F.sum("position_count")).first()[0] == matched.count()
-    assert spark.read.parquet(str(tmp_path / "hours")).count() > 0
+    hours = spark.read.parquet(str(tmp_path / "hours"))
+    assert hours.count() > 0 and hours.first().source == "speed_layer"
+    # the snapshots are the live layer that the serving load reads
+    loaded = serving_job(spark, str(tmp_path / "none"), str(tmp_path / "hours"), str(tmp_path / "serving"), "r1")
+    assert loaded["states"] == hours.count()
+    airlines = serving_table(spark, str(tmp_path / "serving"), AIRLINE_STATS)
+    assert airlines.agg(F.sum("total_flights")).first()[0] == hours.filter("airline_name is not null").count()
 
 
 def test_trigger_by_interval(spark, tmp_path):

@@ -748,10 +748,13 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
             out,
             scratch_path(spark, "checkpoint"),
             available_now=True,
+            files_per_hour=1,
             ties=("event_id",),
         )
     )
-    return spark.read.parquet(out).drop("year", "month", "day", "hour")
+    return spark.read.parquet(out).drop(
+        "year", "month", "day", "hour", "processing_time", "source"
+    )
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import event_time
+from ..operators.filters import with_processing_metadata
 from ..operators.live import accumulate
 from ..sinks import with_hour_partitions, write_stream
 from ..workspace import scratch_path
@@ -112,12 +113,18 @@ def start_hourly_snapshots(
     checkpoint: str,
     available_now: bool = False,
     every: str | None = None,
+    files_per_hour: int = 8,
     **options,
 ):
-    """Appends finished hours to ``year=/month=/day=/hour=`` folders, exactly once."""
-    snapshots = hourly_snapshots(stream, **options)
+    """Appends finished hours to ``year=/month=/day=/hour=`` folders, exactly once.
+
+    The few rows of an hour (one per object) are spread over ``files_per_hour`` tasks
+    before they are written; otherwise every state partition would add a small file.
+    """
+    snapshots = with_processing_metadata(hourly_snapshots(stream, **options))
+    spread = F.pmod(F.xxhash64(options.get("key", "icao24")), F.lit(files_per_hour))
     return write_stream(
-        with_hour_partitions(snapshots, "hour_start"),
+        with_hour_partitions(snapshots, "hour_start").repartition("hour_start", spread),
         "parquet",
         checkpoint,
         available_now=available_now,
