@@ -7,7 +7,7 @@ from test_sources import HEADER, add_tar, line
 from trackloom.catalog import views
 from trackloom.operators import ops, serving
 from trackloom.operators.merge import merge_unified
-from trackloom.plans.layers import MissingMapping, bronze_job, gold_job, mapping_job, silver_job
+from trackloom.plans.layers import MissingMapping, bronze_job, gold_job, mapping_job, sample_job, silver_job
 from trackloom.plans.ops import ops_job
 from trackloom.plans.serving import serving_job
 from trackloom.plans.star import STAR_TABLES, star_job
@@ -35,6 +35,9 @@ def test_layers_end_to_end(spark, tmp_path):
     }
     assert silver_job(spark, p["bronze"], p["mapping"], p["silver"], since=(2024, 1))["records"] == 60
     assert gold_job(spark, p["silver"], p["speed"], p["gold"]) == {"gold_records": 60}
+    assert sample_job(spark, p["silver"], str(tmp_path / "all")) == {"records": 60}
+    few = sample_job(spark, p["silver"], str(tmp_path / "few"), target_gb=30 * 200 / 1024**3)
+    assert 10 < few["records"] < 50
     rows = star_job(spark, p["gold"], p["star"])
     assert set(rows) == set(STAR_TABLES)
     assert rows["raw_telemetry"] == 60 and rows["fact_flight_history"] == 2

@@ -125,6 +125,10 @@ def test_log_tail_is_cut_before_the_shuffle(spark, tmp_path):
     assert plan(log_summary(read_logs(spark, str(tmp_path)))).count("WindowGroupLimit") >= 2
 
 
+def test_top_rows_are_cut_before_the_shuffle(spark, sf_dir):
+    assert plan(QUERIES["top_reports"](spark, sf_dir)).count("WindowGroupLimit") >= 2
+
+
 def test_fixed_tables_have_a_known_size(spark):
     for table in (dims.airports(spark), dims.airlines(spark), dims.route_rules(spark),
                   dims.exact_routes(spark), dims.schedule_carriers(spark)):

@@ -679,6 +679,17 @@ CHECKS = {
                        partition by icao24, {CLEAN.format(c='callsign')}, floor(time / 3600)
                        order by time desc, event_id desc) as rn
             from telemetry) where rn = 1""",
+    "first_states": f"""
+        select event_id, icao24, callsign, time from (
+            select event_id, icao24, {CLEAN.format(c='callsign')} as callsign, time,
+                   row_number() over (partition by icao24, {CLEAN.format(c='callsign')}
+                                      order by time, event_id) as rn
+            from telemetry) where rn = 1""",
+    "top_reports": """
+        select event_id, icao24, velocity, cast(rn as int) as rank from (
+            select *, row_number() over (partition by icao24
+                          order by velocity desc nulls last, event_id) as rn
+            from telemetry) where rn <= 3""",
     "stream_enrich": f"select {_SPEED_OUT} from speed where origin_code is not null and destination_code is not null",
     "stream_latest": _LATEST.format(keys="icao24", extra=""),
     "stream_hourly": _LATEST.format(

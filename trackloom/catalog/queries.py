@@ -661,7 +661,23 @@ def dedup_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "icao24", fn.clean_code("callsign").alias("callsign"),
         F.floor(F.col("time") / 3600).alias("last_contact"), "time", "lat", "lon",
     )
-    return merge.dedup(reports, ref.STATE_KEY, [-F.col("time"), -F.col("event_id")])
+    return merge.latest_per_key(reports, ref.STATE_KEY, ["time", "event_id"])
+
+
+@query
+def first_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first report of every aircraft and call sign."""
+    reports = views.telemetry(spark, sf_dir).select(
+        "event_id", "icao24", fn.clean_code("callsign").alias("callsign"), "time"
+    )
+    return merge.dedup(reports, ["icao24", "callsign"], ["time", "event_id"])
+
+
+@query
+def top_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three fastest reports of every aircraft."""
+    reports = views.telemetry(spark, sf_dir).select("event_id", "icao24", "velocity")
+    return merge.top_per_group(reports, ["icao24"], [F.desc("velocity"), "event_id"], 3)
 
 
 @query

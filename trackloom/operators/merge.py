@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -108,6 +108,17 @@ def merge_gold(batch: DataFrame | None, speed: DataFrame | None) -> DataFrame |
     return parts[0] if parts else None
 
 
+def _one_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pick):
+    rest = [c for c in df.columns if c not in keys]
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    ranked = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *rest)
+    return (
+        df.groupBy(*keys)
+        .agg(pick(ranked).alias("_row"))
+        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    )
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str] = STATE_KEY,
@@ -115,19 +126,29 @@ def dedup(
 ) -> DataFrame:
     """One whole row per key: the lowest in ``order``, then by the remaining columns.
 
-    Negate a number in ``order`` to take the latest instead.
-
     A minimum over row structs is an ordinary aggregate with a map-side step, so a key
     with very many copies is reduced before the shuffle. Null keys are a key of their own.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranked = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *rest)
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(ranked).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
-    )
+    return _one_row_per_key(df, keys, order, F.min)
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ("time",)
+) -> DataFrame:
+    """One whole row per key: the highest in ``order``, then by the remaining columns."""
+    return _one_row_per_key(df, keys, order, F.max)
+
+
+def top_per_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank"
+) -> DataFrame:
+    """The first ``k`` rows per group, numbered from 1.
+
+    Spark cuts every group to ``k`` rows in each task before the shuffle, so a very
+    large group does not meet in one task.
+    """
+    ranked = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(ranked)).filter(F.col(rank) <= k)
 
 
 def sample_to_rows(

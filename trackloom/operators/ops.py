@@ -3,11 +3,11 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..reference_data import LOG_KEYWORDS
 from ..sources.files import list_files
+from .merge import top_per_group
 
 _STAMP = "yyyyMMdd'T'HHmmss"
 
@@ -61,22 +61,16 @@ def log_summary(
     files_per_group: int = 3,
     keywords: Sequence[str] = LOG_KEYWORDS,
 ) -> DataFrame:
-    """The last important lines of the latest files of every group.
-
-    ``rank``/``filter`` windows are cut down in every task before the shuffle, so one
-    very large log does not meet in one task.
-    """
+    """The last important lines of the latest files of every group."""
     wanted = logs.filter(F.upper("line").rlike("|".join(keywords)))
     counts = wanted.groupBy("dag", "file", "modified").agg(
         F.count(F.lit(1)).alias("important_lines")
     )
-    newest = Window.partitionBy("dag").orderBy(F.desc("modified"), "file")
-    latest = counts.withColumn("file_rank", F.row_number().over(newest)).filter(
-        F.col("file_rank") <= files_per_group
+    latest = top_per_group(
+        counts, ["dag"], [F.desc("modified"), "file"], files_per_group, "file_rank"
     )
-    tail = Window.partitionBy("file").orderBy(F.desc("block"), F.desc("line_id"))
-    last = wanted.withColumn("from_end", F.row_number().over(tail)).filter(
-        F.col("from_end") <= lines_per_file
+    last = top_per_group(
+        wanted, ["file"], [F.desc("block"), F.desc("line_id")], lines_per_file, "from_end"
     )
     return last.select("file", "from_end", "line").join(latest, "file")
 

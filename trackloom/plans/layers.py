@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators.filters import filter_region, region_routes
 from ..operators.lookup import enrich_routes
-from ..operators.merge import dedup, merge_gold
+from ..operators.merge import latest_per_key, merge_gold, sample_to_bytes
 from ..operators.star import build_mapping
 from ..sinks import counted, export_csv, write_partitioned
 from ..sources.files import (
@@ -134,7 +134,7 @@ def gold_job(
     if gold is None:
         return {"gold_records": 0}
     if distinct:
-        gold = dedup(gold, ["icao24", "callsign", "lastcontact"], [-F.col("time")])
+        gold = latest_per_key(gold, ["icao24", "callsign", "lastcontact"], ["time"])
     gold, written = counted(gold)
     write_partitioned(
         gold,
@@ -144,3 +144,12 @@ def gold_job(
     )
     return {"gold_records": written.get["rows"]}
 
+
+
+def sample_job(
+    spark: SparkSession, path: str, sample_path: str, target_gb: float = 20.0, seed: int = 42
+) -> dict[str, int]:
+    """A stored layer cut down to about ``target_gb``; a smaller one is kept whole."""
+    kept, written = counted(sample_to_bytes(spark.read.parquet(path), target_gb, seed=seed))
+    write_partitioned(kept, sample_path, "overwrite", cluster=True)
+    return {"records": written.get["rows"]}

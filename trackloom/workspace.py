@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_roots: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -16,9 +18,10 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if spark.conf.get("spark.master", "local").startswith("local"):
-        root = tempfile.mkdtemp(prefix="trackloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        app = spark.sparkContext.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="trackloom-")
+        return _local_roots[app]
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
