@@ -80,6 +80,21 @@ def test_hourly_snapshots_wait_for_the_watermark_and_drop_late_rows(spark, tmp_p
     assert batch.count() == 2
 
 
+def test_state_goes_on_after_compaction(spark, tmp_path):
+    rows = reports()
+    path = str(tmp_path / "out")
+    for i in range(0, 300, 100):
+        spark.createDataFrame(rows[i:i + 100], DDL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = read_file_stream(spark, str(tmp_path / "in"), DDL)
+        state.start_accumulation(stream, path, str(tmp_path / "cp"), ties=("n",), available_now=True).awaitTermination()
+        if i == 100:
+            before, path = path, str(tmp_path / "compact")
+            state.compact_state(spark, before, path)
+            assert rows_of(state.read_state(spark, before)) == rows_of(state.read_state(spark, path))
+    expected = live.accumulate(spark.createDataFrame(rows, DDL), ties=("n",))
+    assert rows_of(state.read_state(spark, path)) == rows_of(expected)
+
+
 def messages(spark, sf_dir):
     return payloads.to_json_value(views.live(spark, sf_dir).drop("event_id"))
 

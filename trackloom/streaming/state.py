@@ -42,6 +42,16 @@ def read_state(spark: SparkSession, path: str, key: str = "icao24") -> DataFrame
     )
 
 
+def compact_state(spark: SparkSession, path: str, target: str, key: str = "icao24") -> None:
+    """Rewrites a state table as one batch in another folder, while its stream is stopped.
+
+    The stream may then go on with ``target`` as its path and its old checkpoint: its
+    batch numbers continue, so newer rows still win.
+    """
+    last = spark.read.parquet(path).agg(F.max("batch")).first()[0]
+    upsert_state(read_state(spark, path, key), target, last, key)
+
+
 def start_accumulation(
     stream: DataFrame,
     path: str,
