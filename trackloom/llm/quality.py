@@ -2,10 +2,13 @@
 
 Two zstandard dictionaries are built, one from good and one from bad labelled text. A text is
 cut into blocks; each block is compressed with either dictionary, and the difference of the two
-sizes, divided by their sum, says which dictionary explains the text better. A logistic curve
-fitted on labelled texts that were kept out of the dictionaries turns it into a probability.
+sizes, divided by their sum, says which dictionary explains the text better. Text that repeats
+itself is small under both, so the logarithm of the compressed share of the text is measured
+beside it. A logistic curve, fitted on labelled texts that were kept out of the dictionaries,
+turns the two into a probability.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +36,8 @@ class QualityModel:
 
     good: bytes | None
     bad: bytes | None
-    slope: float
-    intercept: float
+    slopes: tuple[float, float] = (0.0, 0.0)
+    intercept: float = 0.0
     block_bytes: int = BLOCK_BYTES
     level: int = LEVEL
 
@@ -67,31 +70,33 @@ class _Sizes:
                     )
                 )
 
-    def difference(self, text: str | None) -> float:
-        """(bad - good) / (bad + good); positive: more like good text. Null and empty give 0."""
+    def measure(self, text: str | None) -> tuple[float, float]:
+        """(bad - good) / (bad + good), positive if more like good text; log of (good / length).
+
+        Null and empty texts give zeros.
+        """
         if not text or self.coders is None:
-            return 0.0
+            return 0.0, 0.0
         data = text.encode("utf-8", "replace")
         good, bad = (
             sum(len(c.compress(data[i : i + self.block])) for i in range(0, len(data), self.block))
             for c in self.coders
         )
-        return (bad - good) / (bad + good)
+        return (bad - good) / (bad + good), min(0.0, math.log(good / len(data)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept by Newton steps, with a weak pull of the slope towards 0."""
-    w = np.zeros(2)
-    scale = max(float(np.abs(x).max(initial=0.0)), 1e-9)
-    a = np.column_stack([x / scale, np.ones_like(x)])
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Slopes and intercept by Newton steps, with a weak pull of the slopes towards 0."""
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    a = np.column_stack([x / scale, np.ones(len(x))])
+    w, ridge = np.zeros(a.shape[1]), np.array([1e-3] * x.shape[1] + [1e-6])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        ridge = np.array([1e-3, 1e-6])
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge + 1e-9), a.T @ (y - p) - ridge * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0] / scale), float(w[1])
+    return tuple(float(v) for v in w[:-1] / scale), float(w[-1])
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple]:
@@ -127,15 +132,14 @@ def fit(rows: list[tuple], dictionary_bytes: int = DICTIONARY_BYTES) -> QualityM
     texts = {(q, p): [t.encode() for t, q2, p2 in rows if (q2, p2) == (q, p)] for q in (0, 1) for p in (0, 1)}
     good = _dictionary(texts[1, 0], dictionary_bytes, BLOCK_BYTES)
     bad = _dictionary(texts[0, 0], dictionary_bytes, BLOCK_BYTES)
-    measure = _Sizes(QualityModel(good, bad, 0.0, 0.0))
-    held = [(measure.difference(t), q) for t, q, p in rows if p == 1]
+    sizes = _Sizes(QualityModel(good, bad))
+    held = [(sizes.measure(t), q) for t, q, p in rows if p == 1]
     if not held:
-        return QualityModel(good, bad, 0.0, 0.0)
+        return QualityModel(good, bad)
     x, y = (np.array(v, dtype=float) for v in zip(*held))
     if len(set(y)) == 1:
-        return QualityModel(None, None, 0.0, 3.0 if y[0] else -3.0)
-    slope, intercept = _logistic(x, y)
-    return QualityModel(good, bad, slope, intercept)
+        return QualityModel(None, None, intercept=3.0 if y[0] else -3.0)
+    return QualityModel(good, bad, *_logistic(x, y))
 
 
 def score(text: Column, model: QualityModel) -> Column:
@@ -143,9 +147,9 @@ def score(text: Column, model: QualityModel) -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        measure = _Sizes(model)
+        sizes = _Sizes(model)
         for texts in batches:
-            d = np.fromiter((measure.difference(t) for t in texts), dtype=float, count=len(texts))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(model.slope * d + model.intercept, -30, 30))))
+            x = np.array([sizes.measure(t) for t in texts], dtype=float).reshape(len(texts), 2)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.slopes) + model.intercept, -30, 30))))
 
     return scored(text)
