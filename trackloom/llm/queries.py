@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, sharding
+from . import chat, decontam, lines, quality, sharding
 from .common import is_held_out, table
 
 #: folder of the public tokenizers' vocabulary files; the driver reads the files and ships their bytes
@@ -34,6 +34,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD_FROM).cast("int"))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "lines", "dropped_lines", "text")
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, 24).select(
@@ -41,6 +46,11 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 #: a conversation whose texts hold the template's own signs (fixed value)
 ODD_TEXT = r"\### Assistant: </turn> ok"
 
@@ -53,7 +63,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_quality": op1_quality,
+    "op2_lines": op2_lines,
     "op3_shards": op3_shards,
+    "op4_decontamination": op4_decontamination,
     "op9_chat": op9_chat,
 }
 LLM_ORACLES: dict[str, str] = {}
