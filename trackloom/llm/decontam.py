@@ -37,7 +37,7 @@ UNITS = (
 
 def valued(text: Column) -> Column:
     """Lower-case words; a placeholder's sign is followed by the value it stands for."""
-    names = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;]\s.)[\p{L}\p{M}]*", f"{NAME}$0")
+    names = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;]\s.)\p{Ll}[\p{L}\p{M}]*", f"{NAME}$0")
     numbers = F.regexp_replace(names, r"[0-9]+(?:[.,:/-][0-9]+)*", f" {NUMBER}$0 ")
     units = F.regexp_replace(numbers, f"(?i)(?<=[0-9]\\s{{1,3}})(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{M}}])", f"{UNIT}$0")
     return F.lower(units)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, quality, sharding
+from . import chat, decontam, jaccard, lines, quality, sharding
 from .common import is_held_out, table
 
 #: folder of the public tokenizers' vocabulary files; the driver reads the files and ships their bytes
@@ -51,6 +51,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similarity_classes(docs).select("doc_id", "class_id", "links")
+
+
 #: a conversation whose texts hold the template's own signs (fixed value)
 ODD_TEXT = r"\### Assistant: </turn> ok"
 
@@ -66,6 +71,7 @@ LLM_QUERIES = {
     "op2_lines": op2_lines,
     "op3_shards": op3_shards,
     "op4_decontamination": op4_decontamination,
+    "op7_jaccard": op7_jaccard,
     "op9_chat": op9_chat,
 }
 LLM_ORACLES: dict[str, str] = {}
