@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from .common import fresh, stored
 
 BUCKET_BYTES = 8 << 20
+#: up to so many hot records (16 bytes each) are broadcast; beyond, a shuffle join
+BROADCAST_ROWS = 500_000
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -45,6 +47,8 @@ def scatter(
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     copies = max(1, bucket_bytes // 800)
     hot = docs.groupBy(same.alias("same")).count().where(F.col("count") > copies).select("same", F.lit(True).alias("hot"))
+    hot = stored(hot, "hot")
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     place = F.when(F.col("hot"), F.xxhash64(F.col("same"), F.monotonically_increasing_id())).otherwise(F.col("same"))
     out = (
         docs.withColumn("same", same)
