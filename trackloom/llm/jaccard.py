@@ -63,7 +63,7 @@ class Shingler:
         known = self.known
         if len(known) > _VOCABULARY:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in {w for w in words if w not in known}:
             known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter((known[w] for w in words), dtype=np.uint64, count=len(words))
 
@@ -267,6 +267,8 @@ def verified(docs: DataFrame, classes: DataFrame, member: DataFrame, doc: str, t
         ).groupby("key", as_index=False)["links"].sum()
         keep = forest(ka[i], kb[j])
         edges = pd.DataFrame({"key": ka[i][keep], "other": kb[j][keep]})
+        # nullable integers from the start: keys take all 64 bits, which a float cannot hold
+        counts, edges = counts.astype("Int64").assign(other=pd.NA), edges.astype("Int64").assign(links=pd.NA)
         return pd.concat([counts, edges])[["key", "links", "other"]].astype("Int64")
 
     return _blocked(read, "family", "key", block).groupBy("family", "x", "y").applyInPandas(
