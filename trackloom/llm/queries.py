@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, lines, quality, sharding
+from . import chat, decontam, jaccard, langid, lines, packing, quality, sharding, tokens
 from .common import is_held_out, table
 
 #: folder of the public tokenizers' vocabulary files; the driver reads the files and ships their bytes
@@ -51,11 +51,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return packing.pack(docs).drop("text_hash")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.similarity_classes(docs).select("doc_id", "class_id", "links")
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.section_tokens(docs, ranks_file()).withColumn("tokens", F.col("tokens").cast("long"))
+
+
 #: a conversation whose texts hold the template's own signs (fixed value)
 ODD_TEXT = r"\### Assistant: </turn> ok"
 
@@ -66,12 +76,22 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(given.unionByName(odd), ranks_file()))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.sample(docs.select("doc_id", "text", "lang")))
+    found = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), langid.language(F.col("text"), model).alias("l"))
+    return found.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"))
+
+
 LLM_QUERIES = {
     "op1_quality": op1_quality,
     "op2_lines": op2_lines,
     "op3_shards": op3_shards,
     "op4_decontamination": op4_decontamination,
+    "op5_packing": op5_packing,
     "op7_jaccard": op7_jaccard,
+    "op8_tokens": op8_tokens,
     "op9_chat": op9_chat,
+    "op10_language": op10_language,
 }
 LLM_ORACLES: dict[str, str] = {}
