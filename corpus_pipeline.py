@@ -1,11 +1,16 @@
-"""From raw documents to packed sequences: stages over whole tables, each stored as Parquet."""
+"""From raw documents to packed sequences: stages over whole tables, each stored as Parquet.
+
+Every stage takes the documents its predecessor kept, decides over all of them, and returns the
+columns of ``documents``; the last returns the pieces of the packed sequences. A document's text
+can lose lines in the second stage; ``n_chars`` is then counted again.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import quality
+from trackloom.llm import decontam, jaccard, lines, packing, quality
 from trackloom.llm.common import fresh, stored, table
 from trackloom.llm.queries import GOOD_FROM, quality_model
 
@@ -17,8 +22,44 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(name) >= GOOD_FROM).drop(name)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: recurring lines go from all documents but the first that has them.
+
+    A document of which no word is left goes as well; documents without words to begin with stay.
+    """
+    cut = lines.dedup_lines(docs)
+    dropped = [c for c in cut.columns if c not in docs.columns]
+    emptied = (F.col(dropped[1]) > 0) & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    kept = cut.where(~emptied)
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        kept = kept.withColumn(
+            "n_chars", F.when(F.col(dropped[1]) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        )
+    return kept.select(*docs.columns)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of documents linked by near-equal texts the one with the smallest id stays."""
+    return jaccard.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that hold a benchmark item go, whatever values it was given."""
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: pieces of documents in bins of ``packing.CAPACITY`` words."""
+    return packing.pack(docs).drop("text_hash")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", keep_good),
+    ("lines", drop_repeated_lines),
+    ("near duplicates", one_of_each_class),
+    ("decontamination", drop_leaks),
+    ("packing", pack_sequences),
 ]
 
 
@@ -28,11 +69,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{name}")
+            docs = stored(docs, f"pipeline-{name.replace(' ', '-')}")
     return docs
 
 
-#: compression and best-fit search have no SQL form; tests compare with brute force
+#: compression, MinHash and best-fit search have no SQL form; tests compare with brute force
 ORACLE_SQL = None
 PIPELINE_QUERIES = {"pipeline": run}
 PIPELINE_ORACLES = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}

@@ -38,6 +38,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` for a join: broadcast if its counted rows are at most ``rows``, else left to a shuffle.
+
+    ``df`` should be stored, or cheap, as counting runs it.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 _WORD = re.compile(r"\w+")
 
 

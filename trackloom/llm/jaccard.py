@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored, words_of
+from .common import fresh, small_side, stored, words_of
 from .components import components
 
 SHINGLE = 5
@@ -41,6 +41,8 @@ STEP = 16
 #: a pair is dropped when P(similarity >= threshold | matches so far) is below this
 TOLERANCE = 1e-6
 BLOCK = 256
+#: up to so many documents to drop (16 bytes each) are broadcast; beyond, a shuffle join
+BROADCAST_ROWS = 500_000
 _SEED = 20_011
 _VOCABULARY = 400_000
 
@@ -138,7 +140,7 @@ def forest(i: np.ndarray, j: np.ndarray) -> list[int]:
     return out
 
 
-_SIGNED = "doc_id long, key long, text_key binary, words int, signature binary, bands array<long>"
+_SIGNED = "doc_id long, text_hash long, key long, text_key binary, words int, signature binary, bands array<long>"
 
 
 def signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -148,7 +150,7 @@ def signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
         shingler = Shingler()
         for batch in batches:
             rows = []
-            for number, text_ in zip(batch["doc_id"], batch["text"]):
+            for number, hashed, text_ in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
                 number = None if pd.isna(number) else int(number)
                 words = words_of(text_)
                 if words:
@@ -161,12 +163,14 @@ def signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
                     bands, sign = [], None
                     own = None if text_ is None else hashlib.md5(b"\0" + text_.encode()).digest()
                 key = None if own is None else int.from_bytes(own[:8], "little", signed=True)
-                rows.append((number, key, own, len(words), sign, bands))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "text_key", "words", "signature", "bands"]).astype(
-                {"doc_id": "Int64", "key": "Int64"}
-            )
+                rows.append((number, hashed, key, own, len(words), sign, bands))
+            names = ["doc_id", "text_hash", "key", "text_key", "words", "signature", "bands"]
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "key": "Int64"})
 
-    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, _SIGNED)
+    own = docs.select(
+        F.col(doc).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")
+    )
+    return own.mapInPandas(run, _SIGNED)
 
 
 def _blocked(members: DataFrame, group: str, key: str, block: int) -> DataFrame:
@@ -290,11 +294,11 @@ def _only_own(sets):
 
 
 def similarity_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key (of its exact class), class_id, links.
+    """One row per row of ``docs``: doc_id, text_hash, component, class_id, links.
 
     ``class_id`` is the smallest id among the rows that are linked directly or through others;
     ``links`` is the number of other rows with a similarity of at least the threshold, copies
-    included. Rows without a text have no key and no links.
+    included. Rows without a text have no component and no links.
     """
     rows = stored(signed(docs, doc, text), "signed")
     classes = stored(
@@ -322,26 +326,39 @@ def similarity_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     )
     names = of.groupBy("component").agg(F.min("any_doc").alias("class_id"))
     of = of.join(names, "component").select(
-        "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+        "key", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
     )
-    kept = rows.select("doc_id", "key").join(of, "key", "left")
-    alone = F.col("key").isNull()
+    kept = rows.select("doc_id", "text_hash", "key").join(of, "key", "left")
     return kept.select(
         "doc_id",
-        "key",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "text_hash",
+        "component",
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: that with its smallest id, and of that the first text.
+    """``docs`` with one row of each class: that with its smallest id (ties: smallest text hash).
 
-    Rows without a text or id are kept.
+    Rows without a text are kept; of a class without any id one row is kept.
     """
-    of = similarity_classes(docs, doc, text).select("doc_id", "class_id")
-    drop, number = fresh(docs, "drop_doc"), fresh(docs, "row_hash")
-    later = of.where("doc_id is not null and class_id < doc_id").select(F.col("doc_id").alias(drop)).distinct()
-    kept = docs.join(later, docs[doc].cast("long") == F.col(drop), "left_anti")
-    return kept.withColumn(number, F.when(F.col(doc).isNull() | F.col(text).isNull(), F.uuid()).otherwise(
-        F.concat_ws(":", F.col(doc).cast("string"), F.md5(F.col(text))))).dropDuplicates([number]).drop(number)
+    of = stored(similarity_classes(docs, doc, text).where("component is not null"), "classes")
+    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), F.col("text_hash").alias("h"))
+    first = of.groupBy("component").agg(F.min(order).alias("first")).select("component", "first")
+    later = of.join(first, "component").where(order != F.col("first"))
+    later = small_side(
+        stored(later.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct(), "later"), BROADCAST_ROWS
+    )
+    own = fresh(docs, "own_text_hash")
+    hashed = docs.withColumn(own, F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text))))
+    same = hashed[doc].cast("long").eqNullSafe(F.col("__d")) & (F.col(own) == F.col("__h"))
+    kept = hashed.join(later, same, "left_anti")
+    again = of.groupBy("doc_id", "text_hash").count().where(F.col("count") > 1)
+    again = stored(again.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")), "again")
+    if again.isEmpty():
+        return kept.drop(own)
+    # only rows that agree in id and text need a shuffle to leave one of them
+    again = small_side(again, BROADCAST_ROWS)
+    repeated = kept.join(again, same, "left_semi").dropDuplicates([doc, own])
+    return kept.join(again, same, "left_anti").unionByName(repeated).drop(own)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, langid, lines, packing, quality, sharding, tokens
+from . import chat, decontam, jaccard, langid, lines, neighbours, packing, quality, sharding, tokens
 from .common import is_held_out, table
 
 #: folder of the public tokenizers' vocabulary files; the driver reads the files and ships their bytes
@@ -56,6 +56,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs).drop("text_hash")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.similarity_classes(docs).select("doc_id", "class_id", "links")
@@ -89,6 +94,7 @@ LLM_QUERIES = {
     "op3_shards": op3_shards,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_neighbours": op6_neighbours,
     "op7_jaccard": op7_jaccard,
     "op8_tokens": op8_tokens,
     "op9_chat": op9_chat,
