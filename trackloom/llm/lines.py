@@ -107,7 +107,7 @@ def repeated_lines(
         placed.join(recurring, name)
         .where("doc_order <> first_doc")
         .groupBy("doc", "text_hash")
-        .agg(F.collect_list("line_no").alias("drops"))
+        .agg(F.collect_set("line_no").alias("drops"))
     )
 
 
