@@ -94,10 +94,3 @@ def test_lookback_with_and_without_end(spark):
     df = spark.range(0, 20).select((F.col("id") * 86_400).alias("time"))
     assert fn.lookback(df, days=7).count() == 8
     assert fn.lookback(df, days=7, until=10 * 86_400).count() == 17
-
-
-def test_position_order_follows_time_then_latitude(spark):
-    rows = [(10, 1.0, 1.0), (10, 2.0, 0.0), (10, 2.0, 5.0), (11, -80.0, -170.0)]
-    df = spark.createDataFrame(rows, "time bigint, lat double, lon double")
-    got = df.orderBy(fn.position_order("time", "lat", "lon")).collect()
-    assert [tuple(r) for r in got] == rows

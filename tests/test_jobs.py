@@ -35,9 +35,14 @@ def test_layers_end_to_end(spark, tmp_path):
     }
     assert silver_job(spark, p["bronze"], p["mapping"], p["silver"], since=(2024, 1))["records"] == 60
     assert gold_job(spark, p["silver"], p["speed"], p["gold"]) == {"gold_records": 60}
-    assert sample_job(spark, p["silver"], str(tmp_path / "all")) == {"records": 60}
-    few = sample_job(spark, p["silver"], str(tmp_path / "few"), target_gb=30 * 200 / 1024**3)
+    assert sample_job(spark, p["silver"], str(tmp_path / "all"), 1.0) == {"records": 60}
+    few = sample_job(spark, p["silver"], str(tmp_path / "few"), 0.5)
     assert 10 < few["records"] < 50
+    # the same load again changes nothing; another one adds its rows
+    assert bronze_job(spark, p["raw"], p["bronze"]) == {"records": 60, "broken_archives": 1}
+    assert spark.read.parquet(p["bronze"]).count() == 60
+    bronze_job(spark, p["raw"], p["bronze"], batch="2024-01-02T00:00:00")
+    assert spark.read.parquet(p["bronze"]).count() == 120
     rows = star_job(spark, p["gold"], p["star"])
     assert set(rows) == set(STAR_TABLES)
     assert rows["raw_telemetry"] == 60 and rows["fact_flight_history"] == 2
@@ -57,9 +62,11 @@ def test_gold_full_and_incremental(spark, sf_dir, tmp_path):
     merged = spark.read.parquet(gold)
     assert merged.filter(F.col("time").isNull()).count() == 0
     published = {}
-    star_job(spark, gold, str(tmp_path / "star"), telemetry_rows=1000,
+    star_job(spark, gold, str(tmp_path / "star"), sample=0.1,
              publish=lambda df, name: published.setdefault(name, df.count()))
-    assert set(published) == set(STAR_TABLES) and 700 < published["raw_telemetry"] < 1300
+    assert set(published) == {*STAR_TABLES, "raw_telemetry_sample"}
+    assert published["raw_telemetry"] == 2 * total
+    assert 0.05 < published["raw_telemetry_sample"] / (2 * total) < 0.15
     assert gold_job(spark, silver, speed, str(tmp_path / "once"), distinct=True)["gold_records"] <= 2 * total
 
 
@@ -114,6 +121,20 @@ def test_serving_load_repeated_after_failure_counts_once(spark, sf_dir, tmp_path
     assert hours.agg(F.sum("total_flights")).first()[0] == silver.count()
 
 
+def test_load_repeated_after_new_files_keeps_its_own(spark, sf_dir, tmp_path):
+    batch, speed, root = (str(tmp_path / n) for n in ("batch", "speed", "root"))
+    silver = views.silver(spark, sf_dir).drop("event_id")
+    run, early = "manual__2026-01-04T15:12:49+00:00", F.col("day") <= 10
+    silver.filter(early).write.partitionBy("year", "month").parquet(batch)
+    serving_job(spark, batch, speed, root, run)
+    silver.filter(~early).write.mode("append").partitionBy("year", "month").parquet(batch)
+    assert serving_job(spark, batch, speed, root, run)["states"] == silver.count()
+    assert serving_job(spark, batch, speed, root, "later") == {"states": 0, "files": 0}
+    assert spark.read.parquet(f"{root}/states").count() == silver.count()
+    ledger = spark.read.parquet(f"{root}/ledger")
+    assert ledger.count() == ledger.select("file_path").distinct().count() > 0
+
+
 MARK = (
     "[2026-01-04] {{t.py:1}} INFO - Marking task as {state}. dag_id={dag}, task_id={task}, "
     "execution_date=20260104T151249, start_date=20260104T15{start}, end_date=20260104T15{end}\n"

@@ -360,11 +360,27 @@ def test_merge_with_one_side_missing(spark):
     assert merge.merge_unified(None, None) is None and merge.merge_gold(None, None) is None
 
 
-def test_sample_keeps_everything_that_is_small_enough(spark):
+def test_sample_is_a_fraction_and_always_the_same(spark):
     df = spark.range(1000)
-    assert merge.sample_to_rows(df, 1000).count() == 1000
-    assert 300 < merge.sample_to_rows(df, 500).count() < 700
-    assert merge.sample_to_bytes(df, 1.0).count() == 1000
+    take = lambda d, *a: sorted(r.id for r in merge.sample_fraction(d, *a).collect())
+    half = take(df, 0.5, ["id"])
+    assert 400 < len(half) < 600 and half == take(df.repartition(7), 0.5, ["id"])
+    assert half != take(df, 0.5, ["id"], 7) and set(take(df, 0.25, ["id"])) < set(half)
+    assert len(take(df, 1.0, ["id"])) == 1000 and take(df, 0.0, ["id"]) == []
+    with pytest.raises(ValueError):
+        merge.sample_fraction(df, 1.5, ["id"])
+
+
+def test_reports_of_one_second_never_mix(spark):
+    """Two reports a hair apart: whole rows by value, whatever the order of the input."""
+    rows = [("a", 10**13, 28.5562, 77.1, 50.0, None), ("a", 10**13, 28.5563, 77.1, 9000.0, None),
+            ("a", 10**13 + 5, 19.0896, 72.8656, 10.0, None), (None, 1, 0.0, 0.0, 0.0, None)]
+    ddl = "icao24 string, time bigint, lat double, lon double, baroaltitude double, callsign string"
+    got = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, ddl).coalesce(1)
+        got.add(tuple(map(tuple, sites.track_endpoints(df, dims.airports(spark)).collect())))
+    assert got == {(("a", 3, "DEL", "BOM"),)}
 
 
 def test_fill_and_metadata(spark):

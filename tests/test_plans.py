@@ -31,15 +31,15 @@ def test_no_query_runs_python_per_row_or_crosses_rows(spark, sf_dir, name):
         assert bad not in text, bad
 
 
-def test_route_join_is_broadcast_for_a_counted_mapping(spark, sf_dir, tmp_path):
+def test_route_join_is_broadcast_by_the_planner_only(spark, sf_dir, tmp_path):
     views.mapping(spark, sf_dir).write.parquet(str(tmp_path / "m"))
     mapping = spark.read.parquet(str(tmp_path / "m"))
     states = views.telemetry(spark, sf_dir)
+    assert "BroadcastHashJoin" in plan(lookup.enrich_routes(states, mapping))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(lookup.enrich_routes(states, mapping, mapping.count()))
-        beyond = plan(lookup.enrich_routes(states, mapping, lookup.BROADCAST_ROWS + 1))
+        beyond = plan(lookup.enrich_routes(states, mapping))
         assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -47,11 +47,11 @@ def test_route_join_is_broadcast_for_a_counted_mapping(spark, sf_dir, tmp_path):
 
 def test_both_ways_of_the_route_join_agree(spark, sf_dir):
     states, mapping = views.telemetry(spark, sf_dir), views.mapping(spark, sf_dir)
-    small = lookup.enrich_routes(states, mapping, 1)
+    small = lookup.enrich_routes(states, mapping)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = lookup.enrich_routes(states, mapping, 10**9)
+        large = lookup.enrich_routes(states, mapping)
         assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -12,13 +12,11 @@ def test_query(spark, con, sf_dir, name):
     assert difference(QUERIES[name](spark, sf_dir), con, oracle(name)) is None
 
 
-def test_every_query_is_checked_or_known_as_random():
-    assert set(QUERIES) - set(CHECKS) == {"sample_rows", "sample_bytes"}
-    assert set(CHECKS) <= set(QUERIES)
+def test_every_query_is_checked():
+    assert set(QUERIES) == set(CHECKS)
 
 
-@pytest.mark.parametrize("name", ["sample_rows", "sample_bytes"])
-def test_samples(spark, sf_dir, name):
+def test_samples_have_their_fraction(spark, sf_dir):
     total = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    kept = QUERIES[name](spark, sf_dir).count()
+    kept = QUERIES["sample_rows"](spark, sf_dir).count()
     assert abs(kept - total / 2) < 5 * (total / 4) ** 0.5

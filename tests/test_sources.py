@@ -56,16 +56,42 @@ def test_tar_archives(spark, tar_root):
     assert broken == {"e.tar", "f.tar"}
 
 
-def test_tar_limit_is_in_path_order(spark, tar_root):
-    assert files.read_tar_csv(spark, tar_root, max_files=1).count() == 1
-    assert files.read_tar_csv(spark, tar_root, max_files=2).count() == 5001
+def test_tars_by_time_of_change(spark, tar_root):
+    assert files.read_tar_csv(spark, tar_root, modifiedAfter="2000-01-01T00:00:00").count() == 5001
+    assert files.read_tar_csv(spark, tar_root, modifiedBefore="2000-01-01T00:00:00").count() == 0
+
+
+def test_damaged_member_of_a_whole_tar_gives_no_rows(spark, tmp_path):
+    text = "\n".join([HEADER] + [line(i, f"IGO{i % 97}") for i in range(50_000)])
+    packed = gzip.compress(text.encode())
+    half = packed[: len(packed) // 2]
+    with tarfile.open(tmp_path / "x.tar", "w") as tar:
+        info = tarfile.TarInfo("x.csv.gz")
+        info.size = len(half)
+        tar.addfile(info, io.BytesIO(half))
+    lines = files.read_tar_lines(spark, str(tmp_path))
+    assert files.tar_states(lines).count() == 0
+    assert [r.tar_path.rsplit("/", 1)[1] for r in files.tar_errors(lines).collect()] == ["x.tar"]
+
+
+def test_history_columns_in_any_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(" typecode ,callsign,extra,firstseen\nT,igo1 ,e,7\n")
+    row = files.read_csv_tree(spark, str(tmp_path)).first()
+    assert (row.callsign.strip(), row.typecode, row.firstseen, row.extra, row.model) == ("igo1", "T", 7, "e", None)
+    (tmp_path / "b.csv").write_text("callsign,typecode,extra,firstseen\nigo2,T,e,7\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv_tree(spark, str(tmp_path)).collect()
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/s.csv").write_text("icao24,time\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_states(spark, str(tmp_path / "s")).collect()
 
 
 def test_csv_reader_agrees_with_tar_reader(spark, tar_root, tmp_path):
     path = tmp_path / "one.csv.gz"
     path.write_bytes(gzip.compress(f"{HEADER}\n{line(1, 'AIC1')}\n".encode()))
     a = files.read_states(spark, str(path)).collect()
-    b = files.read_tar_csv(spark, tar_root, max_files=1).collect()
+    b = files.read_tar_csv(spark, tar_root).filter("callsign = 'AIC1'").collect()
     assert a == b
 
 
@@ -146,14 +172,13 @@ def test_hourly_folders_are_zero_padded(spark, tmp_path):
     assert (path / "year=2024/month=01/day=01/hour=09").is_dir()
 
 
-def test_export_in_order(spark, tmp_path, monkeypatch):
+def test_export_in_order(spark, tmp_path):
     df = spark.range(1000).repartition(7)
-    sinks.export_csv(df, str(tmp_path / "one"), [F.desc("id")], 1000)
+    sinks.export_csv(df, str(tmp_path / "one"), [F.desc("id")], single_file=True)
     parts = sorted((tmp_path / "one").glob("part-*"))
     text = [p.read_text().split() for p in parts]
     assert len(parts) == 1 and text[0][:3] == ["id", "999", "998"]
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
-    sinks.export_csv(df, str(tmp_path / "many"), [F.desc("id")], 1000)
+    sinks.export_csv(df, str(tmp_path / "many"), [F.desc("id")])
     rows = [x for p in sorted((tmp_path / "many").glob("part-*")) for x in p.read_text().split()[1:]]
     assert rows == [str(i) for i in range(999, -1, -1)]
 
@@ -220,9 +245,24 @@ class Recorder:
         return self
 
 
-def test_jdbc_write_skips_empty_overwrite_and_internal_columns(spark):
+def test_jdbc_write_of_an_empty_frame_truncates(spark, monkeypatch):
+    writer = Recorder()
+    writer.save = lambda: None
+
+    class Seen:
+        get = {"rows": 0}
+
+    class Frame:
+        columns, write = ["a"], writer
+        drop = observe = lambda self, *_: self
+
+    monkeypatch.setattr(jdbc, "Observation", Seen)
+    assert jdbc.write_jdbc(Frame(), "t", {"url": "u"}, "overwrite") == 0
+    assert (writer.calls["mode"], writer.calls["truncate"], writer.calls["dbtable"]) == ("overwrite", True, "t")
+
+
+def test_internal_columns_are_dropped(spark):
     empty = spark.createDataFrame([], "a int, _b int")
-    assert jdbc.write_jdbc(empty, "t", {}, "overwrite") == 0
     assert jdbc.drop_internal(empty).columns == ["a"]
 
 
@@ -257,10 +297,11 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_cluster_needs_a_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", None])
+def test_cluster_needs_a_shared_folder(master):
     class Conf:
         def get(self, key, default=None):
-            return "yarn" if key == "spark.master" else None
+            return master if key == "spark.master" and master else default
 
     class Session:
         conf = Conf()
@@ -269,6 +310,15 @@ def test_cluster_needs_a_shared_folder():
         shared_root(Session)
 
 
+def test_batches_replace_themselves_under_any_name(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "manual__2026-01-04T15:12:49+00:00 ü/%"
+    for rows in (5, 3):
+        sinks.replace_batch(spark.range(rows), path, name)
+    sinks.replace_batch(spark.range(2), path, "other")
+    got = spark.read.schema("id bigint, batch string").parquet(path).groupBy("batch").count().collect()
+    assert {tuple(r) for r in got} == {(name, 3), ("other", 2)}
+
+
 def test_route_files(spark, tmp_path):
     from trackloom.sources import routes
 

@@ -53,7 +53,7 @@ def test_state_continues_after_restart(spark, tmp_path):
     assert rows_of(state.read_state(spark, str(tmp_path / "out"))) == rows_of(expected)
 
 
-def test_hourly_snapshots_wait_for_the_watermark_and_drop_late_rows(spark, tmp_path):
+def test_hourly_snapshots_take_every_report(spark, tmp_path):
     start = 1_704_067_200
     source, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
 
@@ -67,15 +67,15 @@ def test_hourly_snapshots_wait_for_the_watermark_and_drop_late_rows(spark, tmp_p
         except Exception:
             return []
 
-    assert feed(("a", start + 10, 1, 1.0), ("a", start + 5, 2, 1.0), ("b", start + 3599, 3, 1.0)) == []
-    # out of order, but before the watermark has passed the hour
-    assert feed(("a", start + 3700, 4, 1.0), ("a", start + 20, 5, 1.0)) == []
-    done = feed(("c", start + 3600 + 700, 6, 1.0))
-    assert done == [("a", start + 20, 3), ("b", start + 3599, 1)]
-    # the hour is closed: a late row changes nothing and comes out nowhere
-    assert feed(("a", start + 30, 7, 1.0)) == done
-    later = feed(("d", start + 3 * 3600, 8, 1.0))
-    assert later == sorted(done + [("a", start + 3700, 1), ("c", start + 4300, 1)])
+    first = feed(("a", start + 10, 1, 1.0), ("a", start + 5, 2, 1.0), ("b", start + 3599, 3, 1.0))
+    assert first == [("a", start + 10, 2), ("b", start + 3599, 1)]
+    # out of order: merged into its hour
+    assert feed(("a", start + 3700, 4, 1.0), ("a", start + 20, 5, 1.0)) == [
+        ("a", start + 20, 3), ("a", start + 3700, 1), ("b", start + 3599, 1)]
+    later = feed(("d", start + 30 * 3600, 8, 1.0))
+    # a day late, and still in its hour
+    assert feed(("b", start + 7, 9, 1.0)) == sorted(
+        [r for r in later if r[0] != "b"] + [("b", start + 3599, 2)])
     batch = state.hourly_snapshots(spark.createDataFrame([("a", start, 1, 1.0), ("a", start + 3600, 2, 1.0)], DDL))
     assert batch.count() == 2
 

@@ -65,11 +65,8 @@ def _half_up(numerator: str, denominator: str, digits: int) -> str:
     )
 
 
-# ordering number of a report: second, then coarse latitude and longitude
-ORDER_NUMBER = (
-    "time * 1073741824 + coalesce(cast(floor((lat + 90.0e0) / 180.0e0 * 32767) as bigint), 0)"
-    " * 32768 + coalesce(cast(floor((lon + 180.0e0) / 360.0e0 * 32767) as bigint), 0)"
-)
+# order of reports: second, then position and altitude as they are
+ORDER = "time, lat nulls first, lon nulls first, coalesce({alt}, 0)"
 
 _END_COLUMNS = ", ".join(
     f"{a}.code as {end}_code, {a}.city as {end}_city, {a}.name as {end}_airport, "
@@ -172,6 +169,21 @@ CTES = {
                position_count
         from speed_layer""",
     "unified": "select * from unified_batch union all by name select * from unified_speed",
+    "spread_year": f"""
+        select *, {_parts('time')}
+        from (select * replace (time + (event_id % 300) * 86400 as time) from telemetry)""",
+    "gold_rows": f"""
+        select icao24, {CLEAN.format(c='callsign')} as cs, lastcontact, time, {_parts('time')} from silver
+        union all by name
+        select icao24, {CLEAN.format(c='callsign')} as cs, cast(last_contact as double) as lastcontact,
+               time_position as time, {_parts('time_position')} from speed_layer""",
+    "gold_all": """
+        select year, month, count(*) as states, cast(sum(time) as bigint) as seconds
+        from gold_rows group by 1, 2""",
+    "gold_once": """
+        select year, month, count(*) as states, cast(sum(latest) as bigint) as seconds
+        from (select icao24, cs, lastcontact, year, month, max(time) as latest
+              from gold_rows group by all) group by 1, 2""",
     "coded": """
         select s."FlightNo" as flight_no, s."Origin" as origin_code,
                s."Destination" as destination_code, coalesce(c.airline_iata, 'XX') as airline_iata,
@@ -236,14 +248,19 @@ CTES = {
         select *, case method when 'exact_database' then exact_o when 'geographic' then c1 end as oc,
                case method when 'exact_database' then exact_d when 'geographic' then c2 end as dc
         from hybrid""",
-    "numbered": f"select *, {ORDER_NUMBER} as ord from telemetry",
+    "ends_ranked": f"""
+        select icao24, lat, lon, coalesce(baroaltitude, 0) as alt,
+               row_number() over (partition by icao24 order by {ORDER.format(alt='baroaltitude')}) as n,
+               count(*) over (partition by icao24) as positions
+        from telemetry""",
     "ends": """
-        select icao24, count(*) as positions,
-               first(lat order by ord) as flat, first(lon order by ord) as flon,
-               first(coalesce(baroaltitude, 0) order by ord) as falt,
-               last(lat order by ord) as llat, last(lon order by ord) as llon,
-               last(coalesce(baroaltitude, 0) order by ord) as lalt
-        from numbered group by icao24""",
+        select icao24, positions,
+               max(case when n = 1 then lat end) as flat, max(case when n = 1 then lon end) as flon,
+               max(case when n = 1 then alt end) as falt,
+               max(case when n = positions then lat end) as llat,
+               max(case when n = positions then lon end) as llon,
+               max(case when n = positions then alt end) as lalt
+        from ends_ranked group by icao24, positions""",
     "end_points": """
         select icao24, 'o' as which, flat as lat, flon as lon from ends
         where positions >= 2 and falt < 1000
@@ -255,13 +272,20 @@ CTES = {
         from end_points a join airports s on a.lat is not null and {KM} <= 300""",
     "trips": f"""
         select *, {CLEAN.format(c='callsign')} as cs, {DATE.format(t='time')} as d,
-               coalesce(baroaltitude / 20, 0) as alt from numbered""",
+               coalesce(baroaltitude / 20, 0) as alt from telemetry""",
+    "trips_ranked": f"""
+        select cs, d, icao24, lat, lon, alt,
+               row_number() over (partition by cs, d, icao24 order by {ORDER.format(alt='alt')}) as n,
+               count(*) over (partition by cs, d, icao24) as positions
+        from trips where cs <> ''""",
     "trip_ends": """
-        select cs, d, icao24, count(*) as positions,
-               first(lat order by ord) as flat, first(lon order by ord) as flon,
-               first(alt order by ord) as falt, last(lat order by ord) as llat,
-               last(lon order by ord) as llon, last(alt order by ord) as lalt
-        from trips where cs <> '' group by cs, d, icao24""",
+        select cs, d, icao24, positions,
+               max(case when n = 1 then lat end) as flat, max(case when n = 1 then lon end) as flon,
+               max(case when n = 1 then alt end) as falt,
+               max(case when n = positions then lat end) as llat,
+               max(case when n = positions then lon end) as llon,
+               max(case when n = positions then alt end) as lalt
+        from trips_ranked group by cs, d, icao24, positions""",
     "trip_points": """
         select cs, d, icao24, 'o' as which, flat as lat, flon as lon from trip_ends
         where positions >= 2 and falt < 1000
@@ -348,17 +372,17 @@ _BOX_TEST = "lat between 6.0 and 37.0 and lon between 68.0 and 98.0"
 _ROUTE = "departure_airport, arrival_airport, route, aircraft_model, aircraft_type"
 
 _LATEST = """
-    select {extra} * exclude (rn, ord)
+    select {extra} * exclude (rn)
     from (select *, row_number() over (partition by {keys} order by time desc, event_id desc) as rn,
                  min(time) over (partition by {keys}) as first_seen,
                  max(time) over (partition by {keys}) as last_seen,
                  count(*) over (partition by {keys}) as position_count
-          from numbered) where rn = 1"""
+          from telemetry) where rn = 1"""
 
 _SERVING_MEANS = "avg(baro_altitude) as avg_altitude, avg(velocity) as avg_velocity"
 
 CHECKS = {
-    "scan_parquet": f"select {_STATES}, year, month, day from bronze",
+    "scan_parquet": f"select {_STATES}, year, month, day from spread_year where month between 3 and 8",
     "scan_states_csv": f"select {_STATES} from telemetry",
     "scan_history_csv": "select * from routes_hist",
     "bronze_states": f"select {_STATES}, year, month, day from bronze where ({_BOX_TEST}) or ({_PREFIX_TEST})",
@@ -580,12 +604,12 @@ CHECKS = {
                count(*) filter (where not onground) as airborne_data_points,
                count(distinct callsign) as number_of_flights,
                max(vertrate) as max_vertical_rate, min(vertrate) as min_vertical_rate,
-               last(lat order by ord) as last_reported_lat,
-               last(lon order by ord) as last_reported_lon,
+               last(lat order by time, lat nulls first, lon nulls first) as last_reported_lat,
+               last(lon order by time, lat nulls first, lon nulls first) as last_reported_lon,
                avg(velocity) as avg_velocity, max(baroaltitude) as max_altitude,
                {_half_up('count(*) filter (where not onground) * 10', '3600', 2)}
                    as estimated_flight_hours
-        from (select *, {DATE.format(t='time')} as flight_date from numbered)
+        from (select *, {DATE.format(t='time')} as flight_date from telemetry)
         group by icao24, flight_date""",
     "dim_airspace_heatmap": """
         select concat_ws(',', cast(lat_bin as varchar), cast(lon_bin as varchar)) as geo_hash,
@@ -690,6 +714,25 @@ CHECKS = {
             select *, row_number() over (partition by icao24
                           order by velocity desc nulls last, event_id) as rn
             from telemetry) where rn <= 3""",
+    "sample_rows": """
+        select * from telemetry
+        where substr(md5('42|' || cast(event_id as varchar)), 1, 8) < '80000000'""",
+    "sample_bytes": """
+        select * from telemetry
+        where substr(md5('42|' || icao24), 1, 8) < '40000000'""",
+    "gold_layers": f"""
+        select 'full' as load, * from gold_all
+        union all by name select 'incremental' as load, * from gold_all
+        union all by name select 'distinct' as load, * from gold_once
+        union all by name select 'distinct incremental' as load, * from gold_once""",
+    "serving_two_loads": f"""
+        select airline_name, count(icao24) as total_flights, {_SERVING_MEANS},
+               (select count(*) from unified) as stored_states, true as ledger_unique
+        from unified where airline_name is not null group by 1""",
+    "mapping_job_rows": "select * from mapping",
+    "star_tables": """
+        select 'fact_flight_history' as name, count(*) as n, sum(total_data_points) as total from fact
+        union all select 'raw_telemetry', count(*), sum(time) from telemetry""",
     "stream_enrich": f"select {_SPEED_OUT} from speed where origin_code is not null and destination_code is not null",
     "stream_latest": _LATEST.format(keys="icao24", extra=""),
     "stream_hourly": _LATEST.format(

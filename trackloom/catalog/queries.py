@@ -7,12 +7,14 @@ from .. import functions as fn
 from .. import reference_data as ref
 from .. import schemas
 from ..operators import filters, live, lookup, merge, serving, sites, star, tracks
-from ..plans.layers import bronze_job, silver_job
+from ..plans.layers import bronze_job, gold_job, mapping_job, silver_job
+from ..plans.serving import serving_job
+from ..plans.star import star_job
 from ..sinks import export_csv, upsert_ledger, write_partitioned
 from ..sources import dims, files, payloads
 from ..streaming.enrich import start_enrichment
-from ..streaming.serve import serving_table, start_serving
-from ..streaming.state import read_state, start_accumulation, start_hourly_snapshots
+from ..streaming.serve import serving_table, start_serving, stored_states
+from ..streaming.state import publish_hours, read_state, start_accumulation, start_hourly_snapshots
 from ..workspace import scratch_path
 from . import views
 from .views import table
@@ -35,11 +37,12 @@ def _site_table(spark: SparkSession) -> DataFrame:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitioned parquet, written and read with a bound on year and month."""
+    """Reports spread over the year as partitioned parquet, read from March to August."""
     path = scratch_path(spark, "bronze")
-    states = fn.with_date_parts(views.telemetry(spark, sf_dir))
+    later = F.col("time") + F.col("event_id") % 300 * 86_400
+    states = fn.with_date_parts(views.telemetry(spark, sf_dir).withColumn("time", later))
     write_partitioned(states, path, cluster=True)
-    return files.read_layer(spark, path, since=(2024, 1)).drop("event_id")
+    return files.read_layer(spark, path, since=(2024, 3), until=(2024, 8)).drop("event_id")
 
 
 @query
@@ -78,7 +81,7 @@ def bronze_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = views.telemetry(spark, sf_dir).select(*schemas.names(schemas.STATES))
     states.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(root)
     bronze_job(spark, root, bronze, archives=False)
-    return files.read_layer(spark, bronze)
+    return files.read_layer(spark, bronze).drop("batch")
 
 
 @query
@@ -122,7 +125,7 @@ def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def india_routes_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "region-routes")
     routes = filters.region_routes(views.mapping(spark, sf_dir))
-    export_csv(routes, path, [F.desc("flight_count"), F.col("callsign")], routes.count())
+    export_csv(routes, path, [F.desc("flight_count"), F.col("callsign")])
     return spark.read.schema(routes.schema).option("header", True).csv(path)
 
 
@@ -682,17 +685,14 @@ def top_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = views.telemetry(spark, sf_dir)
-    rows = table(spark, sf_dir, "events").count()
-    return merge.sample_to_rows(reports, rows // 2, rows=rows)
+    """Half of the reports."""
+    return merge.sample_fraction(views.telemetry(spark, sf_dir), 0.5, ["event_id"])
 
 
 @query
 def sample_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = views.telemetry(spark, sf_dir)
-    rows = table(spark, sf_dir, "events").count()
-    target_gb = rows * ref.ROW_BYTES / 2 / 1024**3
-    return merge.sample_to_bytes(reports, target_gb, rows=rows)
+    """A quarter of the data: all reports of a quarter of the aircraft."""
+    return merge.sample_fraction(views.telemetry(spark, sf_dir), 0.25, ["icao24"])
 
 
 # --- streams ---------------------------------------------------------------------------------
@@ -751,23 +751,20 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly snapshots. One report two days later lets the watermark pass every hour."""
-    reports = views.telemetry(spark, sf_dir)
-    closing = reports.agg((F.max("time") + 2 * 86_400).alias("time"))
-    source = reports.unionByName(
-        closing.withColumn("icao24", F.lit("closing")), allowMissingColumns=True
-    )
+    """Hourly snapshots of a backlog in any order: eight files, one per micro-batch."""
     out = scratch_path(spark, "snapshots")
+    reports = views.telemetry(spark, sf_dir)
     _finish(
         start_hourly_snapshots(
-            _as_stream(spark, source, "reports"),
+            _as_stream(spark, reports.repartition(8, F.xxhash64("event_id")), "reports", 1),
             out,
             scratch_path(spark, "checkpoint"),
             available_now=True,
-            files_per_hour=1,
             ties=("event_id",),
+            publish=False,
         )
     )
+    publish_hours(spark, out, ties=("event_id",), files_per_hour=1)
     return spark.read.parquet(out).drop(
         "year", "month", "day", "hour", "processing_time", "source"
     )
@@ -785,3 +782,89 @@ def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return serving_table(spark, root, serving.AIRLINE_STATS)
+
+
+# --- jobs ------------------------------------------------------------------------------------
+
+
+@query
+def mapping_job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping job over CSV files whose columns are in another order."""
+    root, out = scratch_path(spark, "history"), scratch_path(spark, "mapping")
+    history = views.history(spark, sf_dir).select(*reversed(schemas.names(schemas.HISTORY)))
+    (
+        history.toDF(*[f" {c} " for c in history.columns])
+        .write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(root)
+    )
+    mapping_job(spark, root, out)
+    return spark.read.parquet(out)
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The silver and the live layer, stored."""
+    paths = {n: scratch_path(spark, n) for n in ("silver", "speed", "gold", "once", "star", "serving")}
+    write_partitioned(views.silver(spark, sf_dir).drop("event_id"), paths["silver"])
+    hours = ("year", "month", "day", "hour")
+    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), paths["speed"], by=hours)
+    return paths
+
+
+@query
+def gold_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job in full and then incrementally, with and without copies, by month."""
+    p = _layers(spark, sf_dir)
+    out = None
+    for name, target, distinct in (("full", "gold", False), ("distinct", "once", True)):
+        for load in (name, "incremental" if name == "full" else f"{name} incremental"):
+            gold_job(spark, p["silver"], p["speed"], p[target], full=load == name, distinct=distinct)
+            rows = (
+                spark.read.parquet(p[target])
+                .groupBy("year", "month")
+                .agg(F.count(F.lit(1)).alias("states"), F.sum("time").alias("seconds"))
+                .withColumn("load", F.lit(load))
+            )
+            # the next load rewrites the files
+            rows = spark.createDataFrame(rows.collect(), rows.schema)
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def star_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star job over the stored reports: rows and a control sum of two of its tables."""
+    gold, star_path = scratch_path(spark, "gold"), scratch_path(spark, "star")
+    write_partitioned(fn.with_date_parts(views.silver(spark, sf_dir)), gold)
+    star_job(spark, gold, star_path)
+    out = None
+    for name, measure in (("fact_flight_history", "total_data_points"), ("raw_telemetry", "time")):
+        rows = spark.read.parquet(f"{star_path}/{name}").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(measure).cast("bigint").alias("total")
+        )
+        rows = rows.withColumn("name", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def serving_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two increments, and the first again after new files came, under an id with colons."""
+    p = {n: scratch_path(spark, n) for n in ("silver", "speed", "root")}
+    silver = views.silver(spark, sf_dir).drop("event_id")
+    early = F.col("day") <= 10
+    hours = ("year", "month", "day", "hour")
+    first = "manual__2026-01-04T15:12:49+00:00"
+    write_partitioned(silver.filter(early), p["silver"])
+    serving_job(spark, p["silver"], p["speed"], p["root"], first)
+    write_partitioned(silver.filter(~early), p["silver"])
+    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), p["speed"], by=hours)
+    serving_job(spark, p["silver"], p["speed"], p["root"], "second")
+    serving_job(spark, p["silver"], p["speed"], p["root"], first)
+    ledger = spark.read.parquet(f"{p['root']}/ledger")
+    figures = ledger.agg((F.count("file_path") == F.countDistinct("file_path")).alias("ledger_unique"))
+    states = stored_states(spark, p["root"]).agg(F.count(F.lit(1)).alias("stored_states"))
+    one = figures.withColumn("k", F.lit(1)).join(states.withColumn("k", F.lit(1)), "k")
+    stats = serving_table(spark, p["root"], serving.AIRLINE_STATS).withColumn("k", F.lit(1))
+    return stats.join(one, "k").drop("k")

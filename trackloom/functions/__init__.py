@@ -7,7 +7,6 @@ from .geo import (
     haversine_km,
     in_bbox,
     interpolate_position,
-    position_order,
 )
 from .text import (
     airline_iata,
@@ -36,6 +35,6 @@ __all__ = [
     "airline_iata", "airline_prefix", "all_digits", "bearing_deg", "clean_code",
     "event_time", "first_of", "flight_id", "flight_number", "grid_bin", "grid_key",
     "has_prefix", "haversine_km", "in_bbox", "interpolate_position", "known_prefix",
-    "lookback", "make_callsign", "position_order", "route_text", "trailing_digits", "utc_date",
+    "lookback", "make_callsign", "route_text", "trailing_digits", "utc_date",
     "utc_hour", "with_date_parts", "with_flight_keys",
 ]

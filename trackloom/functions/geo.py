@@ -66,24 +66,3 @@ def grid_bin(c: Column | str, degrees: float = 0.5) -> Column:
 
 def grid_key(lat_bin: Column | str, lon_bin: Column | str) -> Column:
     return F.concat_ws(",", as_column(lat_bin), as_column(lon_bin))
-
-
-_TIE_STEPS = 1 << 15
-
-
-def position_order(epoch: Column | str, lat: Column | str, lon: Column | str) -> Column:
-    """A number that orders reports by second, then latitude, then longitude.
-
-    ``min_by``/``max_by`` over it keep fixed-width buffers, which lets Spark use a hash
-    aggregate; ordering by a struct would force a sort of all rows before the partial
-    aggregate. Reports of one second are told apart in steps of 180/2^15 degrees of
-    latitude and 360/2^15 degrees of longitude.
-    """
-
-    def step(c, low, span):
-        return F.coalesce(
-            F.floor((as_column(c) - low) / span * (_TIE_STEPS - 1)), F.lit(0).cast("bigint")
-        )
-
-    ties = step(lat, -90.0, 180.0) * _TIE_STEPS + step(lon, -180.0, 360.0)
-    return as_column(epoch) * (_TIE_STEPS * _TIE_STEPS) + ties

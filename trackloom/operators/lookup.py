@@ -1,7 +1,6 @@
 """Routes and attributes looked up in dimension tables.
 
-No operator here hints a broadcast except where the caller states the row count of
-the dimension. Fixed tables are local relations whose size Catalyst knows; stored
+No operator here hints a broadcast. Fixed tables are local relations whose size Catalyst knows; stored
 tables are planned by their file size; anything else is re-planned by AQE from the
 size it really has, and is a sort-merge join with skew splitting beyond that.
 """
@@ -23,8 +22,15 @@ from ..functions import (
 )
 from .filters import has_text, with_both_ends, without_self_loops
 
-# a mapping row takes about 100 bytes in memory, so this is some 100 MB per executor
-BROADCAST_ROWS = 1_000_000
+# no call sign holds a line feed, so a key that begins with one matches nothing
+NULL_SPREAD = 1024
+
+
+def spread_nulls(df: DataFrame, key: Column) -> Column:
+    """``key`` with nulls replaced by one of many keys that match nothing, by the row's values."""
+    salt = F.pmod(F.xxhash64(*df.columns[:4]), F.lit(NULL_SPREAD)).cast("string")
+    return F.coalesce(key, F.concat(F.lit("\n"), salt))
+
 
 ROUTE_COLUMNS = (
     "departure_airport", "arrival_airport", "route", "aircraft_model", "aircraft_type",
@@ -34,20 +40,17 @@ ROUTE_COLUMNS = (
 def enrich_routes(
     states: DataFrame,
     mapping: DataFrame,
-    mapping_rows: int | None = None,
     callsign: str = "callsign",
 ) -> DataFrame:
     """Adds route and aircraft columns of the cleaned call sign; keeps every state.
 
-    ``mapping`` has one row per call sign. It is broadcast when its counted
-    ``mapping_rows`` are few enough; otherwise the planner decides.
+    ``mapping`` has one row per call sign. Whether it is broadcast is left to the
+    planner, which knows its bytes; where it is not, missing call signs, which match
+    nothing, are spread over all tasks instead of meeting in one.
     """
     side = mapping.select(F.col("callsign").alias("_callsign"), *ROUTE_COLUMNS)
-    if mapping_rows is not None and mapping_rows <= BROADCAST_ROWS:
-        side = F.broadcast(side)
-    return states.join(side, clean_code(states[callsign]) == side["_callsign"], "left").drop(
-        "_callsign"
-    )
+    key = spread_nulls(states, clean_code(states[callsign]))
+    return states.join(side, key == side["_callsign"], "left").drop("_callsign")
 
 
 def with_airport_attributes(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import with_date_parts
-from ..reference_data import ROW_BYTES, STATE_KEY, TELEMETRY_SAMPLE_ROWS
+from ..reference_data import STATE_KEY
 
 # unified column -> batch column, where the names differ
 BATCH_NAMES = {
@@ -151,23 +151,14 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(ranked)).filter(F.col(rank) <= k)
 
 
-def sample_to_rows(
-    df: DataFrame, max_rows: int = TELEMETRY_SAMPLE_ROWS, seed: int = 42, rows: int | None = None
-) -> DataFrame:
-    """About ``max_rows`` rows at random; all rows when there are not more.
+def sample_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """The rows whose keys hash below ``fraction``: all rows of a key or none.
 
-    ``rows`` is the known row count; it is counted (once) when not given.
+    The hash is the first 32 bits of md5, so the same rows are taken on any cluster and
+    whatever the size of the table. A null key is hashed as empty text.
     """
-    rows = df.count() if rows is None else rows
-    return df if rows <= max_rows else df.sample(fraction=max_rows / rows, seed=seed)
-
-
-def sample_to_bytes(
-    df: DataFrame,
-    target_gb: float = 20.0,
-    row_bytes: int = ROW_BYTES,
-    seed: int = 42,
-    rows: int | None = None,
-) -> DataFrame:
-    """A sample of about ``target_gb``, at ``row_bytes`` per row."""
-    return sample_to_rows(df, int(target_gb * 1024**3 / row_bytes), seed, rows)
+    if not 0 <= fraction <= 1:
+        raise ValueError("the fraction is between 0 and 1")
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    below = F.substring(F.md5(text), 1, 8) < f"{round(fraction * 16**8):08x}"
+    return df if fraction == 1 else df.filter(below)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..reference_data import LOG_KEYWORDS
@@ -55,23 +55,28 @@ def task_metrics(logs: DataFrame) -> DataFrame:
     )
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence, k: int | None, rank: str) -> DataFrame:
+    if k is not None:
+        return top_per_group(df, keys, order, k, rank)
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
 def log_summary(
     logs: DataFrame,
-    lines_per_file: int = 100,
-    files_per_group: int = 3,
+    lines_per_file: int | None = None,
+    files_per_group: int | None = None,
     keywords: Sequence[str] = LOG_KEYWORDS,
 ) -> DataFrame:
-    """The last important lines of the latest files of every group."""
+    """The important lines of every file, the last first; files ranked by age in their group.
+
+    ``lines_per_file`` and ``files_per_group`` cut the report where they are given.
+    """
     wanted = logs.filter(F.upper("line").rlike("|".join(keywords)))
     counts = wanted.groupBy("dag", "file", "modified").agg(
         F.count(F.lit(1)).alias("important_lines")
     )
-    latest = top_per_group(
-        counts, ["dag"], [F.desc("modified"), "file"], files_per_group, "file_rank"
-    )
-    last = top_per_group(
-        wanted, ["file"], [F.desc("block"), F.desc("line_id")], lines_per_file, "from_end"
-    )
+    latest = ranked(counts, ["dag"], [F.desc("modified"), "file"], files_per_group, "file_rank")
+    last = ranked(wanted, ["file"], [F.desc("block"), F.desc("line_id")], lines_per_file, "from_end")
     return last.select("file", "from_end", "line").join(latest, "file")
 
 
@@ -89,13 +94,8 @@ def storage_metrics(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
     )
 
 
-def folder_metrics(spark: SparkSession, root: str, k: int = 5) -> DataFrame:
-    """The first ``k`` folders below ``root`` in path order, with their file counts."""
+def folder_metrics(spark: SparkSession, root: str, k: int | None = None) -> DataFrame:
+    """The folders below ``root`` with their file counts; the first ``k`` in path order if given."""
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    return (
-        list_files(spark, root)
-        .groupBy(folder.alias("folder"))
-        .agg(F.count(F.lit(1)).alias("files"))
-        .orderBy("folder")
-        .limit(k)
-    )
+    found = list_files(spark, root).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+    return found if k is None else found.orderBy("folder").limit(k)

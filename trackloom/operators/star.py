@@ -13,7 +13,6 @@ from ..functions import (
     flight_id,
     grid_bin,
     grid_key,
-    position_order,
     route_text,
     utc_date,
     utc_hour,
@@ -180,16 +179,13 @@ def dim_route_analytics(fact: DataFrame, sep: str = "-") -> DataFrame:
 
 def dim_aircraft_utilization(gold: DataFrame) -> DataFrame:
     """Per aircraft and day: activity, vertical rates, last position, estimated hours."""
-    order = position_order("time", "lat", "lon")
     keys = ["icao24", "flight_date"]
     parts = (
         gold.withColumn("flight_date", utc_date("time"))
         .groupBy(*keys, "callsign")
         .agg(
             F.min("time").alias("_first"),
-            F.max(order).alias("_last"),
-            F.max_by("lat", order).alias("_lat"),
-            F.max_by("lon", order).alias("_lon"),
+            F.max(F.struct("time", "lat", "lon")).alias("_last"),
             flagged(~F.col("onground")).alias("_airborne"),
             F.max("vertrate").alias("_max_rate"),
             F.min("vertrate").alias("_min_rate"),
@@ -204,8 +200,8 @@ def dim_aircraft_utilization(gold: DataFrame) -> DataFrame:
         F.count("callsign").alias("number_of_flights"),
         F.max("_max_rate").alias("max_vertical_rate"),
         F.min("_min_rate").alias("min_vertical_rate"),
-        F.max_by("_lat", "_last").alias("last_reported_lat"),
-        F.max_by("_lon", "_last").alias("last_reported_lon"),
+        F.max("_last")["lat"].alias("last_reported_lat"),
+        F.max("_last")["lon"].alias("last_reported_lon"),
         F.try_divide(F.sum("_speed"), F.sum("_speeds")).alias("avg_velocity"),
         F.max("_alt").alias("max_altitude"),
     )

@@ -15,15 +15,19 @@ def track_distance(
     lat: str = "lat",
     lon: str = "lon",
     bucket_seconds: int = 600,
+    known: str | None = "icao24",
 ) -> DataFrame:
     """Kilometres flown and positions per track: the sum of steps between reports.
 
     Steps are taken inside time buckets of a track, then between the last position of
     one bucket and the first of the next. A track of any length is thus spread over
     many tasks; the second step sees one row per bucket. Reports without a position are
-    left out; equal times are ordered by position.
+    left out; equal times are ordered by position. Reports whose ``known`` key is null
+    belong to no object and are left out as well.
     """
     keys = list(keys)
+    if known in keys:
+        df = df.filter(F.col(known).isNotNull())
     placed = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         *keys,
         F.col(epoch).alias("_t"),

@@ -1,14 +1,19 @@
 """Raw files to the merged table: mapping, bronze, silver, gold."""
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import clean_code, lookback
 from ..operators.filters import filter_region, region_routes
 from ..operators.lookup import enrich_routes
-from ..operators.merge import latest_per_key, merge_gold, sample_to_bytes
+from ..operators.merge import latest_per_key, merge_gold, sample_fraction, speed_as_states
 from ..operators.star import build_mapping
-from ..sinks import counted, export_csv, write_partitioned
+from ..sinks import counted, export_csv, replace_batch, write_partitioned
 from ..sources.files import (
     read_csv_tree,
     read_layer,
@@ -29,9 +34,13 @@ def mapping_job(
     mapping_path: str,
     region_csv: str | None = None,
     schema: str | None = schemas.HISTORY,
-    epoch: str | None = None,
+    epoch: str | None = "firstseen",
 ) -> dict[str, int]:
-    """Flight history files to the route mapping, and the region's routes as a CSV extract."""
+    """Flight history files to the route mapping, and the region's routes as a CSV extract.
+
+    A call sign keeps its earliest flight by ``epoch``; files without that column give
+    nulls there, which come last, and ties are settled by values.
+    """
     history, read = counted(read_csv_tree(spark, history_root, schema))
     build_mapping(history, epoch).write.mode("overwrite").parquet(mapping_path)
     mapping = spark.read.parquet(mapping_path)
@@ -42,7 +51,7 @@ def mapping_job(
     region = region_routes(mapping)
     in_region = region.count()
     if region_csv:
-        export_csv(region, region_csv, [F.desc("flight_count"), F.col("callsign")], in_region)
+        export_csv(region, region_csv, [F.desc("flight_count"), F.col("callsign")])
     return {
         "total_records": read.get["rows"],
         **figures.asDict(),
@@ -55,36 +64,38 @@ def bronze_job(
     root: str,
     bronze_path: str,
     archives: bool = True,
-    max_files: int | None = None,
-    mode: str = "append",
+    batch: str = "all",
+    modified_after: str | None = None,
+    modified_before: str | None = None,
 ) -> dict[str, int]:
-    """Position reports of the region as parquet by year and month, in one pass.
+    """Position reports of the region as parquet by batch, year and month, in one pass.
 
-    ``archives`` reads tar files; otherwise ``root`` holds CSV files. Unreadable archives
-    are counted and left out; ``sources.files.tar_errors`` names them.
+    ``archives`` reads tar files; otherwise ``root`` holds CSV files. The rows are stored
+    under ``batch=``: a load that is repeated under its name replaces its own rows and
+    nothing else. ``modified_after`` and ``modified_before`` (timestamps) bound the files.
+    Damaged archives give no rows; they are counted, and ``sources.files.tar_errors``
+    names them.
     """
+    bounds = {k: v for k, v in (("modifiedAfter", modified_after), ("modifiedBefore", modified_before)) if v}
     broken = None
     if archives:
-        lines, broken = counted(
-            read_tar_lines(spark, root, max_files), broken=F.count("error")
-        )
+        lines, broken = counted(read_tar_lines(spark, root, **bounds), broken=F.count("error"))
         states = tar_states(lines)
     else:
-        states = read_states(spark, root)
+        states = read_states(spark, root, **bounds)
     kept, written = counted(filter_region(states))
-    write_partitioned(kept, bronze_path, mode, cluster=True)
+    replace_batch(kept, bronze_path, batch, ("year", "month"))
     return {
         "records": written.get["rows"],
         "broken_archives": broken.get["broken"] if broken else 0,
     }
 
 
-def require_mapping(spark: SparkSession, mapping_path: str) -> tuple[DataFrame, int]:
+def require_mapping(spark: SparkSession, mapping_path: str) -> DataFrame:
     mapping = read_optional(spark, mapping_path)
-    rows = 0 if mapping is None else mapping.count()
-    if not rows:
+    if mapping is None or mapping.isEmpty():
         raise MissingMapping(f"no route mapping at {mapping_path}")
-    return mapping, rows
+    return mapping
 
 
 def silver_job(
@@ -99,13 +110,13 @@ def silver_job(
 
     With ``since``/``until`` only those months are read and replaced.
     """
-    mapping, mapping_rows = require_mapping(spark, mapping_path)
-    bronze = read_layer(spark, bronze_path, since, until)
-    enriched, written = counted(
-        enrich_routes(bronze, mapping, mapping_rows), matched=F.count("route")
-    )
+    mapping = require_mapping(spark, mapping_path)
+    bronze = read_layer(spark, bronze_path, since, until).drop("batch")
+    enriched, written = counted(enrich_routes(bronze, mapping), matched=F.count("route"))
     bounded = since is not None or until is not None
-    write_partitioned(enriched, silver_path, "overwrite_partitions" if bounded else "overwrite")
+    write_partitioned(
+        enriched, silver_path, "overwrite_partitions" if bounded else "overwrite", cluster=True
+    )
     rows, matched = written.get["rows"], written.get["matched"]
     return {
         "records": rows,
@@ -121,35 +132,55 @@ def gold_job(
     gold_path: str,
     full: bool = True,
     distinct: bool = False,
+    since: str | None = None,
+    days: int | None = None,
 ) -> dict[str, int]:
     """Batch and live states as one table.
 
-    A full load rewrites it. An incremental load replaces the live rows of the months
-    that the live layer holds and leaves the batch rows alone, so it can be repeated.
-    ``distinct`` keeps the latest row per aircraft, call sign and last contact.
+    A full load rewrites it. An incremental load rewrites the months that the live layer
+    holds and can be repeated; ``since`` (a timestamp) narrows them to months with live
+    files modified after it. ``days`` keeps the reports of the last days only.
+
+    ``distinct`` keeps the latest row per aircraft, clean call sign and last contact over
+    both layers. Its table is partitioned by year and month only, as a month's rows of
+    both layers are then rewritten together; otherwise also by layer, and an incremental
+    load leaves the batch rows alone.
     """
     speed = read_optional(spark, speed_path)
-    batch = spark.read.parquet(silver_path) if full else None
+    batch = read_optional(spark, silver_path) if full or distinct else None
+    if not full and speed is None:
+        return {"gold_records": 0}
     gold = merge_gold(batch, speed)
     if gold is None:
         return {"gold_records": 0}
+    if not full:
+        new = spark.read.schema(speed.schema).option("basePath", speed_path)
+        new = (new.option("modifiedAfter", since) if since else new).parquet(speed_path)
+        months = speed_as_states(new).select("year", "month").distinct().collect()
+        if not months:
+            return {"gold_records": 0}
+        # one term per month, so that whole folders are skipped
+        gold = gold.filter(reduce(or_, [(F.col("year") == y) & (F.col("month") == m) for y, m in months]))
+    if days is not None:
+        gold = lookback(gold, "time", days)
     if distinct:
-        gold = latest_per_key(gold, ["icao24", "callsign", "lastcontact"], ["time"])
+        code = gold.withColumn("_code", clean_code("callsign"))
+        gold = latest_per_key(code, ["icao24", "_code", "lastcontact", "year", "month"], ["time"]).drop("_code")
     gold, written = counted(gold)
-    write_partitioned(
-        gold,
-        gold_path,
-        "overwrite" if full else "overwrite_partitions",
-        ("data_source", "year", "month"),
-    )
+    by = ("year", "month") if distinct else ("data_source", "year", "month")
+    write_partitioned(gold, gold_path, "overwrite" if full else "overwrite_partitions", by, cluster=True)
     return {"gold_records": written.get["rows"]}
 
 
-
 def sample_job(
-    spark: SparkSession, path: str, sample_path: str, target_gb: float = 20.0, seed: int = 42
+    spark: SparkSession,
+    path: str,
+    sample_path: str,
+    fraction: float,
+    keys: Sequence[str] = ("icao24", "time"),
+    seed: int = 42,
 ) -> dict[str, int]:
-    """A stored layer cut down to about ``target_gb``; a smaller one is kept whole."""
-    kept, written = counted(sample_to_bytes(spark.read.parquet(path), target_gb, seed=seed))
+    """A fraction of a stored layer, chosen by a hash of its keys."""
+    kept, written = counted(sample_fraction(spark.read.parquet(path), fraction, keys, seed))
     write_partitioned(kept, sample_path, "overwrite", cluster=True)
     return {"records": written.get["rows"]}

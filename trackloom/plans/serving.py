@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import merge_unified
 from ..operators.serving import SERVING_TABLES
-from ..sinks import append_ledger, ledger_rows, read_ledger
+from ..sinks import append_ledger, counted, ledger_rows, read_ledger
 from ..sources.files import read_new_files, read_optional
-from ..streaming.serve import serving_table, store_batch
+from ..streaming.serve import batch_states, serving_table, store_batch
 
 
 def serving_job(
@@ -24,12 +24,13 @@ def serving_job(
     """Loads the unified states and brings the four serving tables up to date.
 
     ``run`` names the load. States, partial aggregates and ledger rows are stored under
-    it, and the ledger comes last: a load that broke off is repeated under the same name
-    without counting anything twice. An incremental load reads only files that the
-    ledger does not hold, and aggregates only those.
+    it, and the ledger comes last: a load that is repeated under the same name, whether
+    it broke off or not, takes its own files again and counts nothing twice. An
+    incremental load reads only files that no other load has in the ledger, and
+    aggregates only those. The ledger has one row per file.
     """
     ledger_path = f"{root}/ledger"
-    ledger = None if full else read_ledger(spark, ledger_path)
+    ledger = None if full else read_ledger(spark, ledger_path, without=run)
     layers: dict[str, DataFrame | None] = {}
     listings: dict[str, DataFrame] = {}
     for layer, path in (("batch", batch_path), ("speed", speed_path)):
@@ -42,7 +43,7 @@ def serving_job(
     if merged is None:
         return {"states": 0, "files": 0}
     store_batch(merged, root, run, replace_all=full)
-    states = spark.read.parquet(f"{root}/states/batch={run}").count()
+    states = batch_states(spark, root, run, merged.schema).count()
     new_rows = None
     for layer, listing in listings.items():
         if layers[layer] is not None:
@@ -53,8 +54,9 @@ def serving_job(
             )
             rows = ledger_rows(listing, layer, counts)
             new_rows = rows if new_rows is None else new_rows.unionByName(rows)
-    append_ledger(new_rows, ledger_path, run)
-    files = spark.read.parquet(ledger_path).filter(F.col("run") == run).count()
+    new_rows, seen = counted(new_rows)
+    append_ledger(new_rows, ledger_path, run, full)
+    files = seen.get["rows"]
     if publish is not None:
         for table in SERVING_TABLES:
             current = serving_table(spark, root, table)

@@ -5,14 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import telemetry_projection
-from ..operators.merge import sample_to_rows
+from ..operators.merge import sample_fraction
 from ..operators.star import (
     dim_aircraft_utilization,
     dim_airspace_heatmap,
     dim_route_analytics,
     fact_flight_history,
 )
-from ..reference_data import TELEMETRY_SAMPLE_ROWS
 from ..sinks import counted
 from ..sources.jdbc import write_jdbc
 
@@ -26,14 +25,15 @@ def star_job(
     spark: SparkSession,
     gold_path: str,
     star_path: str,
-    telemetry_rows: int = TELEMETRY_SAMPLE_ROWS,
+    sample: float | None = None,
     publish: Callable[[DataFrame, str], int] | None = None,
 ) -> dict[str, int]:
     """Writes the five tables below ``star_path`` and returns their row counts.
 
     Each table scans only the gold columns it needs; the route dimension is built from
     the stored fact table. Nothing is cached and every table is one write. ``publish``
-    (such as ``jdbc_publisher``) gets each stored table for a database.
+    (such as ``jdbc_publisher``) gets each stored table for a database. ``raw_telemetry``
+    has every report; with ``sample`` that fraction of it is stored as a sixth table.
     """
     gold = spark.read.parquet(gold_path)
     rows: dict[str, int] = {}
@@ -51,7 +51,9 @@ def star_job(
     store("dim_route_analytics", dim_route_analytics(fact))
     store("dim_aircraft_utilization", dim_aircraft_utilization(gold))
     store("dim_airspace_heatmap", dim_airspace_heatmap(gold))
-    store("raw_telemetry", sample_to_rows(telemetry_projection(gold), telemetry_rows))
+    telemetry = store("raw_telemetry", telemetry_projection(gold))
+    if sample is not None:
+        store("raw_telemetry_sample", sample_fraction(telemetry, sample, ("icao24", "time")))
     return rows
 
 

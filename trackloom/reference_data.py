@@ -162,8 +162,6 @@ HYBRID_GROUND_ALTITUDE_M = 500.0
 HYBRID_CRUISE_ALTITUDE_M = 1000.0
 
 SECONDS_PER_POINT = 10           # nominal report interval of one data point
-ROW_BYTES = 200                  # assumed size of one stored state
-TELEMETRY_SAMPLE_ROWS = 1_000_000
 LOOKBACK_DAYS = 7
 STATE_KEY = ["icao24", "callsign", "last_contact"]
 

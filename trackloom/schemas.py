@@ -12,7 +12,7 @@ STATES = (
 HISTORY = (
     "callsign string, estdepartureairport string, airportofdeparture string, "
     "estarrivalairport string, airportofdestination string, model string, "
-    "typecode string"
+    "typecode string, firstseen bigint"
 )
 
 # One position report of the live feed (JSON payload of the topic).

@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import utc_date, utc_hour
-
-# an ordered extract beyond this many rows is written as several ordered parts
-SINGLE_FILE_ROWS = 1_000_000
+from .schemas import LEDGER
 
 
 def counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
@@ -62,14 +60,24 @@ def write_hourly(df: DataFrame, path: str, epoch: str | Column = "time", mode: s
     )
 
 
-def export_csv(df: DataFrame, path: str, order: Sequence[Column | str], rows: int) -> None:
-    """An ordered CSV extract with header.
+def replace_batch(df: DataFrame, path: str, batch: str, by: Sequence[str] = (), column: str = "batch") -> None:
+    """Stores the rows of one load below ``<column>=<batch>``, in place of what it held.
+
+    Any text can be the name of a load; signs that folders cannot hold are escaped the
+    way Spark reads them.
+    """
+    name = "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{}[]^\x7f" or c < " " else c for c in batch)
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{column}={name}")
+
+
+def export_csv(df: DataFrame, path: str, order: Sequence[Column | str], single_file: bool = False) -> None:
+    """An ordered CSV extract with header, in parts whose names sort in row order.
 
-    A small extract (``rows`` is its counted size) is one file. A larger one keeps its
-    parts, whose names sort in row order, so that it does not pass through one task.
+    ``single_file`` passes everything through one task.
     """
     ordered = df.orderBy(*order)
-    if rows <= SINGLE_FILE_ROWS:
+    if single_file:
         ordered = ordered.coalesce(1)
     ordered.write.mode("overwrite").option("header", True).csv(path)
 
@@ -103,18 +111,27 @@ def upsert_ledger(ledger: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def append_ledger(new: DataFrame, path: str, run: str) -> None:
-    """Adds ledger rows under the id of a run; repeating the run replaces its own rows."""
-    write_partitioned(
-        new.withColumn("run", F.lit(run)), path, "overwrite_partitions", ("run",), None
-    )
+def append_ledger(new: DataFrame, path: str, run: str, replace_all: bool = False) -> None:
+    """Adds ledger rows under the id of a run; repeating the run replaces its own rows.
+
+    ``replace_all`` drops the rows of all other runs, as a full load reads every file.
+    """
+    if replace_all:
+        write_partitioned(new.withColumn("run", F.lit(run)), path, "overwrite", ("run",), None)
+    else:
+        replace_batch(new, path, run, column="run")
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+def read_ledger(spark: SparkSession, path: str, without: str | None = None) -> DataFrame | None:
+    """Ledger rows of all runs but ``without``; None when there is no ledger."""
     from .sources.files import read_optional
 
-    rows = read_optional(spark, path)
-    return None if rows is None else rows.drop("run")
+    found = read_optional(spark, path, f"{LEDGER}, run string")
+    if found is None:
+        return None
+    if without is not None:
+        found = found.filter(F.col("run") != without)
+    return found.drop("run")
 
 
 def write_stream(

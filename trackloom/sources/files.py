@@ -9,13 +9,33 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 
 
-def read_states(spark: SparkSession, paths: str | list[str], schema: str = schemas.STATES) -> DataFrame:
-    """Position reports from CSV or gzipped CSV with a header line."""
-    return spark.read.schema(schema).option("header", True).csv(paths)
+def read_states(
+    spark: SparkSession, paths: str | list[str], schema: str = schemas.STATES, **options: str
+) -> DataFrame:
+    """Position reports from CSV or gzipped CSV; a header of other columns is an error."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.options(**options).csv(paths)
+
+
+def _by_header(spark: SparkSession, paths: str | list[str], schema: str, **options) -> DataFrame:
+    """CSV files whose columns may be in any order and have spaces around their names.
+
+    The order is that of the first header; a file with another one is an error. Columns of
+    ``schema`` that the files lack are null; columns that it lacks are text.
+    """
+    named = spark.read.option("header", True).options(**options)
+    trim = {"ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    header = [c.strip() for c in named.csv(paths).columns]
+    types = dict(schemas.fields(schema))
+    layout = ", ".join(f"`{name}` {types.get(name, 'string')}" for name in header)
+    read = named.options(**trim).option("enforceSchema", False).schema(layout).csv(paths)
+    missing = {n: F.lit(None).cast(t) for n, t in types.items() if n not in header}
+    return read.withColumns(missing) if missing else read
 
 
 def read_history_csv(
@@ -23,12 +43,11 @@ def read_history_csv(
 ) -> DataFrame:
     """Flight history; pass ``schema=None`` to have the types inferred.
 
-    Inference reads the data twice, so a known layout should be given. A file with
-    another column order or with more columns needs inference.
+    Inference reads the data twice, so a known layout should be given.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return strip_column_names(reader.csv(paths))
+    if schema:
+        return _by_header(spark, paths, schema)
+    return strip_column_names(spark.read.option("header", True).option("inferSchema", True).csv(paths))
 
 
 def strip_column_names(df: DataFrame) -> DataFrame:
@@ -64,9 +83,10 @@ def require_files(spark: SparkSession, root: str, pattern: str = "*.{csv,csv.gz}
 def read_csv_tree(spark: SparkSession, root: str, schema: str | None = schemas.HISTORY) -> DataFrame:
     """Every ``.csv`` and ``.csv.gz`` below ``root``, at any depth."""
     require_files(spark, root)
-    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
-    reader = reader.option("pathGlobFilter", "*.{csv,csv.gz}")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+    options = {"recursiveFileLookup": True, "pathGlobFilter": "*.{csv,csv.gz}"}
+    if schema:
+        return _by_header(spark, root, schema, **options)
+    reader = spark.read.option("header", True).option("inferSchema", True).options(**options)
     return strip_column_names(reader.csv(root))
 
 
@@ -90,6 +110,10 @@ def _tar_lines(batches):
                         continue
                     if member.offset_data + member.size > len(content):
                         raise tarfile.ReadError("archive is cut short")
+                    # read to the end once: damage must show before the first line is given
+                    with gzip.open(tar.extractfile(member), "rt", encoding="utf-8") as text:
+                        while text.read(4 << 20):
+                            pass
                     with gzip.open(tar.extractfile(member), "rt", encoding="utf-8") as text:
                         next(text, None)  # header
                         while chunk := text.readlines(4 << 20):
@@ -98,22 +122,20 @@ def _tar_lines(batches):
                 yield rows(path, error=f"{type(problem).__name__}: {problem}")
 
 
-def read_tar_lines(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+def read_tar_lines(spark: SparkSession, root: str, **options: str) -> DataFrame:
     """``tar_path, line, error`` of every ``*.tar`` below ``root``.
 
     Archives are opened in memory on the executors and handed on in chunks of a few
-    MB; nothing is extracted to disk. One archive must fit into a task.
-    ``max_files`` takes the first files in path order.
+    MB; nothing is extracted to disk. One archive must fit into a task. A damaged archive
+    gives its error and no line. ``options`` such as ``modifiedAfter`` bound the files.
     """
-    reader = (
+    tars = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.tar")
+        .options(**options)
+        .load(root)
     )
-    tars = reader.load(root)
-    if max_files is not None:
-        first = tars.select("path").orderBy("path").limit(max_files)
-        tars = reader.load([r.path for r in first.collect()])  # at most max_files paths
     return tars.select("path", "content").mapInArrow(
         _tar_lines, "tar_path string, line string, error string"
     )
@@ -131,10 +153,10 @@ def tar_errors(lines: DataFrame) -> DataFrame:
 
 
 def read_tar_csv(
-    spark: SparkSession, root: str, schema: str = schemas.STATES, max_files: int | None = None
+    spark: SparkSession, root: str, schema: str = schemas.STATES, **options: str
 ) -> DataFrame:
     """Position reports from tar archives that hold one gzipped CSV each."""
-    return tar_states(read_tar_lines(spark, root, max_files), schema)
+    return tar_states(read_tar_lines(spark, root, **options), schema)
 
 
 def read_layer(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
@@ -153,10 +175,13 @@ def read_layer(spark: SparkSession, path: str, since=None, until=None) -> DataFr
     return df
 
 
-def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet layer, or None when the folder does not exist. Other errors are raised."""
+def read_optional(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame | None:
+    """A parquet layer, or None when the folder does not exist. Other errors are raised.
+
+    With a ``schema`` a folder without files is an empty layer.
+    """
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None

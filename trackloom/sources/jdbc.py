@@ -42,12 +42,10 @@ def write_jdbc(
 ) -> int:
     """Writes the rows and returns their number, counted while they are written.
 
-    An overwrite truncates, so the table keeps its definition; an empty frame leaves
-    it untouched. ``max_connections`` bounds the load on the database, whatever the
+    An overwrite truncates, so the table keeps its definition; an empty frame leaves an
+    empty table. ``max_connections`` bounds the load on the database, whatever the
     size of the cluster.
     """
-    if mode == "overwrite" and df.isEmpty():
-        return 0
     written = Observation()
     (
         drop_internal(df)

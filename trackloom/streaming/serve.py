@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.serving import SERVING_TABLES, ServingTable
-from ..sinks import write_partitioned
+from ..sinks import replace_batch, write_partitioned
 from ..sources.files import read_optional
 
 
@@ -16,14 +17,15 @@ def store_batch(states: DataFrame, root: str, batch: str | int, replace_all: boo
     A batch that is repeated after a failure replaces its own rows and nothing else.
     ``replace_all`` drops every earlier batch, as a full load does.
     """
-    mode = "overwrite" if replace_all else "overwrite_partitions"
 
     def store(df: DataFrame, path: str) -> None:
-        write_partitioned(df.withColumn("batch", F.lit(str(batch))), path, mode, ("batch",))
+        if replace_all:
+            write_partitioned(df.withColumn("batch", F.lit(str(batch))), path, "overwrite", ("batch",))
+        else:
+            replace_batch(df, path, str(batch))
 
-    path = f"{root}/states"
-    store(states, path)
-    stored = states.sparkSession.read.schema(states.schema).parquet(f"{path}/batch={batch}")
+    store(states, f"{root}/states")
+    stored = batch_states(states.sparkSession, root, batch, states.schema)
     for table in SERVING_TABLES:
         parts = table.partials(stored)
         if parts is not None:
@@ -53,6 +55,13 @@ def start_serving(
     return writer.start()
 
 
+def batch_states(spark: SparkSession, root: str, batch: str | int, schema: StructType) -> DataFrame:
+    """The states stored under one batch id, whatever signs it has; maybe none."""
+    layout = StructType([*schema.fields, StructField("batch", StringType())])
+    rows = spark.read.schema(layout).parquet(f"{root}/states")
+    return rows.filter(F.col("batch") == str(batch)).drop("batch")
+
+
 def stored_states(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/states").drop("batch")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import event_time
 from ..operators.filters import with_processing_metadata
 from ..operators.live import accumulate
-from ..sinks import with_hour_partitions, write_stream
+from ..sinks import with_hour_partitions, write_partitioned
 from ..workspace import scratch_path
 
 ROCKSDB = {
@@ -27,7 +27,12 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def upsert_state(changes: DataFrame, path: str, batch_id: int, key: str = "icao24") -> None:
-    """Writes the objects that changed in one micro-batch; repeating the batch is harmless."""
+    """Writes the objects that changed in one micro-batch; repeating the batch is harmless.
+
+    A batch without changes leaves no folder.
+    """
+    if changes.isEmpty():
+        return
     changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
@@ -117,6 +122,50 @@ def hourly_snapshots(
     )
 
 
+def store_hours(
+    reports: DataFrame, path: str, batch: str | int, key: str = "icao24", epoch: str = "time", ties: tuple[str, ...] = ()
+) -> None:
+    """Stores a batch's own hourly snapshots beside the hours; repeating it changes nothing."""
+    own = hourly_snapshots(reports, key, epoch, ties)
+    own.sortWithinPartitions("hour_start").write.mode("overwrite").parquet(f"{path}/_parts/batch={batch}")
+
+
+def publish_hours(
+    spark: SparkSession,
+    path: str,
+    batch: str | int | None = None,
+    key: str = "icao24",
+    epoch: str = "time",
+    ties: tuple[str, ...] = (),
+    files_per_hour: int = 8,
+) -> None:
+    """Merges stored parts into ``year=/month=/day=/hour=`` folders.
+
+    All hours, or those that ``batch`` touched: a late report is thus merged into its hour.
+    """
+    stored = spark.read.parquet(f"{path}/_parts").drop("batch")  # hidden from readers of the hours
+    if batch is not None:
+        touched = spark.read.schema(stored.schema).parquet(f"{path}/_parts/batch={batch}")
+        stored = stored.join(touched.select("hour_start").distinct(), "hour_start", "left_semi")
+    added = ("hour_start", key, "first_seen", "last_seen", "position_count")
+    order = [epoch, *ties, *[c for c in stored.columns if c not in (*added, epoch, *ties)]]
+    merged = (
+        stored.groupBy("hour_start", key)
+        .agg(
+            F.max(F.struct(*order)).alias("_latest"),
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+            F.sum("position_count").alias("position_count"),
+        )
+        .select("hour_start", key, *[f"_latest.{c}" for c in order], *added[2:])
+    )
+    spread = F.pmod(F.xxhash64(key), F.lit(files_per_hour))
+    write_partitioned(
+        with_hour_partitions(with_processing_metadata(merged), "hour_start").repartition("hour_start", spread),
+        path, "overwrite_partitions", ("year", "month", "day", "hour"),
+    )
+
+
 def start_hourly_snapshots(
     stream: DataFrame,
     path: str,
@@ -124,24 +173,32 @@ def start_hourly_snapshots(
     available_now: bool = False,
     every: str | None = None,
     files_per_hour: int = 8,
-    **options,
+    key: str = "icao24",
+    epoch: str = "time",
+    ties: tuple[str, ...] = (),
+    publish: bool = True,
 ):
-    """Appends finished hours to ``year=/month=/day=/hour=`` folders, exactly once.
+    """Keeps ``year=/month=/day=/hour=`` folders up to date with every report.
 
-    The few rows of an hour (one per object) are spread over ``files_per_hour`` tasks
-    before they are written; otherwise every state partition would add a small file.
+    Reports may come in any order: a late one is merged into its hour, none is dropped,
+    and the last hour needs no later report to come out. The few rows of an hour (one per
+    object) are spread over ``files_per_hour`` tasks. A backlog, whose batches touch all
+    hours, is better read with ``publish=False`` and one ``publish_hours`` at its end.
     """
-    snapshots = with_processing_metadata(hourly_snapshots(stream, **options))
-    spread = F.pmod(F.xxhash64(options.get("key", "icao24")), F.lit(files_per_hour))
-    return write_stream(
-        with_hour_partitions(snapshots, "hour_start").repartition("hour_start", spread),
-        "parquet",
-        checkpoint,
-        available_now=available_now,
-        every=every,
-        by=("year", "month", "day", "hour"),
-        path=path,
-    )
+
+    def store(batch, batch_id):
+        if batch.isEmpty():
+            return
+        store_hours(batch, path, batch_id, key, epoch, ties)
+        if publish:
+            publish_hours(batch.sparkSession, path, batch_id, key, epoch, ties, files_per_hour)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def new_checkpoint(spark: SparkSession, label: str) -> str:
