@@ -100,4 +100,3 @@ LLM_QUERIES = {
     "op9_chat": op9_chat,
     "op10_language": op10_language,
 }
-LLM_ORACLES: dict[str, str] = {}
