@@ -76,7 +76,6 @@ def heavy_aggregates(text):
 
 @pytest.mark.parametrize("build", [
     lambda g: star.fact_flight_history(g),
-    lambda g: star.dim_aircraft_utilization(g),
     lambda g: star.dim_airspace_heatmap(g),
 ])
 def test_first_aggregate_of_the_star_is_a_hash_aggregate(spark, sf_dir, tmp_path, build):
@@ -86,9 +85,16 @@ def test_first_aggregate_of_the_star_is_a_hash_aggregate(spark, sf_dir, tmp_path
     assert kinds[0] == "HashAggregate" and kinds[1] == "HashAggregate"
 
 
-def test_endpoints_reduce_with_a_hash_aggregate(spark, sf_dir):
-    text = plan(sites.track_endpoints(views.telemetry(spark, sf_dir), dims.airports(spark)))
-    assert "SortAggregate" not in text
+@pytest.mark.parametrize("build", [
+    lambda t, s: sites.track_endpoints(t, dims.airports(s)),
+    lambda t, s: star.dim_aircraft_utilization(t),
+])
+def test_first_and_last_reports_are_reduced_before_the_shuffle(spark, sf_dir, build):
+    """Whole reports are minima and maxima of structs, with a partial step; no window over a track."""
+    text = plan(build(views.telemetry(spark, sf_dir), spark))
+    assert "Window" not in text and len(heavy_aggregates(text)) >= 2
+    first = int(heavy_aggregates(text)[0][0])
+    assert all(int(n) > first for n in re.findall(r"\n\((\d+)\) Exchange", text))
 
 
 def test_scan_reads_only_needed_columns(spark, sf_dir):
@@ -122,7 +128,7 @@ def test_log_tail_is_cut_before_the_shuffle(spark, tmp_path):
     from trackloom.sources.logs import read_logs
 
     (tmp_path / "x.log").write_text("error\n" * 10)
-    assert plan(log_summary(read_logs(spark, str(tmp_path)))).count("WindowGroupLimit") >= 2
+    assert plan(log_summary(read_logs(spark, str(tmp_path)), 5, 2)).count("WindowGroupLimit") >= 2
 
 
 def test_top_rows_are_cut_before_the_shuffle(spark, sf_dir):
