@@ -176,10 +176,14 @@ def signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
 def _blocked(members: DataFrame, group: str, key: str, block: int) -> DataFrame:
     """Members of a group dealt into blocks of about ``block``; a copy for each pair of blocks.
 
-    Adds ``x`` and ``y``, the numbers of the two blocks that meet (x <= y), and ``side``.
+    Adds ``x`` and ``y``, the numbers of the two blocks that meet (x <= y), and ``own``. Only
+    groups of more than a block are looked up, so that no group has to meet for it.
     """
-    sizes = members.groupBy(group).agg(F.count("*").alias("members"))
-    many = members.join(sizes, group).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    sizes = members.groupBy(group).agg(F.count("*").alias("members")).where(F.col("members") > block)
+    large = small_side(stored(sizes, "large"), BROADCAST_ROWS)
+    many = members.join(large, group, "left").withColumn(
+        "blocks", F.coalesce(F.ceil(F.col("members") / block), F.lit(1)).cast("int")
+    )
     own = many.withColumn("own", F.pmod(F.xxhash64(F.lit("block"), key), F.col("blocks")).cast("int"))
     meets = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return (
@@ -248,6 +252,7 @@ def verified(docs: DataFrame, classes: DataFrame, member: DataFrame, doc: str, t
     read = texts.mapInPandas(
         _only_own(sets), "key long, family long, copies long, signature binary, shingles binary"
     ).dropDuplicates(["key"])
+    read = stored(read, "sets")
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         a, b, same = _sides(rows)
