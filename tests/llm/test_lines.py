@@ -73,6 +73,12 @@ def test_three_documents_needed(spark, sf_dir):
     compare(docs, min_docs=3, min_tokens=2, depth=2)
 
 
+def test_both_ways_of_the_joins_agree(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 4 = 0").select("doc_id", "text")
+    monkeypatch.setattr(lines, "BROADCAST_LEAVES", 0)
+    compare(docs)
+
+
 def test_odd_rows(odd, no_docs):
     out = lines.dedup_lines(odd)
     assert out.count() == odd.count()

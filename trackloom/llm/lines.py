@@ -22,8 +22,9 @@ DEPTH = 3
 #: a template with variable words needs this share of its words, and this many, constant
 SIMILARITY = 0.8
 LEAST_CONSTANT = 6
-#: up to so many leaves (16 bytes each) are broadcast to the second scan; beyond, a shuffle join
-BROADCAST_LEAVES = 1_000_000
+#: up to so many leaves or templates (at most 40 bytes each) are broadcast; beyond, a shuffle join
+BROADCAST_LEAVES = 500_000
+SALTS = 32
 #: a word with a digit, matched from its beginning only
 _FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
 
@@ -103,12 +104,15 @@ def repeated_lines(
         .agg(F.count("*").alias("in_docs"), F.min("doc_order").alias("first_doc"))
         .where(F.col("in_docs") >= min_docs)
     )
-    return (
-        placed.join(recurring, name)
-        .where("doc_order <> first_doc")
-        .groupBy("doc", "text_hash")
-        .agg(F.collect_set("line_no").alias("drops"))
-    )
+    recurring = stored(recurring.drop("in_docs"), "recurring")
+    if recurring.count() <= BROADCAST_LEAVES:
+        marked = placed.join(F.broadcast(recurring), name)
+    else:
+        # a template can hold a third of all lines: its lines are spread over copies of its row
+        salt = F.pmod(F.xxhash64("doc_order", "line_no"), F.lit(SALTS)).cast("int")
+        copies = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        marked = placed.withColumn("salt", salt).join(copies, [*name, "salt"])
+    return marked.where("doc_order <> first_doc").groupBy("doc", "text_hash").agg(F.collect_set("line_no").alias("drops"))
 
 
 def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", **how) -> DataFrame:
