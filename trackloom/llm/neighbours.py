@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -129,9 +129,28 @@ def nearest(
         return spark.createDataFrame([], result)
     dim, norm = shape.dim, float(np.sqrt(shape.norm))
     groups = max(1, -(-shape.n * tables // group_rows))
-    rows = rows.where(F.size("v") == dim)
+    rows = rows.where(F.size("v") == dim).groupBy("id", "v").agg(F.max("q").alias("q"))
     sets = perturbations(hashes, probes - 1)
 
+    def by_group(ids: pd.Series, vectors: pd.Series, codes: np.ndarray) -> pd.DataFrame:
+        """A row for each vector and group: the vector's buckets in that group travel with one copy of it."""
+        row = np.repeat(np.arange(len(codes)), codes.shape[1])
+        bucket = codes.ravel()
+        mixed = bucket.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        group = ((mixed >> np.uint64(33)) % np.uint64(groups)).astype(np.int64)
+        order = np.lexsort((group, row))
+        row, group, bucket = row[order], group[order], bucket[order]
+        cut = np.flatnonzero(np.diff(row * groups + group)) + 1
+        first = np.concatenate([[0], cut])
+        return pd.DataFrame(
+            {
+                "id": ids.to_numpy()[row[first]],
+                "v": vectors.to_numpy()[row[first]],
+                "buckets": np.split(bucket, cut),
+                "group": group[first],
+            }
+        )
+
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lsh = Tables(dim, tables, hashes, width)
         for batch in batches:
@@ -140,7 +159,7 @@ def nearest(
             x = np.vstack(batch["v"].to_numpy()) / norm
             rest = np.sqrt(np.maximum(0.0, 1 - (x**2).sum(axis=1, keepdims=True)))
             codes, _ = lsh.place(np.hstack([x, rest]))
-            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "buckets": list(codes)})
+            yield by_group(batch["id"], batch["v"], codes)
 
     def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lsh = Tables(dim, tables, hashes, width)
@@ -153,20 +172,12 @@ def nearest(
             for at in range(0, len(x), 256):
                 part = slice(at, at + 256)
                 visits = lsh.visits(codes[part], inside[part], sets).reshape(len(x[part]), -1)
-                yield pd.DataFrame({"id": batch["id"][part], "v": batch["v"][part], "buckets": list(visits)})
-
-    schema = "id long, v array<double>, buckets array<long>"
-    # hashes of one vector that fall into one group travel with one copy of the vector
-    group = F.pmod(F.xxhash64("bucket"), F.lit(groups))
-    spread = lambda df: (
-        df.select("id", "v", F.explode("buckets").alias("bucket"))
-        .withColumn("group", group)
-        .groupBy("id", "v", "group")
-        .agg(F.collect_set("bucket").alias("buckets"))
-    )
-    index = stored(spread(rows.mapInPandas(hashed, schema)), "index")
+                yield by_group(batch["id"][part], batch["v"][part], visits)
+
+    schema = "id long, v array<double>, buckets array<long>, group long"
+    index = stored(rows.mapInPandas(hashed, schema), "index")
     sizes = index.groupBy("group").agg(F.ceil(F.sum(F.size("buckets")) / (2 * group_rows)).cast("int").alias("parts"))
-    asked = spread(rows.where("q").mapInPandas(probing, schema)).join(sizes, "group")
+    asked = rows.where("q").mapInPandas(probing, schema).join(sizes, "group")
     asked = asked.select("id", "v", "buckets", "group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     index = index.join(sizes, "group").select(
         "id", "v", "buckets", "group", F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("parts")).cast("int").alias("part")
@@ -206,8 +217,11 @@ def nearest(
         rank, "query_id long, vec_id long, score double"
     )
 
-    def best(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["score", "vec_id"], ascending=[False, True]).iloc[:k]
-        return rows.assign(rank=np.arange(1, len(rows) + 1))[["query_id", "rank", "vec_id", "score"]]
-
-    return found.distinct().groupBy("query_id").applyInPandas(best, result)
+    # at most k rows of a query from each part that it visits
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.distinct()
+        .withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
