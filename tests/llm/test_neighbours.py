@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from trackloom.llm import neighbours
 from trackloom.llm.queries import LLM_QUERIES
@@ -57,3 +58,18 @@ def test_one_bucket_is_split(spark):
     for q, own in out.groupby("query_id"):
         want, score = brute(np.arange(400), x, q, 5)
         assert own.sort_values("rank").vec_id.tolist() == want and own.sort_values("rank").score.tolist() == score
+
+
+@pytest.mark.parametrize("norms", ["one long", "spread"])
+def test_recall_with_unequal_norms(spark, sf_dir, norms):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas().sort_values("vec_id")
+    ids, x = e.vec_id.to_numpy(), np.vstack(e.embedding.to_numpy()).astype(float)
+    if norms == "one long":
+        x[np.flatnonzero(ids % 20 != 0)[0]] *= 100
+    else:
+        x *= np.exp(0.7 * np.random.default_rng(1).standard_normal(len(x)))[:, None]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, df.vec_id % 20 == 0).toPandas()
+    queries = np.flatnonzero(ids % 20 == 0)
+    hit = sum(len(set(brute(ids, x, q, 20)[0]) & set(out[out.query_id == ids[q]].vec_id)) for q in queries)
+    assert hit / (20 * len(queries)) >= 0.9

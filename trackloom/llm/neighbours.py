@@ -2,7 +2,11 @@
 
 Each of ``TABLES`` tables hashes a vector to ``HASHES`` integers ``floor((a.x + b) / width)`` with
 normal ``a``. Inner products are searched as distances: vectors are divided by the largest norm
-and get one more component that makes their norm 1, queries are made unit vectors. A query visits
+of their band and get one more component that makes their norm 1, queries are made unit vectors.
+Norms of a band differ by a factor of ``BAND`` at most, so a long vector does not shrink the
+others; all bands share the hash functions and buckets, so one visit meets the vectors of all. The
+nearest are then no longer those at the smallest angle, so queries visit more buckets: up to twice
+as many, by the share of vectors outside the commonest band. A query visits
 its own bucket and then perturbed ones in the estimated order of success, by the squared distances
 to the borders that a perturbation crosses. Candidates of all tables are ranked by their exact
 inner product.
@@ -28,6 +32,7 @@ from .common import stored
 
 TABLES, HASHES, WIDTH, PROBES = 16, 12, 2.5, 220
 GROUP_ROWS = 262_144
+BAND = 1.1
 _SEED = 4_099
 
 
@@ -120,14 +125,21 @@ def nearest(
         F.col(embedding).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("q"),
     ).where(usable(F.col("v")) & F.col("id").isNotNull())
-    dims = rows.groupBy(F.size("v").alias("dim")).agg(
-        F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")
+    normed = rows.select(
+        F.size("v").alias("dim"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")
+    )
+    bands = normed.groupBy("dim", F.floor(F.log("norm") / np.log(BAND).item() + 0.5).alias("band")).agg(
+        F.count("*").alias("n"), F.max("norm").alias("norm")
+    )
+    dims = bands.groupBy("dim").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.max("norm").alias("norm"), F.array_sort(F.collect_list("norm")).alias("norms")
     )
     shape = dims.orderBy(F.desc("n"), F.desc("dim")).first()
     result = "query_id long, rank int, vec_id long, score double"
     if shape is None:
         return spark.createDataFrame([], result)
-    dim, norm = shape.dim, float(np.sqrt(shape.norm))
+    dim, norm, scales = shape.dim, shape.norm, np.array([x for x in shape.norms if x > 0] or [1.0])
+    probes = round(probes * (2 - shape.most / shape.n))
     groups = max(1, -(-shape.n * tables // group_rows))
     rows = rows.where(F.size("v") == dim).groupBy("id", "v").agg(F.max("q").alias("q"))
     sets = perturbations(hashes, probes - 1)
@@ -156,7 +168,9 @@ def nearest(
         for batch in batches:
             if not len(batch):
                 continue
-            x = np.vstack(batch["v"].to_numpy()) / norm
+            x = np.vstack(batch["v"].to_numpy())
+            own = np.searchsorted(scales, np.sqrt((x**2).sum(axis=1)) * (1 - 1e-9))
+            x /= scales[np.minimum(own, len(scales) - 1)][:, None]
             rest = np.sqrt(np.maximum(0.0, 1 - (x**2).sum(axis=1, keepdims=True)))
             codes, _ = lsh.place(np.hstack([x, rest]))
             yield by_group(batch["id"], batch["v"], codes)
