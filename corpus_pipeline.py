@@ -25,9 +25,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: recurring lines go from all documents but the first that has them.
 
-    A document of which no word is left goes as well; documents without words to begin with stay.
+    Rows without id or with a shared one are documents of their own if their texts differ. A document of which no word is left goes too;
+    documents without words to begin with stay.
     """
-    cut = lines.dedup_lines(docs)
+    cut = lines.dedup_lines(docs, by_text=True)
     dropped = [c for c in cut.columns if c not in docs.columns]
     emptied = (F.col(dropped[1]) > 0) & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     kept = cut.where(~emptied)
@@ -45,8 +46,11 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents that hold a benchmark item go, whatever values it was given."""
-    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    """Operator 4: documents that hold a benchmark item go, whatever values it was given.
+
+    Rows are judged by their own texts, also if they have no id or share one.
+    """
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), by_text=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

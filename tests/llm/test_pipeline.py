@@ -116,3 +116,19 @@ def test_odd_rows_in_every_stage(spark, sf_dir, odd, no_docs):
             assert out.columns == odd.columns
         assert 0 < out.count() <= odd.count() + 20
         assert stage(spark, no_docs, sf_dir).count() == 0
+
+
+def test_clean_texts_without_or_with_a_shared_id_stay(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first().text
+    clean = "an unrelated note about the weather of the last days"
+    docs = spark.createDataFrame([(None, item), (None, clean), (None, None), (7, item), (7, clean), (8, item)], "doc_id long, text string")
+    kept = pipeline.drop_leaks(spark, docs, sf_dir)
+    assert sorted(rows(kept), key=str) == sorted([(None, clean), (None, None), (7, clean)], key=str)
+
+
+def test_lines_of_texts_without_or_with_a_shared_id(spark, sf_dir):
+    line = "this common line of text is in all of them"
+    docs = [(None, f"{line}\nown {n} of these") for n in "abc"] + [(5, "x one of five y"), (5, "x one of five y\nmore of the same five")]
+    kept = rows(pipeline.drop_repeated_lines(spark, spark.createDataFrame(docs, "doc_id long, text string"), sf_dir))
+    assert sum(line in t for _, t in kept) == 1 and sum("own" in t for _, t in kept) == 3
+    assert sum("x one of five y" in t for _, t in kept) == 1 and sum("more of the same five" in t for _, t in kept) == 1

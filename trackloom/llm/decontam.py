@@ -107,7 +107,7 @@ def matches(docs: DataFrame, items: DataFrame, doc: str, text: str, window: int)
     return out.withColumn("at", F.col("at") + 1)
 
 
-def leaks(
+def leaking_texts(
     docs: DataFrame,
     benchmark: DataFrame,
     doc: str = "doc_id",
@@ -117,7 +117,7 @@ def leaks(
     window: int = WINDOW,
     coverage: float = COVERAGE,
 ) -> DataFrame:
-    """One row per document and item it leaks: windows held, share of the item, changed values."""
+    """(doc, text_hash, item, matched, changed, windows) of each text and item that it leaks."""
     items = stored(item_windows(benchmark, item, item_text, window), "items")
     hits = stored(matches(docs, items, doc, text, window), "hits")
     # documents that could reach the coverage of an item at all, before values are looked at
@@ -180,7 +180,12 @@ def leaks(
     kept = windows.where("odd = 0").groupBy("doc", "item", "text_hash").agg(
         F.countDistinct("bench_at").alias("matched"), F.max("changed").alias("changed")
     )
-    enough = kept.join(totals, "item").where(F.col("matched") >= coverage * F.col("windows"))
+    return kept.join(totals, "item").where(F.col("matched") >= coverage * F.col("windows"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row per document id and item it leaks: windows held, share of the item, changed values."""
+    enough = leaking_texts(docs, benchmark, doc, text, **how)
     return enough.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(
         F.max("matched").alias("matched"),
         F.max("windows").alias("windows"),
@@ -188,7 +193,17 @@ def leaks(
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` without those that leak an item; documents without an id are judged together."""
-    found = leaks(docs, benchmark, doc, text, **how).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(found, docs[doc].eqNullSafe(F.col("__leaked")), "left_anti")
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", by_text: bool = False, **how
+) -> DataFrame:
+    """``docs`` without those that leak an item.
+
+    Rows that share an id, and rows without id, are judged together, or with ``by_text`` each by
+    its own text.
+    """
+    found = leaking_texts(docs, benchmark, doc, text, **how)
+    found = found.select(F.col("doc").alias("__leaked"), F.col("text_hash").alias("__hash"))
+    same = docs[doc].eqNullSafe(F.col("__leaked"))
+    if not by_text:
+        return docs.join(found.select("__leaked").distinct(), same, "left_anti")
+    return docs.join(found.distinct(), same & (F.xxhash64(docs[text]) == F.col("__hash")), "left_anti")

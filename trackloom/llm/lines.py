@@ -7,8 +7,10 @@ constant. Lines with the same constants in the same places have one template. A
 occurs in several documents is kept in the first of them (smallest id) and dropped from the rest.
 
 Defined results: null texts stay null and empty texts empty; lines under ``min_tokens`` words are
-never dropped; lines repeated inside one document only are left alone; rows that share an id, and
-rows without id, count as one document; repeated rows get the same text.
+never dropped; lines repeated inside
+one document only are left alone; rows that share an id, and rows without id, count as one document,
+or with ``by_text`` as one for each text (without id last, then by the text's hash); repeated rows
+get the same text.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -78,6 +80,7 @@ def repeated_lines(
     depth: int = DEPTH,
     similarity: float = SIMILARITY,
     least: int = LEAST_CONSTANT,
+    by_text: bool = False,
 ) -> DataFrame:
     """(doc, text_hash, drops): the numbers of the lines to drop, for documents that have some."""
     lines = parsed(docs, doc, text, min_tokens, depth)
@@ -87,11 +90,13 @@ def repeated_lines(
     near = F.broadcast(several) if several.count() <= BROADCAST_LEAVES else several
     different = lines.join(near, "leaf", "left_semi").groupBy("leaf", "line_hash").agg(F.first("tokens").alias("tokens"))
     templates = generalised(stored(different, "different"), similarity, least)
+    place = F.coalesce("doc", F.lit(2**63 - 1))
+    place = F.struct(place.alias("id"), F.col("text_hash").alias("hash")) if by_text else place
     placed = known.join(templates, ["leaf", "line_hash"], "left").select(
         "leaf",
         F.col("template").isNull().alias("whole"),
         F.coalesce("template", "line_hash").alias("template"),
-        F.coalesce("doc", F.lit(2**63 - 1)).alias("doc_order"),
+        place.alias("doc_order"),
         "doc",
         "text_hash",
         "line_no",
