@@ -126,6 +126,13 @@ def test_clean_texts_without_or_with_a_shared_id_stay(spark, sf_dir):
     assert sorted(rows(kept), key=str) == sorted([(None, clean), (None, None), (7, clean)], key=str)
 
 
+def test_short_lines_that_recur_are_left_once(spark, sf_dir):
+    texts = ["All rights reserved.\nfirst own\n3", "second own\nAll  rights reserved.\n4", "All rights reserved.", "Chapter 1", "Chapter 2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = dict(rows(pipeline.drop_repeated_lines(spark, docs, sf_dir)))
+    assert kept == {0: texts[0], 1: "second own\n4", 3: "Chapter 1", 4: "Chapter 2"}
+
+
 def test_lines_of_texts_without_or_with_a_shared_id(spark, sf_dir):
     line = "this common line of text is in all of them"
     docs = [(None, f"{line}\nown {n} of these") for n in "abc"] + [(5, "x one of five y"), (5, "x one of five y\nmore of the same five")]

@@ -7,7 +7,7 @@ constant. Lines with the same constants in the same places have one template. A
 occurs in several documents is kept in the first of them (smallest id) and dropped from the rest.
 
 Defined results: null texts stay null and empty texts empty; lines under ``min_tokens`` words are
-never dropped; lines repeated inside
+never dropped, or with ``short`` are templates as they are, from one word on; lines repeated inside
 one document only are left alone; rows that share an id, and rows without id, count as one document,
 or with ``by_text`` as one for each text (without id last, then by the text's hash); repeated rows
 get the same text.
@@ -35,19 +35,27 @@ def _tokens(line: Column) -> Column:
     return F.array_remove(F.split(line, r"\s+"), "")
 
 
-def parsed(docs: DataFrame, doc: str, text: str, min_tokens: int, depth: int) -> DataFrame:
-    """(doc, text_hash, line_no, n, leaf, line_hash, tokens) of every line with enough words."""
+def parsed(docs: DataFrame, doc: str, text: str, min_tokens: int, depth: int, short: bool = False) -> DataFrame:
+    """(doc, text_hash, line_no, n, leaf, line_hash, tokens) of every line with enough words.
+
+    With ``short`` lines of fewer words are there too, with their digits, each in a leaf of its own.
+    """
     lines = docs.select(
         F.col(doc).cast("long").alias("doc"),
         F.xxhash64(F.col(text)).alias("text_hash"),
         F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"),
     )
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _FIELD, "<*>")).otherwise(F.col("line"))
+    tokens, leading = _tokens(masked), F.slice("tokens", 1, depth)
+    if short:
+        few = F.size(_tokens(F.col("line"))) < min_tokens
+        tokens = F.when(few, _tokens(F.col("line"))).otherwise(tokens)
+        leading = F.when(F.size("tokens") < min_tokens, F.col("tokens")).otherwise(leading)
     return (
-        lines.withColumn("tokens", _tokens(masked))
+        lines.withColumn("tokens", tokens)
         .withColumn("n", F.size("tokens"))
-        .where(F.col("n") >= min_tokens)
-        .withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, depth)))
+        .where(F.col("n") >= (1 if short else min_tokens))
+        .withColumn("leaf", F.xxhash64("n", leading))
         .withColumn("line_hash", F.xxhash64("tokens"))
         .drop("line")
     )
@@ -80,10 +88,11 @@ def repeated_lines(
     depth: int = DEPTH,
     similarity: float = SIMILARITY,
     least: int = LEAST_CONSTANT,
+    short: bool = False,
     by_text: bool = False,
 ) -> DataFrame:
     """(doc, text_hash, drops): the numbers of the lines to drop, for documents that have some."""
-    lines = parsed(docs, doc, text, min_tokens, depth)
+    lines = parsed(docs, doc, text, min_tokens, depth, short)
     known = stored(lines.drop("tokens", "n"), "lines")
     leaves = known.groupBy("leaf").agg(F.min("line_hash").alias("a"), F.max("line_hash").alias("b"))
     several = stored(leaves.where("a <> b").select("leaf"), "leaves")
