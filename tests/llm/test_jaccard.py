@@ -133,3 +133,30 @@ def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long")
     assert components(chain).where("component = 0").count() == 301
     assert components(df.where("false")).count() == 0
+
+
+def test_rows_without_id_are_read_once_each(spark, monkeypatch):
+    draw = random.Random(3)
+    base = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(80)]
+    rows = [(None, " ".join([*base[:n], "other", *base[n + 1 :]])) for n in range(60)]
+    rows += [rows[0]] * 40 + [(3, rows[1][1]), (3, rows[2][1])]
+    seen, real = spark.sparkContext.accumulator(0), jaccard._only_own
+
+    def counted(sets):
+        run = real(sets)
+
+        def over(batches):
+            def look(batch):
+                seen.add(len(batch))
+                return batch
+
+            return run(look(b) for b in batches)
+
+        return over
+
+    monkeypatch.setattr(jaccard, "_only_own", counted)
+    for bound in (jaccard.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(jaccard, "BROADCAST_ROWS", bound)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        same(jaccard.similarity_classes(df).select("doc_id", "class_id", "links").collect(), rows)
+    assert seen.value == 2 * 60

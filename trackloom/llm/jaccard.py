@@ -233,7 +233,9 @@ def verified(docs: DataFrame, classes: DataFrame, member: DataFrame, doc: str, t
     ``other`` are edges that join what the links join.
     """
     least = least_matches()
-    first = classes.select("key", "signature", "copies", F.col("any_doc").alias("d"), "text_key").join(
+    # the one row whose text stands for the class; null ids and the largest one are told apart by text
+    order = F.coalesce("any.doc_id", F.lit(2**63 - 1)).alias("d")
+    first = classes.select("key", "signature", "copies", order, F.col("any.text_hash").alias("h"), "text_key").join(
         member.select(F.col("node").alias("key"), F.col("component").alias("family")), "key"
     )
     shared = stored(first, "first")
@@ -244,11 +246,15 @@ def verified(docs: DataFrame, classes: DataFrame, member: DataFrame, doc: str, t
             done = [shingler.shingles(words_of(t)).tobytes() for t in batch["text"]]
             yield batch.drop(columns="text").assign(shingles=done)
 
-    own = docs.select(F.col(doc).cast("long").alias("d"), F.col(text).alias("text"))
-    texts = own.join(shared, F.col("text").isNotNull() & own["d"].eqNullSafe(shared["d"])).select(
-        "key", "family", "copies", "signature", "text_key", "text"
+    own = docs.where(F.col(text).isNotNull()).select(
+        F.coalesce(F.col(doc).cast("long"), F.lit(2**63 - 1)).alias("d"),
+        F.xxhash64(F.col(text)).alias("h"),
+        F.col(text).alias("text"),
     )
-    # ids can be shared by different texts: only the text of the class counts
+    # ids can be shared by many rows: a text is looked up by both, and once if rows are repeated
+    wanted = small_side(shared.select("d", "h"), BROADCAST_ROWS)
+    texts = own.join(wanted, ["d", "h"], "left_semi").dropDuplicates(["d", "h"])
+    texts = texts.join(shared, ["d", "h"]).select("key", "family", "copies", "signature", "text_key", "text")
     read = texts.mapInPandas(
         _only_own(sets), "key long, family long, copies long, signature binary, shingles binary"
     ).dropDuplicates(["key"])
@@ -311,7 +317,7 @@ def similarity_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text",
         .groupBy("key")
         .agg(
             F.count("*").alias("copies"),
-            F.min("doc_id").alias("any_doc"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("any"),
             F.max("signature").alias("signature"),
             F.max("bands").alias("bands"),
             F.max("text_key").alias("text_key"),
@@ -324,7 +330,7 @@ def similarity_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     joined = components(found.where("other is not null").select(F.col("key").alias("u"), F.col("other").alias("v")), "linked")
     counts = found.where("links is not null").groupBy("key").agg(F.sum("links").alias("links"))
     of = (
-        classes.select("key", "copies", "any_doc")
+        classes.select("key", "copies", F.col("any.doc_id").alias("any_doc"))
         .join(joined.select(F.col("node").alias("key"), "component"), "key", "left")
         .join(counts, "key", "left")
         .withColumn("component", F.coalesce("component", "key"))
