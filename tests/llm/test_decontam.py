@@ -78,3 +78,21 @@ def test_no_python_and_no_cross_join(spark, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     plan = decontam.leaks(docs, bench)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_words_and_template_have_the_same_places(spark):
+    texts = ["he met Jean-Pierre and then", "at 50 km/h to the, Anna-Lena/Bo. 3-4 m/s. x-ray", "so Maria, then Anna.", "\u0001 a\u0002b ok"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select(decontam.template(df.t).alias("t"), decontam.words(df.t).alias("w")).collect():
+        assert row.t == [w[0] if w[0] in "\u0001\u0002\u0003" else w for w in row.w]
+    assert df.select(decontam.words(df.t)).first()[0] == ["he", "met", "\u0001jean-pierre", "and", "then"]
+
+
+def test_values_behind_a_hyphenated_name_or_a_rate(spark):
+    item = "so Maria gave apples to friends of Maria and bread to cousins of Maria but kept 12 pears for Maria at home"
+    rows = [(1, f"he met Jean-Pierre there. {item}"), (2, f"we went at 50 km/h then. {item}"), (3, f"clean. {item}")]
+    got = found(spark, rows, item)
+    assert {k: (r.matched == r.windows, r.reparameterised) for k, r in got.items()} == {(d, 0): (True, False) for d in (1, 2, 3)}
+    other = item.replace("Maria", "Jean-Pierre")
+    got = found(spark, [(1, other), (2, f"at 50 km/h, {other}")], item)
+    assert all(got[d, 0].matched == got[d, 0].windows and got[d, 0].reparameterised for d in (1, 2))

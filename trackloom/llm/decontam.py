@@ -43,19 +43,16 @@ def valued(text: Column) -> Column:
     return F.lower(units)
 
 
-def _words(canonical: Column) -> Column:
-    """Runs of letters, digits and placeholder signs, with the separators inside numbers."""
-    parts = F.split(canonical, r"(?:[^\p{L}\p{M}\p{Nd}\u0001-\u0003.,:/-]|[.,:/-](?<![0-9].)|[.,:/-](?![0-9]))+")
-    return F.array_remove(parts, "")
-
-
 def words(text: Column) -> Column:
-    return _words(valued(text))
+    """Runs of letters and digits; a placeholder's value is one word, with the separators inside it."""
+    value = r"[\u0001-\u0003](?:[\p{L}\p{M}\p{Nd}.,:/-]*[\p{L}\p{M}\p{Nd}])?"
+    return F.regexp_extract_all(valued(text), F.lit(rf"{value}|[\p{{L}}\p{{M}}\p{{Nd}}\u0001-\u0003]+"), 0)
 
 
 def template(text: Column) -> Column:
-    """The words, a placeholder's sign only where there is a value."""
-    return _words(F.regexp_replace(valued(text), r"([\u0001-\u0003])[\p{L}\p{M}\p{Nd}.,:/-]*", "$1 "))
+    """The words, of a value its placeholder's sign only: each word keeps its position."""
+    sign = lambda w: F.substring(w, 1, 1)
+    return F.transform(words(text), lambda w: F.when(sign(w).isin(NAME, NUMBER, UNIT), sign(w)).otherwise(w))
 
 
 def _windows(words: Column, size: int) -> Column:
