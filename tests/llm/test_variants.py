@@ -1,0 +1,107 @@
+import random
+
+import pytest
+
+from trackloom.llm import variants
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    return any(long[:k] + long[k + 1:] == short for k in range(len(long)))
+
+
+def brute(counts, ratio=2):
+    """Every word against every word."""
+    rows = {}
+    for w, n in counts.items():
+        others = [o for o in counts if near(w, o)]
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        form = best if best is not None and counts[best] >= ratio * n else None
+        rows[w] = (n, len(others), form, counts[form] if form else None)
+
+    def root(w):
+        return root(rows[w][2]) if rows[w][2] else w
+
+    return sorted((w, *r, root(w)) for w, r in rows.items())
+
+
+def run(spark, counts):
+    df = spark.createDataFrame(sorted(counts.items()), "word string, n long")
+    out = variants.variants(df).collect()
+    return sorted((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in out)
+
+
+def vocabulary(seed, alphabet="abé", size=260, lengths=(1, 7)):
+    draw = random.Random(seed)
+    words = {"".join(draw.choice(alphabet) for _ in range(draw.randint(*lengths))) for _ in range(size)}
+    return {w: int(2 ** draw.uniform(1, 9)) for w in words}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dense_words_against_all_pairs(spark, seed):
+    counts = vocabulary(seed)
+    assert run(spark, counts) == brute(counts)
+
+
+def test_words_beyond_the_levels(spark, monkeypatch):
+    monkeypatch.setattr(variants, "LEVELS", 4)
+    counts = vocabulary(3)
+    assert run(spark, counts) == brute(counts)
+
+
+def test_copied_nodes_and_long_words(spark, monkeypatch):
+    monkeypatch.setattr(variants, "NODE_WORDS", 5)
+    counts = vocabulary(4, "xy", 60, (2, 7)) | {"z" * 59: 9, "z" * 60: 4, "z" * 61: 20, "z" * 60 + "y": 3, "y" + "z" * 60: 50}
+    assert run(spark, counts) == brute(counts)
+
+
+def test_long_way_to_the_root(spark):
+    words = ["aaaaa"]
+    for k in range(9):  # each word is near the one before only
+        words.append(words[-1] + "bcdefghij"[k])
+    counts = {w: 3 * 2**k for k, w in enumerate(words)}
+    out = run(spark, counts)
+    assert out == brute(counts) and {r[-1] for r in out} == {words[-1]}
+
+
+def test_ties_go_to_the_first_word(spark):
+    counts = {"hauss": 3, "haus": 6, "hause": 6, "hausz": 5, "zzzzz": 1}
+    assert run(spark, counts) == brute(counts)
+
+
+def test_runs_of_letters(spark):
+    df = spark.createDataFrame([("STRAßE Éa-b3c ÀÉ×÷ Kelvin\u212a ſx",), (None,), ("12",)], "text string")
+    out = [r[0] for r in df.select(variants.lowered_runs(df.text)).collect()]
+    assert out == [["straße", "Éa", "b", "c", "ÀÉ×÷", "kelvin", "x"], None, []]
+
+
+def test_odd_rows(spark, odd, no_docs):
+    from trackloom.llm.queries import damaged_words
+
+    for docs in (odd, no_docs):
+        counts = variants.word_counts(damaged_words(docs), 3, 2)
+        given = {r.word: r.n for r in counts.collect()}
+        assert run(spark, given) == brute(given) if given else variants.variants(counts).count() == 0
+    # a null id, and no letter is lost
+    alone = spark.createDataFrame([(None, "same same same")], "doc_id long, text string")
+    assert [(r.word, r.n) for r in variants.word_counts(damaged_words(alone), 1, 1).collect()] == [("same", 3)]
+
+
+def test_damage(spark):
+    import zlib
+
+    from trackloom.llm.queries import damaged_words
+
+    draw = random.Random(8)
+    rows = [(k, " ".join("".join(draw.choice("abÀö") for _ in range(draw.randint(1, 6))) for _ in range(20))) for k in range(200)]
+    want = []
+    for k, text in rows:
+        for w in text.split():
+            h = zlib.crc32(f"{k}:{w}".encode())
+            want.append(w[: h % len(w)] + w[h % len(w) + 1:] if h % 97 == 0 else w)
+    got = [r.word for r in damaged_words(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(want) and sorted(want) != sorted(w for _, t in rows for w in t.split())
