@@ -4,24 +4,23 @@ Two words are near if one code point inserted, deleted or replaced turns one int
 word's form is its most frequent near word (ties: the first in code-point order) if that one occurs
 at least ``ratio`` times as often; the root is where the forms lead.
 
-Method: a frontier moves through a trie that is a table. A node is a prefix; its row holds the
-edges to its children. A state (word, node, edits) says that the word's first code points can be
-turned into the node with so many edits; all states of a round have read equally many code points
-of their words. A round joins the states with the nodes of two depths and writes the next: the child
-with the word's next code point, and, while nothing is edited yet, the children with a greater one
-(a replacement) and the node itself (a deletion). Each unordered pair is thus met from one side only:
-words of one length from the smaller, others from the longer; a repeated code point is deleted at
-its first place only, so no state comes twice. An edge knows which lengths remain below its child
-and which code points follow, so most edited states that lead nowhere are never written. States that
-have read their word after one edit and stand on a word are the near pairs.
-
-Size: a word has one unedited state a round and few edited ones (on the given tables 18 to 25
-states a word over all rounds, from 16,000 to 126,000 words). All words start at the root; a node with more
-than ``NODE_WORDS`` words below it is copied and states choose a copy by a hash of their word. Words
-of ``LEVELS`` code points and more, for which each code point would be a round, are met by deletion
-keys instead: equal rests without the code point at the same place, or without one against whole.
-A key has at most as many words as there are code points to replace, so no group is large, and
-the comparison is as exact as the trie's.
+Method: a frontier moves through a trie that is a table. A node is a prefix of words; a state (word,
+node, position, edits) says that the word's code points up to the position can be turned into the
+node with so many edits. The unedited states are the words' own prefixes. Each meets the children of
+its node and takes its one edit there: a child by another, greater code point (a replacement), or the
+node itself (a deletion). Then, level by level, the edited states are joined with the trie's edges by
+node and next code point, and go on to the child. States that have read their word and stand on a
+word are the near pairs. Each unordered pair is met from one side only: words of one length from the
+smaller, others from the longer; a repeated code point is deleted at its first place only, so no state
+comes twice. A node knows which lengths remain below it and, in 256 bits, which endings; a state whose
+ending is not among them can lead nowhere and is not written. The bits only ever spare work.
+
+Size: a word has as many unedited states as code points, and few edited ones. All words begin at the
+root; a node with more than ``NODE_WORDS`` words below it is copied and states choose a copy by a hash
+of their word. Words of more than ``LEVELS`` code points, for which each code point would be a round,
+are met by deletion keys instead: equal rests without the code point at the same place, or without one
+against whole. A key has at most as many words as there are code points to replace, so no group
+is large, and the comparison is as exact as the trie's.
 
 Defined results: null, empty and letterless texts have no words; a row without id gives its runs
 undamaged; repeated rows count each; a word without near words has no form and is its own root; an
@@ -34,11 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import scratch_path
-from .common import stored
+from .common import small_side, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEVELS = 60
 NODE_WORDS = 4_096
+#: up to so many crowded nodes (under 100 bytes each) are broadcast; beyond, a shuffle join
+BROADCAST_NODES = 100_000
 _PAIRS = "a string, b string"
 
 
@@ -53,81 +54,85 @@ def word_counts(words: DataFrame, least_length: int, least_count: int) -> DataFr
     return long.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_count)
 
 
-def _copies(words: Column) -> Column:
-    return F.ceil(words / F.lit(NODE_WORDS)).cast("int")
+def _ending(rest: str) -> str:
+    """SQL: which of 256 bits stands for an ending."""
+    return f"cast(pmod(xxhash64({rest}), 256) as int)"
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """A row per node: node, depth, copies, lens, kids (ch, copies, lens, next).
+    """A row per node: node, depth, below (words), lens, ends.
 
-    Bit r of ``lens`` says that some word ends r code points below; ``next`` has the code points
-    that follow a child.
+    Bit r of ``lens`` says that some word ends r code points below, so bit 0 that the node is a word;
+    ``ends`` are four longs whose bits stand for the endings of the words below.
     """
-    length = F.length("word")
-    steps = words.select("word", F.explode(F.sequence(F.lit(0), length)).alias("depth")).select(
-        F.expr("left(word, depth)").alias("node"), "depth", F.expr("substring(word, depth + 1, 1)").alias("ch"),
-        F.expr("shiftleft(1L, length(word) - depth)").alias("lens"),
-    )
-    edges = steps.groupBy("node", "depth", "ch").agg(F.count(F.lit(1)).alias("below"), F.bit_or("lens").alias("lens"))
-    edges = stored(edges, "trie-edges")
-    after = edges.groupBy("node").agg(F.concat_ws("", F.collect_list("ch")).alias("next"))
-    child = F.concat("node", "ch")
-    down = edges.where("ch != ''").withColumn("child", child).join(
-        after.withColumnRenamed("node", "child"), "child"
+    steps = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("depth")).selectExpr(
+        "left(word, depth) as node", "depth", "shiftleft(1L, length(word) - depth) as lens",
+        f"{_ending('substring(word, depth + 1)')} as bit",
     )
-    kid = F.struct("ch", _copies(F.col("below")).alias("copies"), F.expr("shiftrightunsigned(lens, 1)").alias("lens"), "next")
-    ends = edges.where("ch = ''").select("node", "depth", "below", "lens", F.lit(None).cast("struct<ch:string,copies:int,lens:bigint,next:string>").alias("kid"))
-    rows = down.select("node", "depth", "below", "lens", kid.alias("kid")).unionByName(ends)
-    return rows.groupBy("node", "depth").agg(
-        _copies(F.sum("below")).alias("copies"), F.bit_or("lens").alias("lens"), F.collect_list("kid").alias("kids")
+    parts = [F.bit_or(F.expr(f"if(bit div 64 = {k}, shiftleft(1L, bit % 64), 0L)")) for k in range(4)]
+    return steps.groupBy("node", "depth").agg(
+        F.count(F.lit(1)).alias("below"), F.bit_or("lens").alias("lens"), F.array(*parts).alias("ends")
     )
 
 
-#: states that follow a state at a node. rest: code points behind the next one; c, behind: the next one and the one after
-_MOVES = """
-concat(
-  transform(
-    filter(kids, k -> (k.ch = c or (edits = 0 and k.ch > c))
-                      and (edits = 0 and k.ch = c
-                           or shiftright(k.lens, rest) & 1 = 1 and (rest = 0 or instr(k.next, behind) > 0))),
-    k -> named_struct('node', concat(node, k.ch), 'copies', k.copies,
-                      'edits', if(k.ch = c, edits, 1))),
-  if(edits = 0 and c != before and shiftright(lens, rest) & 1 = 1
-       and (rest = 0 or exists(kids, k -> k.ch = behind)),
-     array(named_struct('node', node, 'copies', copies, 'edits', 1)),
-     array()))
-"""
+#: whether a word ends below {n} as the rest does: ``remain`` code points, bit ``bit``
+_LEADS_ON = "shiftright({n}.lens, remain) & 1 = 1 and shiftright({n}.ends[bit div 64], bit % 64) & 1 = 1"
+
+
+def first_edits(words: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(word, node, level): every word after its one edit, having read ``level`` code points."""
+    copies = F.ceil(F.col("below") / NODE_WORDS).cast("int")
+    crowded = stored(nodes.where(F.col("below") > NODE_WORDS).select("node", copies.alias("copies")), "crowded-nodes")
+    own = F.struct("ch", "lens", "ends").alias("kid")
+    # the node itself stands among its children as the one without a code point
+    kids = nodes.select("node", F.lit("").alias("ch"), "lens", "ends").unionByName(
+        nodes.where("depth > 0").selectExpr("left(node, depth - 1) as node", "right(node, 1) as ch", "lens", "ends")
+    )
+    kids = kids.groupBy("node").agg(F.collect_list(own).alias("kids"))
+    kids = kids.join(small_side(crowded, BROADCAST_NODES), "node", "left").select(
+        "node", "kids", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy")
+    )
+    states = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("level"))
+    states = states.withColumn("node", F.expr("left(word, level - 1)")).join(
+        small_side(crowded, BROADCAST_NODES), "node", "left"
+    )
+    states = states.withColumn("copy", F.pmod(F.xxhash64("word"), F.coalesce("copies", F.lit(1))).cast("int"))
+    met = states.join(kids, ["node", "copy"]).selectExpr(
+        "word", "level", "node", "kids", "substring(word, level, 1) as c",
+        "if(level > 1, substring(word, level - 1, 1), '') as before",
+        "length(word) - level as remain", f"{_ending('substring(word, level + 1)')} as bit",
+    )
+    moves = f"""filter(kids, k -> (k.ch > c or k.ch = '' and c != before) and {_LEADS_ON.format(n='k')})"""
+    return met.select("word", F.explode(F.expr(f"transform({moves}, k -> concat(node, k.ch))")).alias("node"), "level")
 
 
 def trie_pairs(words: DataFrame) -> DataFrame:
     """Near pairs (a, b), each once, of a column ``word`` of different words of at most 60 code points."""
     spark = words.sparkSession
-    size = words.agg(F.max(F.length("word")).alias("longest"), F.count(F.lit(1)).alias("words")).first()
-    if not size.words:
+    longest = words.agg(F.max(F.length("word"))).first()[0]
+    if longest is None:
         return spark.createDataFrame([], _PAIRS)
-    nodes_path, states_path = scratch_path(spark, "trie-nodes"), scratch_path(spark, "trie-states")
-    trie(words).write.partitionBy("depth").parquet(nodes_path)
-    nodes = spark.read.parquet(nodes_path)
-    states = words.select(
-        "word", F.lit("").alias("node"), F.lit(math.ceil(size.words / NODE_WORDS)).alias("copies"), F.lit(0).alias("edits")
-    )
-    layout = states.schema
-    for level in range(size.longest):
-        at = nodes.where(F.col("depth").isin(level, level - 1)).drop("depth").withColumn(
-            "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
-        )
-        chosen = states.where(F.length("word") > level).withColumn("copy", F.pmod(F.xxhash64("word"), F.col("copies")).cast("int"))
-        met = chosen.drop("copies").join(at, ["node", "copy"]).selectExpr(
-            "*", f"substring(word, {level + 1}, 1) as c", f"substring(word, {level + 2}, 1) as behind",
-            f"{'substring(word, %d, 1)' % level if level else repr('')} as before", f"length(word) - {level + 1} as rest",
+    nodes_path, first_path, moved_path = (scratch_path(spark, n) for n in ("trie-nodes", "trie-edits", "trie-states"))
+    made = trie(words)
+    made.write.partitionBy("depth").parquet(nodes_path)
+    nodes = spark.read.schema(made.schema).parquet(nodes_path)
+    begun = first_edits(words, nodes)
+    begun.write.partitionBy("level").parquet(first_path)
+    begun = spark.read.schema(begun.schema).parquet(first_path)
+    states = begun.where("level = 1").drop("level")
+    for level in range(1, longest):
+        ahead = states.where(F.length("word") > level).selectExpr(
+            "word", f"concat(node, substring(word, {level + 1}, 1)) as node",
+            f"length(word) - {level + 1} as remain", f"{_ending(f'substring(word, {level + 2})')} as bit",
         )
-        moved = met.select("word", F.explode(F.expr(_MOVES)).alias("s")).select("word", "s.*")
-        moved.write.parquet(f"{states_path}/level={level + 1}")
-        states = spark.read.schema(layout).parquet(f"{states_path}/level={level + 1}")
-    every = spark.read.parquet(states_path)
-    return every.where((F.col("edits") == 1) & (F.length("word") == F.col("level"))).select(
-        F.col("word").alias("a"), F.col("node").alias("b")
-    )
+        # a word with a deletion stands one code point higher in the trie
+        edges = nodes.where(F.col("depth").isin(level, level + 1)).select("node", F.struct("lens", "ends").alias("to"))
+        moved = ahead.join(edges, "node").where(_LEADS_ON.format(n="to")).select("word", "node")
+        moved.write.parquet(f"{moved_path}/level={level + 1}")
+        moved = spark.read.schema(moved.schema).parquet(f"{moved_path}/level={level + 1}")
+        states = moved.unionByName(begun.where(F.col("level") == level + 1).drop("level"))
+    ends = begun if longest == 1 else begun.unionByName(spark.read.schema(begun.schema).parquet(moved_path))
+    return ends.where(F.length("word") == F.col("level")).select(F.col("word").alias("a"), F.col("node").alias("b"))
 
 
 def long_pairs(words: DataFrame) -> DataFrame:
