@@ -1,38 +1,46 @@
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from trackloom.llm import lines
 
 
-def brute(rows, min_tokens=4, min_docs=2, depth=3, similarity=0.8, least=6):
-    """The same rule over Python lists: {(doc, text): (lines, dropped, text)}."""
+def brute(rows, min_tokens=4, min_docs=2, similarity=0.8):
+    """Every line against every other of its length: {(doc, text): (lines, dropped, text)}."""
     parsed = []
     for doc, text in rows:
         for n, line in enumerate(text.split("\n") if text is not None else []):
-            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in line.split())
-            if len(tokens) >= min_tokens:
-                parsed.append((doc, text, n, tokens))
-    leaves = defaultdict(set)
-    for *_, t in parsed:
-        leaves[len(t), t[:depth]].add(t)
-    template = {}
-    for members in leaves.values():
-        seen = Counter((i, w) for t in members for i, w in enumerate(t))
-        for t in members:
-            form = tuple(w if seen[i, w] >= 2 else None for i, w in enumerate(t))
-            constant = sum(w is not None for w in form)
-            many = len(members) > 1 and constant >= similarity * len(t) and constant >= least
-            template[t] = (True, len(t), t[:depth], form) if many else (False, t)
+            own = tuple(line.split())
+            masked = tuple("<*>" if re.search("[0-9]", t) else t for t in own)
+            if own:
+                parsed.append((doc, text, n, own if len(own) < min_tokens else masked))
+    different = sorted({t for *_, t in parsed})
+    template = {t: t for t in different}
+
+    def root(t):
+        while template[t] != t:
+            t = template[t]
+        return t
+
+    sizes = defaultdict(list)
+    for t in different:
+        sizes[len(t)].append(t)
+    for n, members in sizes.items():
+        block = int(n * (1 - similarity) + 1e-9)
+        firsts = {}
+        for t in members if block else []:
+            for at in range(0, n, block):
+                other = firsts.setdefault((at, t[:at], t[at + block:]), t)
+                template[root(t)] = root(other)
     docs = defaultdict(set)
-    order = lambda d: 2**63 - 1 if d is None else d
-    for doc, _, _, t in parsed:
-        docs[template[t]].add(order(doc))
+    order = lambda d: (d is None, d)
+    for doc, text, _, t in parsed:
+        docs[root(t)].add((order(doc), text))
     drops = defaultdict(set)
     for doc, text, n, t in parsed:
-        d = docs[template[t]]
-        if len(d) >= min_docs and order(doc) != min(d):
+        d = docs[root(t)]
+        if len(d) >= min_docs and (order(doc), text) != min(d):
             drops[doc, text].add(n)
     out = []
     for doc, text in rows:
@@ -68,9 +76,54 @@ def test_templates_with_fields(spark):
     assert got[3][3] == "\nshort one\nshort one"
 
 
+def cased(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_edits_of_one_line(spark):
+    """A line of 21 words and nine copies with one word changed, each at another place."""
+    line = [f"word{chr(97 + k)}" for k in range(21)]
+    texts = [" ".join(line)]
+    for k in range(9):
+        edited = list(line)
+        edited[2 * k] = f"other{chr(97 + k)}"
+        texts.append(" ".join(edited))
+    for order in (texts, texts[::-1], texts[5:] + texts[:5]):
+        got = sorted(compare(cased(spark, order)))
+        assert [r[2] for r in got] == [0] + [1] * 9
+
+
+def test_two_fields_of_one_template(spark):
+    """A grid of names and sections, with the first field among the leading words."""
+    texts = [f"Posted by {a} in the well kept archive of {b}" for a in ("Anna", "Bert", "Cleo") for b in ("Rome", "Oslo", "Graz")]
+    for order in (texts, [texts[k] for k in (0, 4, 8, 1, 5, 6, 2, 3, 7)]):
+        assert [r[2] for r in sorted(compare(cased(spark, order)))] == [0] + [1] * 8
+
+
+def test_lines_that_share_too_little_stay(spark):
+    texts = [
+        "one two three four", "one two three five",  # four words have no field
+        "a b c d e f g", "a b c d e x y",  # two of seven words
+        "p q r s t u v w x y", "p q z s t u v z x y",  # two of ten words, in two blocks
+        "k l m n o", "k l m n",
+    ]
+    assert not any(r[2] for r in compare(cased(spark, texts)))
+
+
+def test_short_lines_are_compared_as_they_are(spark):
+    got = sorted(compare(cased(spark, ["page 1\nAll rights reserved.", "page 2\nAll rights reserved.", "page 1\n\nend"])))
+    assert [(r[2], r[3]) for r in got] == [(0, "page 1\nAll rights reserved."), (1, "page 2"), (1, "\nend")]
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    rows = [(None, "a line that is there twice\nx"), (None, "a line that is there twice\ny"), (3, "a line that is there twice\nz")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.dropped_lines, r.text.split("\n")[-1]) for r in got.collect()) == [(0, "z"), (1, "x"), (1, "y")]
+
+
 def test_three_documents_needed(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 3 = 0").select("doc_id", "text")
-    compare(docs, min_docs=3, min_tokens=2, depth=2)
+    compare(docs, min_docs=3)
 
 
 def test_both_ways_of_the_joins_agree(spark, sf_dir, monkeypatch):

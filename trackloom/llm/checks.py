@@ -4,31 +4,35 @@ from .queries import ODD_TEXT
 from .urls import RULES, SOFT_TERMS, STRICT_TERMS
 
 _LINES = r"""
-with given as (select distinct doc_id, text, string_split(text, chr(10)) as own from documents where text is not null),
+with recursive given as (select distinct doc_id, text, string_split(text, chr(10)) as own from documents where text is not null),
 lines as (select doc_id, text, unnest(range(len(own))) as n, unnest(own) as line from given),
-parsed as (
-    select *, [case when regexp_matches(x, '[0-9]') then '<*>' else x end
-               for x in regexp_split_to_array(line, '\s+') if x <> ''] as words from lines),
-known as (select *, (len(words), words[1:3]) as leaf from parsed where len(words) >= 4),
-different as (select distinct leaf, words from known),
-places as (select leaf, words, unnest(range(1, len(words) + 1)) as spot, unnest(words) as word from different),
-seen as (select leaf, spot, word, count(*) as times from places group by all),
-forms as (
-    select p.leaf, p.words, count(*) filter (where times >= 2) as constants,
-           list(case when times >= 2 then p.word end order by p.spot) as form
-    from places p join seen s on s.leaf = p.leaf and s.spot = p.spot and s.word = p.word group by p.leaf, p.words),
+split as (select *, list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') as own from lines),
+parsed as materialized (
+    select doc_id, text, n,
+           case when len(own) < 4 then own
+                else list_transform(own, lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) end as words
+    from split where len(own) > 0),
+different as (select row_number() over () as w, words, len(words) as size, len(words) // 5 as block
+              from (select distinct words from parsed)),
+keyed as materialized (
+    select w, size, j, words[1:j * block] as before, words[(j + 1) * block + 1:size] as behind
+    from (select *, unnest(range((size + block - 1) // block)) as j from different where block > 0)),
+linked as materialized (
+    select w, min(w) over (partition by size, j, before, behind) as hub from keyed),
+links as materialized (
+    select w as a, hub as b from linked where w <> hub union select hub, w from linked where w <> hub),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
 named as (
-    select k.doc_id, k.text, k.n, coalesce(k.doc_id, 9223372036854775807) as place, k.leaf,
-           constants >= 0.8 * len(k.words) and constants >= 6 as open,
-           case when constants >= 0.8 * len(k.words) and constants >= 6 then form else k.words end as template
-    from known k join forms f on f.leaf = k.leaf and f.words = k.words),
+    select p.doc_id, p.text, p.n, least(d.w, coalesce(t.least_w, d.w)) as template
+    from parsed p join different d on d.words = p.words
+    left join (select a, min(b) as least_w from reach group by a) t on t.a = d.w),
+places as (select distinct template, doc_id, text from named),
 recurring as (
-    select leaf, open, template, min(place) as first_place from named
-    group by all having count(distinct place) >= 2),
+    select template, first(struct_pack(d := doc_id, t := text) order by doc_id nulls last) as place
+    from places group by template having count(*) >= 2),
 dropped as (
-    select n.doc_id, n.text, n.n from named n join recurring r
-    on r.leaf = n.leaf and r.open = n.open and r.template is not distinct from n.template
-    where n.place <> r.first_place),
+    select n.doc_id, n.text, n.n from named n join recurring r on r.template = n.template
+    where not (n.doc_id is not distinct from r.place.d and n.text = r.place.t)),
 kept as (
     select l.doc_id, l.text, count(*) as lines, count(d.n) as dropped_lines,
            coalesce(string_agg(l.line, chr(10) order by l.n) filter (where d.n is null), '') as left_text
