@@ -25,11 +25,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: recurring lines go from all documents but the first that has them.
 
-    Lines of few words count as well, word for word, and rows without id or with a shared one are
-    documents of their own if their texts differ. A document of which no word is left goes too;
-    documents without words to begin with stay.
+    The configuration is that of ``op2_lines``. Rows without id or with a shared one are documents
+    of their own if their texts differ. A document of which no word is left goes too; documents
+    without words to begin with stay.
     """
-    cut = lines.dedup_lines(docs, short=True, by_text=True)
+    cut = lines.dedup_lines(docs)
     dropped = [c for c in cut.columns if c not in docs.columns]
     emptied = (F.col(dropped[1]) > 0) & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     kept = cut.where(~emptied)
