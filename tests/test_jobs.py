@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_sources import HEADER, add_tar, line
 
+from trackloom import functions as fn
 from trackloom.catalog import views
 from trackloom.operators import ops, serving
 from trackloom.operators.merge import merge_unified
@@ -177,3 +178,57 @@ def test_ops_reports(spark, tmp_path):
     folders = ops.folder_metrics(spark, str(layer), 1).collect()
     assert [(r.folder.rsplit("/", 1)[1], r.files) for r in folders] == [("a", 2)]
     assert json.dumps([r.dag for r in report["tasks"].collect()]) == '["d"]'
+
+
+def test_bronze_takes_every_file_once(spark, tmp_path):
+    """Without a name nothing is replaced, whatever comes into the folder and whatever the bounds."""
+    raw, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    rows = "\n".join([HEADER] + [line(1_704_067_200 + i, "IGO1", 10.0) for i in range(10)])
+    count = lambda: spark.read.parquet(bronze).count()
+    add_tar(raw / "a.tar", [("a.csv.gz", rows)])
+    assert bronze_job(spark, str(raw), bronze)["records"] == 10
+    add_tar(raw / "b.tar", [("b.csv.gz", rows)])
+    assert bronze_job(spark, str(raw), bronze)["records"] == 10 and count() == 20
+    assert bronze_job(spark, str(raw), bronze)["records"] == 20 and count() == 20
+    assert bronze_job(spark, str(raw), bronze, modified_after="2000-01-01T00:00:00")["records"] == 20 and count() == 20
+    assert bronze_job(spark, str(raw), bronze, modified_before="2000-01-01T00:00:00")["records"] == 0 and count() == 20
+    add_tar(tmp_path / "more/c.tar", [("c.csv.gz", rows)])
+    assert bronze_job(spark, str(tmp_path / "more"), bronze)["records"] == 10 and count() == 30
+
+
+def test_bronze_load_that_was_lost_is_done_again(spark, tmp_path, monkeypatch):
+    from trackloom.plans import layers
+
+    add_tar(tmp_path / "raw/a.tar", [("a.csv.gz", "\n".join([HEADER, line(1_704_067_200, "IGO1", 10.0)]))])
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    whole = layers.replace_batch
+
+    def lost(df, path, *args, **how):
+        if path.endswith("_files"):
+            raise RuntimeError("lost")
+        whole(df, path, *args, **how)
+
+    with monkeypatch.context() as m:
+        m.setattr(layers, "replace_batch", lost)
+        with pytest.raises(RuntimeError):
+            bronze_job(spark, raw, bronze)
+    assert bronze_job(spark, raw, bronze)["records"] == 1
+    assert spark.read.parquet(bronze).count() == 1
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_gold_window_is_the_same_in_any_load(spark, sf_dir, tmp_path, distinct):
+    silver, speed = str(tmp_path / "silver"), str(tmp_path / "speed")
+    states = views.silver(spark, sf_dir).withColumn("time", F.col("time") + F.col("event_id") % 200 * 86_400)
+    states = fn.with_date_parts(states).drop("event_id")
+    states.write.partitionBy("year", "month").parquet(silver)
+    gold_job(spark, silver, speed, str(tmp_path / "a"), days=40, distinct=distinct)
+    moved = {c: F.col(c) + 230 * 86_400 for c in ("time_position", "last_contact")}
+    layer = fn.with_date_parts(views.speed(spark, sf_dir).drop("event_id").withColumns(moved), "last_contact")
+    layer.withColumn("hour", fn.utc_hour("last_contact")).write.partitionBy("year", "month", "day", "hour").parquet(speed)
+    gold_job(spark, silver, speed, str(tmp_path / "a"), full=False, days=40, distinct=distinct)
+    gold_job(spark, silver, speed, str(tmp_path / "b"), days=40, distinct=distinct)
+    a, b = (spark.read.parquet(str(tmp_path / n)).select(*states.columns, "data_source") for n in "ab")
+    assert rows_of(a) == rows_of(b) and a.filter("data_source = 'batch'").count() > 0
+    newest = a.agg(F.max("time")).first()[0]
+    assert a.agg(F.min("time")).first()[0] >= newest - 40 * 86_400

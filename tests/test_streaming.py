@@ -95,6 +95,117 @@ def test_state_goes_on_after_compaction(spark, tmp_path):
     assert rows_of(state.read_state(spark, path)) == rows_of(expected)
 
 
+def feed_state(spark, tmp_path, rows, **how):
+    """One more file through the accumulation, and the rows so far."""
+    spark.createDataFrame(rows, DDL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = read_file_stream(spark, str(tmp_path / "in"), DDL)
+    q = state.start_accumulation(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ties=("n",), available_now=True, **how)
+    q.awaitTermination()
+
+
+def test_state_is_merged_beside_the_stream(spark, tmp_path):
+    rows = reports(600)
+    path = str(tmp_path / "out")
+    for i in range(24):
+        feed_state(spark, tmp_path, rows[25 * i:25 * i + 25])
+        state.merge_state(spark, path, fan=2)
+        if i % 5 == 4:
+            expected = live.accumulate(spark.createDataFrame(rows[:25 * i + 25], DDL), ties=("n",))
+            assert rows_of(state.read_state(spark, path)) == rows_of(expected)
+    kept = [*(tmp_path / "out/batches").glob("batch=*"), *(tmp_path / "out/levels").glob("generation=*")]
+    assert len(kept) <= 2 * 5 + 4, kept  # twice the logarithm of the batches, and those that wait
+    assert len([*(tmp_path / "out/manifest").glob("version=*")]) == 2
+    expected = live.accumulate(spark.createDataFrame(rows, DDL), ties=("n",))
+    some = state.read_state(spark, path, only=["a1", "a7", "none"])
+    assert rows_of(some) == rows_of(expected.filter("icao24 in ('a1', 'a7')"))
+
+
+def test_stream_merges_its_own_batches(spark, tmp_path):
+    rows = reports()
+    for i in range(0, 300, 30):
+        feed_state(spark, tmp_path, rows[i:i + 30], merge_every=4)
+    assert [*(tmp_path / "out/levels").glob("generation=*")]
+    expected = live.accumulate(spark.createDataFrame(rows, DDL), ties=("n",))
+    assert rows_of(state.read_state(spark, str(tmp_path / "out"))) == rows_of(expected)
+
+
+def test_lost_merge_is_done_again(spark, tmp_path):
+    """A generation that was written without its manifest version counts for nothing."""
+    rows = reports()
+    for i in range(0, 300, 60):
+        feed_state(spark, tmp_path, rows[i:i + 60])
+    path = str(tmp_path / "out")
+    spark.createDataFrame([("a1", 1)], "icao24 string, time long").write.parquet(f"{path}/levels/generation=00000001")
+    expected = live.accumulate(spark.createDataFrame(rows, DDL), ties=("n",))
+    assert rows_of(state.read_state(spark, path)) == rows_of(expected)
+    assert state.merge_state(spark, path) and not state.merge_state(spark, path)
+    assert rows_of(state.read_state(spark, path)) == rows_of(expected)
+
+
+def test_batch_without_changes_leaves_no_folder(spark, tmp_path):
+    none = spark.createDataFrame([], DDL)
+    state.upsert_state(none, str(tmp_path / "out"), 3)
+    assert not (tmp_path / "out/batches/batch=3").exists()
+    with pytest.raises(FileNotFoundError):
+        state.read_state(spark, str(tmp_path / "out"))
+
+
+HOUR = 1_704_067_200
+
+
+def snapshots(*rows):
+    return [(o, HOUR + t, n, 1.0) for o, t, n in rows]
+
+
+def published(spark, out):
+    layout = "icao24 string, time bigint, first_seen bigint, position_count bigint"
+    return sorted((r.icao24, r.time - HOUR, r.first_seen - HOUR, r.position_count) for r in spark.read.schema(layout).parquet(out).collect())
+
+
+def test_a_batch_reads_only_its_hours(spark, tmp_path):
+    out = str(tmp_path / "hours")
+
+    def publish(batch, *rows):
+        state.store_hours(spark.createDataFrame(snapshots(*rows), DDL), out, batch, ties=("n",))
+        return state.publish_hours(spark, out, ties=("n",), files_per_hour=1)
+
+    assert publish(0, ("a", 5, 1), ("a", 4000, 2)) == [HOUR, HOUR + 3600]
+    assert publish(1, ("b", 9000, 3)) == [HOUR + 7200]
+    late = spark.createDataFrame(snapshots(("a", 3700, 4), ("c", 3800, 5)), DDL)
+    state.store_hours(late, out, 2, ties=("n",))
+    files = state.hour_input(spark, out, {HOUR + 3600: 0}).inputFiles()
+    assert files and all(f"hour_start={HOUR + 3600}/" in f or "/_parts/batch=2/" in f for f in files)
+    folders = (tmp_path / "hours").glob("year=*/month=*/day=*/hour=*/*.parquet")
+    untouched = {p: p.stat().st_mtime_ns for p in folders if "hour=01" not in str(p)}
+    assert state.publish_hours(spark, out, ties=("n",), files_per_hour=1) == [HOUR + 3600]
+    assert untouched and all(p.stat().st_mtime_ns == t for p, t in untouched.items())
+    assert published(spark, out) == [("a", 5, 5, 1), ("a", 4000, 3700, 2), ("b", 9000, 9000, 1), ("c", 3800, 3800, 1)]
+    assert not [*(tmp_path / "hours/_parts").glob("batch=*")]  # merged parts are dropped
+    assert len([*(tmp_path / "hours/_merged").glob("hour_start=*/upto=*")]) == 3
+    assert state.publish_hours(spark, out, ties=("n",)) == []
+
+
+@pytest.mark.parametrize("lost", ["before the drop", "before the publication"])
+def test_lost_publication_goes_on(spark, tmp_path, monkeypatch, lost):
+    out = str(tmp_path / "hours")
+    frame = spark.createDataFrame(snapshots(("a", 5, 1), ("a", 9, 2), ("b", 7, 3)), DDL)
+    state.store_hours(frame, out, 0, ties=("n",))
+    state.publish_hours(spark, out, ties=("n",))
+
+    def stop(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        state.store_hours(frame, out, 1, ties=("n",))
+        m.setattr(state, "remove" if lost == "before the drop" else "with_hour_partitions", stop)
+        with pytest.raises(RuntimeError):
+            state.publish_hours(spark, out, ties=("n",))
+    for _ in range(2):  # the batch again, as the stream repeats it, and once more
+        state.store_hours(frame, out, 1, ties=("n",))
+        state.publish_hours(spark, out, ties=("n",))
+        assert published(spark, out) == [("a", 9, 5, 4), ("b", 7, 7, 2)]
+
+
 def messages(spark, sf_dir):
     return payloads.to_json_value(views.live(spark, sf_dir).drop("event_id"))
 

@@ -74,7 +74,23 @@ _END_COLUMNS = ", ".join(
     for end, a in (("origin", "o"), ("destination", "d"))
 )
 
+# crc32 of a text of ASCII signs, from a table that is made bit by bit
+_CRC_TABLE = """
+    select list(list_reduce(list_prepend(b, range(8)),
+                            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as crcs
+    from range(256) r(b)"""
+
+
+def _crc(text: str) -> str:
+    data = f"list_transform(string_split({text}, ''), lambda x: cast(ord(x) as bigint))"
+    step = "xor(crcs[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: {step}), 4294967295)"
+
+
+_STAMP = "strftime(make_timestamp(cast({t} as bigint) * 1000000), '%Y%m%dT%H%M%S')"
+
 CTES = {
+    "crc_table": _CRC_TABLE,
     "telemetry": TELEMETRY.replace("{epoch}", CHECK_EPOCH.format(c="ts")).replace("{events}", "events"),
     "routes_hist": HISTORY.replace("{epoch}", CHECK_EPOCH.format(c="o_orderdate")).replace(
         "{orders}", "orders"
@@ -131,6 +147,20 @@ CTES = {
                row_number() over (partition by p.event_id order by r.rule_rank) as rn
         from live_parts p join rules r on p.airline_prefix = r.airline_prefix
          and p.flight_number between r.min_flight_num and r.max_flight_num""",
+    "log_reports": """
+        select 'dag' || (event_id % 3) as dag, 'run' || cast(floor(time / 86400) as bigint) as run,
+               case when event_id % 7 < 3 then 'extract' else 'load' end as task, event_id, time,
+               case when alert then 'Error in report ' when spi then 'duration of report ' else 'report ' end
+               || event_id as line, alert or spi as important
+        from telemetry""",
+    "log_tasks": f"""
+        select dag, run, task, min(time) as a, max(time) as b,
+               {_crc("dag || '/' || run || '/' || task")} % 3 = 0 as failed
+        from log_reports, crc_table group by dag, run, task, crcs""",
+    "log_marks": f"""
+        select dag, run, task, 'Marking task as ' || case when failed then 'FAILED' else 'SUCCESS' end
+               || '. dag_id=' || dag || ', task_id=' || task || ', start_date=' || {_STAMP.format(t='a')}
+               || ', end_date=' || {_STAMP.format(t='b')} as line from log_tasks""",
     "speed": f"""
         select l.*, c.airline_name, c.airline_iata, c.airline_icao, {_END_COLUMNS},
                cast(time_position as varchar) as first_seen,
@@ -300,6 +330,30 @@ CTES = {
         select o.cs, o.code as oc, d.code as dc, count(*) as n
         from trip_sites o join trip_sites d on o.cs = d.cs and o.d = d.d and o.icao24 = d.icao24
         where o.which = 'o' and d.which = 'd' and o.rn = 1 and d.rn = 1 group by all""",
+    "hops": f"""
+        select event_id, icao24, flight_date, callsign_clean, 1 as one,
+               case when pd_lat is null then null else
+               2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(lat - pd_lat) / 2), 2)
+               + cos(radians(pd_lat)) * cos(radians(lat))
+               * pow(sin(radians(lon - pd_lon) / 2), 2)))) end as day_km,
+               case when pf_lat is null then null else
+               2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(lat - pf_lat) / 2), 2)
+               + cos(radians(pf_lat)) * cos(radians(lat))
+               * pow(sin(radians(lon - pf_lon) / 2), 2)))) end as flight_km,
+               case when pr_lat is null then null else
+               2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(lat - pr_lat) / 2), 2)
+               + cos(radians(pr_lat)) * cos(radians(lat))
+               * pow(sin(radians(lon - pr_lon) / 2), 2)))) end as route_km
+        from (select *, lag(lat) over wd as pd_lat, lag(lon) over wd as pd_lon,
+                     lag(lat) over wf as pf_lat, lag(lon) over wf as pf_lon,
+                     lag(lat) over wr as pr_lat, lag(lon) over wr as pr_lon
+              from flights where lat is not null
+              window wd as (partition by icao24, flight_date order by time, lat, lon),
+                     wf as (partition by icao24, flight_date, callsign_clean
+                            order by time, lat, lon),
+                     wr as (partition by icao24, flight_date, callsign_clean,
+                                         departure_airport, arrival_airport, route
+                            order by time, lat, lon)) x""",
     "fact": f"""
         select concat_ws('_', cast(flight_date as varchar), callsign_clean) as flight_id,
                flight_date, callsign_clean, icao24, departure_airport, arrival_airport, route,
@@ -327,29 +381,14 @@ CTES = {
                {_half_up('max(time) - min(time)', '60', 2)} as duration_minutes,
                {_half_up('max(time) - min(time)', '3600', 2)} as duration_hours,
                {_half_up('(count(*) - count(*) filter (where onground)) * 100', 'count(*)', 2)}
-                   as airborne_percentage
-        from flights
+                   as airborne_percentage,
+               case when count(lat) > 0 then round(coalesce(sum(route_km), 0), 6) end as distance_km
+        from (select f.*, h.route_km from flights f left join hops h on h.event_id = f.event_id)
         group by flight_date, callsign_clean, icao24, departure_airport, arrival_airport, route""",
     "latest_live": """
         select * from (select *, row_number() over (partition by icao24
                            order by last_contact desc, event_id desc) as rn,
                            count(*) over (partition by icao24) as n from speed) where rn = 1""",
-    "hops": f"""
-        select icao24, flight_date, callsign_clean, 1 as one,
-               case when pd_lat is null then null else
-               2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(lat - pd_lat) / 2), 2)
-               + cos(radians(pd_lat)) * cos(radians(lat))
-               * pow(sin(radians(lon - pd_lon) / 2), 2)))) end as day_km,
-               case when pf_lat is null then null else
-               2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(lat - pf_lat) / 2), 2)
-               + cos(radians(pf_lat)) * cos(radians(lat))
-               * pow(sin(radians(lon - pf_lon) / 2), 2)))) end as flight_km
-        from (select *, lag(lat) over wd as pd_lat, lag(lon) over wd as pd_lon,
-                     lag(lat) over wf as pf_lat, lag(lon) over wf as pf_lon
-              from flights where lat is not null
-              window wd as (partition by icao24, flight_date order by time, lat, lon),
-                     wf as (partition by icao24, flight_date, callsign_clean
-                            order by time, lat, lon)) x""",
     "gridded": f"""
         select *, round(lat / 0.5e0) * 0.5e0 as lat_bin, round(lon / 0.5e0) * 0.5e0 as lon_bin,
                {HOUR.format(t='time')} as hour_of_day, {DATE.format(t='time')} as flight_date,
@@ -369,6 +408,8 @@ _PREFIX_TEST = " or ".join(
     f"{CLEAN.format(c='callsign')} like '{p}%'" for p in ref.REGION_PREFIXES
 )
 _BOX_TEST = "lat between 6.0 and 37.0 and lon between 68.0 and 98.0"
+CTES["kept_silver"] = f"select * from silver where ({_BOX_TEST}) or ({_PREFIX_TEST})"
+CTES["matched_speed"] = "select * from speed where origin_code is not null and destination_code is not null"
 _ROUTE = "departure_airport, arrival_airport, route, aircraft_model, aircraft_type"
 
 _LATEST = """
@@ -381,11 +422,60 @@ _LATEST = """
 
 _SERVING_MEANS = "avg(baro_altitude) as avg_altitude, avg(velocity) as avg_velocity"
 
+_BRONZE = f"select {_STATES}, year, month, day from bronze where ({_BOX_TEST}) or ({_PREFIX_TEST})"
+_HOURLY = _LATEST.format(
+    keys="icao24, floor(time / 3600)",
+    extra="cast(floor(time / 3600) * 3600 as bigint) as hour_start,",
+)
+#: the star tables, built at once or load by load
+_STAR = {
+    "fact_flight_history": "select * from fact",
+    "dim_route_analytics": """
+        select coalesce(route, concat_ws('-', departure_airport, arrival_airport)) as route_id,
+               departure_airport, arrival_airport,
+               avg(duration_minutes) as avg_flight_time_minutes,
+               avg(max_velocity) as avg_max_velocity,
+               avg(avg_cruise_altitude) as avg_cruise_altitude, count(*) as total_flights,
+               count(distinct callsign_clean) as unique_callsigns,
+               sum(onground_count) * 100.0e0 / sum(total_data_points) as onground_pct
+        from fact group by 1, 2, 3""",
+    "dim_aircraft_utilization": f"""
+        select icao24, flight_date, first(callsign order by time, callsign nulls first) as callsign,
+               count(*) filter (where not onground) as airborne_data_points,
+               count(distinct callsign) as number_of_flights,
+               max(vertrate) as max_vertical_rate, min(vertrate) as min_vertical_rate,
+               last(lat order by time, lat nulls first, lon nulls first) as last_reported_lat,
+               last(lon order by time, lat nulls first, lon nulls first) as last_reported_lon,
+               avg(velocity) as avg_velocity, max(baroaltitude) as max_altitude,
+               {_half_up('count(*) filter (where not onground) * 10', '3600', 2)}
+                   as estimated_flight_hours,
+               case when count(lat) > 0 then round(coalesce(sum(day_km), 0), 6) end as distance_km
+        from (select f.*, h.day_km from flights f left join hops h on h.event_id = f.event_id)
+        group by icao24, flight_date""",
+    "dim_airspace_heatmap": """
+        select concat_ws(',', cast(lat_bin as varchar), cast(lon_bin as varchar)) as geo_hash,
+               lat_bin, lon_bin, hour_of_day, count(distinct icao24) as traffic_density,
+               avg(baroaltitude) as avg_altitude, stddev_samp(velocity) as velocity_variance,
+               avg(velocity) as avg_velocity, count(*) as data_points
+        from gridded group by lat_bin, lon_bin, hour_of_day""",
+    "raw_telemetry": f"""
+        select {', '.join('"timestamp"' if c == 'timestamp' else c for c in TELEMETRY_COLUMNS)}
+        from (select *, make_timestamp(time * 1000000) as "timestamp",
+                     {HOUR.format(t='time')} as hour_of_day from flights)""",
+}
+#: keys of the tables that are built load by load
+_LOADED = {
+    "fact_flight_history": "star_two_loads", "dim_route_analytics": "routes_two_loads",
+    "dim_aircraft_utilization": "aircraft_two_loads", "dim_airspace_heatmap": "heatmap_two_loads",
+    "raw_telemetry": "telemetry_two_loads",
+}
+
 CHECKS = {
     "scan_parquet": f"select {_STATES}, year, month, day from spread_year where month between 3 and 8",
     "scan_states_csv": f"select {_STATES} from telemetry",
     "scan_history_csv": "select * from routes_hist",
-    "bronze_states": f"select {_STATES}, year, month, day from bronze where ({_BOX_TEST}) or ({_PREFIX_TEST})",
+    "bronze_states": _BRONZE,
+    "bronze_two_loads": _BRONZE,
     "silver_states": "select * from silver",
     "new_files_anti": """
         select cast(o_orderkey as varchar) as path, o_custkey as length
@@ -457,10 +547,6 @@ CHECKS = {
                coalesce(destination_city, 'Unknown') as destination_city from speed""",
     "normalize_batch": "select * from unified_batch",
     "normalize_speed": "select * from unified_speed",
-    "raw_telemetry": f"""
-        select {', '.join('"timestamp"' if c == 'timestamp' else c for c in TELEMETRY_COLUMNS)}
-        from (select *, make_timestamp(time * 1000000) as "timestamp",
-                     {HOUR.format(t='time')} as hour_of_day from flights)""",
     "flight_id": f"""
         select event_id, concat_ws('_', cast({DATE.format(t='time')} as varchar),
                {CLEAN.format(c='callsign')}) as flight_id from telemetry""",
@@ -590,33 +676,7 @@ CHECKS = {
                round(coalesce(sum(flight_km), 0), 6) as distance_km, count(*) as positions
         from hops group by flight_date, callsign_clean, icao24""",
     "build_mapping": "select * from mapping",
-    "fact_flight_history": "select * from fact",
-    "dim_route_analytics": """
-        select coalesce(route, concat_ws('-', departure_airport, arrival_airport)) as route_id,
-               departure_airport, arrival_airport,
-               avg(duration_minutes) as avg_flight_time_minutes,
-               avg(max_velocity) as avg_max_velocity,
-               avg(avg_cruise_altitude) as avg_cruise_altitude, count(*) as total_flights,
-               count(distinct callsign_clean) as unique_callsigns
-        from fact group by 1, 2, 3""",
-    "dim_aircraft_utilization": f"""
-        select icao24, flight_date, first(callsign order by time, callsign nulls first) as callsign,
-               count(*) filter (where not onground) as airborne_data_points,
-               count(distinct callsign) as number_of_flights,
-               max(vertrate) as max_vertical_rate, min(vertrate) as min_vertical_rate,
-               last(lat order by time, lat nulls first, lon nulls first) as last_reported_lat,
-               last(lon order by time, lat nulls first, lon nulls first) as last_reported_lon,
-               avg(velocity) as avg_velocity, max(baroaltitude) as max_altitude,
-               {_half_up('count(*) filter (where not onground) * 10', '3600', 2)}
-                   as estimated_flight_hours
-        from (select *, {DATE.format(t='time')} as flight_date from telemetry)
-        group by icao24, flight_date""",
-    "dim_airspace_heatmap": """
-        select concat_ws(',', cast(lat_bin as varchar), cast(lon_bin as varchar)) as geo_hash,
-               lat_bin, lon_bin, hour_of_day, count(distinct icao24) as traffic_density,
-               avg(baroaltitude) as avg_altitude, stddev_samp(velocity) as velocity_variance,
-               avg(velocity) as avg_velocity, count(*) as data_points
-        from gridded group by lat_bin, lon_bin, hour_of_day""",
+    **_STAR,
     "cell_flights": """
         select lat_bin, lon_bin,
                count(distinct concat_ws('_', cast(flight_date as varchar), callsign_clean)) as flights,
@@ -725,6 +785,15 @@ CHECKS = {
         union all by name select 'incremental' as load, * from gold_all
         union all by name select 'distinct' as load, * from gold_once
         union all by name select 'distinct incremental' as load, * from gold_once""",
+    "gold_window": f"""
+        select data_source, cast(year({DATE.format(t='day')}) as int) as year, cast(month({DATE.format(t='day')}) as int) as month,
+               count(*) as states, cast(sum(t) as bigint) as seconds
+        from (select *, max(t) over () - 60 * 86400 as cut from (
+            select 'batch' as data_source, time + event_id % 300 * 86400 as t, time + event_id % 300 * 86400 as day
+            from telemetry
+            union all
+            select 'speed', time_position + 330 * 86400, last_contact + 330 * 86400 from speed))
+        where t >= cut group by 1, 2, 3""",
     "serving_two_loads": f"""
         select airline_name, count(icao24) as total_flights, {_SERVING_MEANS},
                (select count(*) from unified) as stored_states, true as ledger_unique
@@ -733,12 +802,48 @@ CHECKS = {
     "star_tables": """
         select 'fact_flight_history' as name, count(*) as n, sum(total_data_points) as total from fact
         union all select 'raw_telemetry', count(*), sum(time) from telemetry""",
+    **{key: _STAR[table] for table, key in _LOADED.items()},
     "stream_enrich": f"select {_SPEED_OUT} from speed where origin_code is not null and destination_code is not null",
+    "scan_states_tar": f"select {_STATES} from telemetry",
+    "source_files": "select day as source_day, count(*) as rows from bronze group by 1",
+    "log_rows": """
+        select dag, run, task, line from log_reports union all select dag, run, task, line from log_marks""",
+    "task_figures": """
+        select dag, run, count(*) as tasks, count(*) filter (where not failed) as successful_tasks,
+               count(*) filter (where failed) as failed_tasks, cast(sum(b - a) as bigint) as total_task_seconds,
+               max(b) - min(a) as wall_seconds, sum(b - a) / cast(count(*) as double) as mean_task_seconds,
+               case when max(b) > min(a) then sum(b - a) * 100 / cast(max(b) - min(a) as double) end as efficiency_pct
+        from log_tasks group by dag, run""",
+    "log_tail": """
+        select dag, run, task, important_lines, from_end, line from (
+            select *, count(*) over (partition by dag, run, task) as important_lines,
+                   cast(row_number() over (partition by dag, run, task order by place desc) as int) as from_end
+            from (select dag, run, task, event_id as place, line from log_reports where important
+                  union all select dag, run, task, 1000000000000000, line from log_marks)) where from_end <= 5""",
+    "storage_figures": """
+        select 'by_day' as layer, count(distinct day) as files, true as has_bytes, count(distinct day) as folders from bronze
+        union all select 'in_parts', 4, true, null""",
+    "job_figures": f"""
+        select 'mapping' as job, 'total_records' as figure, cast(count(*) as double) as value from routes_hist
+        union all select 'mapping', 'unique_callsigns', count(*) from mapping
+        union all select 'mapping', 'valid_records', sum(flight_count) from mapping
+        union all select 'mapping', 'region_routes', count(*) from mapping
+            where departure_airport like 'V%' or arrival_airport like 'V%'
+        union all select 'bronze', 'records', count(*) from kept_silver
+        union all select 'bronze', 'broken_archives', 0
+        union all select 'silver', 'records', count(*) from kept_silver
+        union all select 'silver', 'matched', count(route) from kept_silver
+        union all select 'silver', 'match_rate', {_half_up('count(route) * 100', 'count(*)', 1)} from kept_silver
+        union all select 'gold', 'gold_records', count(*) from kept_silver""",
+    "processing_metadata": "select 'speed_layer' as source, true as is_fresh, count(*) as rows from telemetry",
+    "live_tables": """
+        select 'enrichment' as "table", count(*) as rows, count(*) as reports from matched_speed
+        union all select 'state', count(distinct icao24), count(*) from matched_speed
+        union all select 'snapshots', count(distinct (icao24, floor(last_contact / 3600))), count(*) from matched_speed""",
     "stream_latest": _LATEST.format(keys="icao24", extra=""),
-    "stream_hourly": _LATEST.format(
-        keys="icao24, floor(time / 3600)",
-        extra="cast(floor(time / 3600) * 3600 as bigint) as hour_start,",
-    ),
+    "stream_latest_compacted": _LATEST.format(keys="icao24", extra=""),
+    "stream_hourly_published": _HOURLY,
+    "stream_hourly": _HOURLY,
     "stream_serving": f"""
         select airline_name, count(icao24) as total_flights, {_SERVING_MEANS}
         from unified where airline_name is not null group by 1""",

@@ -7,14 +7,24 @@ from .. import functions as fn
 from .. import reference_data as ref
 from .. import schemas
 from ..operators import filters, live, lookup, merge, serving, sites, star, tracks
+from ..operators.ops import folder_metrics, log_summary
 from ..plans.layers import bronze_job, gold_job, mapping_job, silver_job
+from ..plans.live import live_job
+from ..plans.ops import ops_job
 from ..plans.serving import serving_job
-from ..plans.star import star_job
-from ..sinks import export_csv, upsert_ledger, write_partitioned
+from ..plans.star import read_star, star_job, star_load
+from ..sinks import export_csv, put, upsert_ledger, write_partitioned, write_tar_csv
 from ..sources import dims, files, payloads
+from ..sources.logs import read_logs
 from ..streaming.enrich import start_enrichment
 from ..streaming.serve import serving_table, start_serving, stored_states
-from ..streaming.state import publish_hours, read_state, start_accumulation, start_hourly_snapshots
+from ..streaming.state import (
+    merge_state,
+    publish_hours,
+    read_state,
+    start_accumulation,
+    start_hourly_snapshots,
+)
 from ..workspace import scratch_path
 from . import views
 from .views import table
@@ -74,6 +84,104 @@ def scan_history_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "firstseen")})
 
 
+@query
+def scan_states_tar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives packed by tasks, those of one half with their columns in another order, and a damaged one."""
+    path = scratch_path(spark, "archives")
+    states = views.telemetry(spark, sf_dir)
+    columns = schemas.names(schemas.STATES)
+    for half, order in enumerate((columns, columns[::-1])):
+        write_tar_csv(states.filter(F.col("event_id") % 2 == half).select(*order).repartition(3), f"{path}/half{half}")
+    cut = files.list_files(spark, path, "*.tar").orderBy("path").select("path").first()[0]
+    whole = spark.read.format("binaryFile").load(cut).select("content").first()[0]
+    put(spark, f"{path}/damaged.tar", bytes(whole[: len(whole) // 2]))
+    lines = files.read_tar_lines(spark, path)
+    assert files.tar_errors(lines).count() == 1
+    return files.tar_states(lines)
+
+
+@query
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per source folder, from the path that every row carries."""
+    path = scratch_path(spark, "days")
+    write_partitioned(fn.with_date_parts(views.telemetry(spark, sf_dir)), path, by=("day",))
+    rows = files.with_source_file(spark.read.parquet(path))
+    day = F.regexp_extract("_source_file", r"/day=(\d+)/[^/]+\.parquet$", 1).cast("int")
+    return rows.groupBy(day.alias("source_day")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _log_root(spark: SparkSession, sf_dir: str) -> str:
+    """The log lines as one text file per task."""
+    root = scratch_path(spark, "logs")
+    keys = ["dag_id", "run_id", "task_id"]
+    lines = views.log_lines(spark, sf_dir)
+    lines.repartition(8, *keys).sortWithinPartitions(*keys, "place").select(*keys, "value").write.partitionBy(*keys).text(root)
+    return root
+
+
+@query
+def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all logs changed since 2000, with the ids that their paths give."""
+    root = _log_root(spark, sf_dir)
+    assert read_logs(spark, root, "2999-01-01T00:00:00", "*.txt").isEmpty()
+    return read_logs(spark, root, "2000-01-01T00:00:00", "*.txt").select("dag", "run", "task", "line")
+
+
+@query
+def task_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _log_root(spark, sf_dir)
+    return ops_job(spark, root, {"logs": root}, pattern="*.txt")["tasks"]
+
+
+@query
+def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five important lines of every log."""
+    logs = read_logs(spark, _log_root(spark, sf_dir), pattern="*.txt")
+    tail = log_summary(logs, lines_per_file=5)
+    path = F.col("file")
+    return tail.select(
+        "dag", F.regexp_extract(path, "run_id=([^/]+)", 1).alias("run"), F.regexp_extract(path, "task_id=([^/]+)", 1).alias("task"),
+        "important_lines", "from_end", "line",
+    )
+
+
+@query
+def storage_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two stored layers: one file per day, and four."""
+    days, parts = scratch_path(spark, "days"), scratch_path(spark, "parts")
+    dated = fn.with_date_parts(views.telemetry(spark, sf_dir), parts=("day",))
+    write_partitioned(dated.repartition(4, "day"), days, by=("day",))
+    dated.repartition(4).write.parquet(parts)
+    found = ops_job(spark, days, {"by_day": days, "in_parts": parts}, pattern="*.none")["storage"]
+    folders = folder_metrics(spark, days).agg(F.count(F.lit(1)).alias("folders"), F.lit("by_day").alias("layer"))
+    return found.join(folders, "layer", "left").select("layer", "files", (F.col("bytes") > 0).alias("has_bytes"), "folders")
+
+
+@query
+def job_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the layer jobs count while they write."""
+    p = {n: scratch_path(spark, n) for n in ("history", "mapping", "raw", "bronze", "silver", "gold")}
+    views.history(spark, sf_dir).select(*schemas.names(schemas.HISTORY)).write.option("header", True).csv(p["history"])
+    states = views.telemetry(spark, sf_dir).select(*schemas.names(schemas.STATES))
+    states.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(p["raw"])
+    figures = {
+        "mapping": mapping_job(spark, p["history"], p["mapping"]),
+        "bronze": bronze_job(spark, p["raw"], p["bronze"], archives=False),
+        "silver": silver_job(spark, p["bronze"], p["mapping"], p["silver"]),
+        # there is no live layer yet
+        "gold": gold_job(spark, p["silver"], scratch_path(spark, "none"), p["gold"]),
+    }
+    rows = [(job, name, float(n)) for job, found in figures.items() for name, n in found.items()]
+    return spark.createDataFrame(rows, "job string, figure string, value double")
+
+
+@query
+def processing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = filters.with_processing_metadata(views.telemetry(spark, sf_dir))
+    fresh = F.abs(F.unix_seconds("processing_time") - F.unix_seconds(F.current_timestamp())) < 3600
+    return marked.groupBy("source", fresh.alias("is_fresh")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def bronze_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze job over CSV files: scan, region filter, partitioned append."""
@@ -84,6 +192,20 @@ def bronze_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_layer(spark, bronze).drop("batch")
 
 
+@query
+def bronze_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders loaded one after the other, then again: one by itself, one bounded by time, and both."""
+    root, bronze = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
+    for half in (0, 1):
+        states = views.telemetry(spark, sf_dir).filter(F.col("event_id") % 2 == half).select(*schemas.names(schemas.STATES))
+        states.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/half{half}")
+        bronze_job(spark, f"{root}/half{half}", bronze, archives=False)
+    bronze_job(spark, f"{root}/half0", bronze, archives=False)
+    bronze_job(spark, f"{root}/half1", bronze, archives=False, modified_after="2000-01-01T00:00:00")
+    bronze_job(spark, root, bronze, archives=False)
+    return files.read_layer(spark, bronze).drop("batch")
+
+
 @query
 def silver_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver job: stored mapping, broadcast join, partitioned overwrite."""
@@ -749,6 +871,23 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, out)
 
 
+@query
+def stream_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed state whose batches are merged while the stream runs, between its two runs, and after."""
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("reports", "state", "checkpoint"))
+    reports = views.telemetry(spark, sf_dir)
+    for half in (0, 1):
+        reports.filter(F.col("event_id") % 2 == half).repartition(6).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(reports.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        _finish(
+            start_accumulation(
+                stream, out, checkpoint, ties=("event_id",), available_now=True, merge_every=5
+            )
+        )
+        merge_state(spark, out, fan=2, settled=half == 1)
+    return read_state(spark, out)
+
+
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly snapshots of a backlog in any order: eight files, one per micro-batch."""
@@ -770,6 +909,47 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_hourly_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, every micro-batch publishing the hours it touches."""
+    out = scratch_path(spark, "snapshots")
+    _finish(
+        start_hourly_snapshots(
+            _as_stream(spark, views.telemetry(spark, sf_dir).repartition(3, F.xxhash64("event_id")), "reports", 1),
+            out,
+            scratch_path(spark, "checkpoint"),
+            available_now=True,
+            ties=("event_id",),
+            files_per_hour=1,
+        )
+    )
+    return spark.read.parquet(out).drop(
+        "year", "month", "day", "hour", "processing_time", "source"
+    )
+
+
+@query
+def live_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live job over a stream of messages: rows of its three tables."""
+    messages = payloads.to_json_value(views.live(spark, sf_dir).drop("event_id", "sensors"))
+    p = {n: scratch_path(spark, n) for n in ("checkpoint", "enriched", "state", "hours")}
+    started = live_job(
+        _as_stream(spark, messages.repartition(4), "messages", 2), dims.route_rules(spark), p["checkpoint"],
+        "parquet", {"path": p["enriched"]}, state_path=p["state"], snapshot_path=p["hours"], available_now=True,
+    )
+    for stream_query in started.values():
+        _finish(stream_query)
+    state, hours = read_state(spark, p["state"]), spark.read.parquet(p["hours"])
+    enriched = spark.read.schema("value string").parquet(p["enriched"])
+    counts = [
+        enriched.select(F.lit("enrichment").alias("table"), F.lit(1).cast("long").alias("reports")),
+        state.select(F.lit("state").alias("table"), F.col("position_count").alias("reports")),
+        hours.select(F.lit("snapshots").alias("table"), F.col("position_count").alias("reports")),
+    ]
+    every = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return every.groupBy("table").agg(F.count(F.lit(1)).alias("rows"), F.sum("reports").alias("reports"))
+
+
 @query
 def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carrier statistics merged from the partial rows of several batches."""
@@ -833,6 +1013,23 @@ def gold_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query
+def gold_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last sixty days: a full load of the batch layer, and an increment when the live one came."""
+    p = {n: scratch_path(spark, n) for n in ("silver", "speed", "gold")}
+    later = F.col("time") + F.col("event_id") % 300 * 86_400
+    silver = fn.with_date_parts(views.silver(spark, sf_dir).withColumn("time", later)).drop("event_id")
+    write_partitioned(silver, p["silver"])
+    gold_job(spark, p["silver"], p["speed"], p["gold"], days=60)
+    moved = {c: F.col(c) + 330 * 86_400 for c in ("time_position", "last_contact")}
+    live_rows = fn.with_date_parts(views.speed(spark, sf_dir).drop("event_id").withColumns(moved), "last_contact")
+    write_partitioned(live_rows.withColumn("hour", fn.utc_hour("last_contact")), p["speed"], by=("year", "month", "day", "hour"))
+    gold_job(spark, p["silver"], p["speed"], p["gold"], full=False, days=60)
+    return spark.read.parquet(p["gold"]).groupBy("data_source", "year", "month").agg(
+        F.count(F.lit(1)).alias("states"), F.sum("time").alias("seconds")
+    )
+
+
 @query
 def star_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star job over the stored reports: rows and a control sum of two of its tables."""
@@ -872,3 +1069,39 @@ def serving_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ledger_unique": F.lit(unique),
         }
     )
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A star table from two loads whose reports alternate in time, the first one loaded twice."""
+    gold, star_path = scratch_path(spark, "gold"), scratch_path(spark, "star")
+    write_partitioned(views.silver(spark, sf_dir), gold)
+    reports = spark.read.parquet(gold)
+    first = F.col("event_id") % 3 == 0
+    for batch, kept in (("2024-01-01", first), ("2024-01-02", ~first), ("2024-01-01", first)):
+        star_load(spark, reports.filter(kept), star_path, batch, [table])
+    return read_star(spark, star_path, table)
+
+
+@query
+def star_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir, "fact_flight_history")
+
+
+@query
+def routes_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir, "dim_route_analytics")
+
+
+@query
+def aircraft_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir, "dim_aircraft_utilization")
+
+
+@query
+def heatmap_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir, "dim_airspace_heatmap")
+
+
+@query
+def telemetry_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir, "raw_telemetry")

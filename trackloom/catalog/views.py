@@ -156,3 +156,29 @@ def speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
             "hour": utc_hour("last_contact"),
         }
     )
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of task logs: one per report, and at a task's end the line that marks it."""
+    report = telemetry(spark, sf_dir).select(
+        F.format_string("dag%d", F.col("event_id") % 3).alias("dag_id"),
+        F.format_string("run%d", F.floor(F.col("time") / 86_400)).alias("run_id"),
+        F.when(F.col("event_id") % 7 < 3, "extract").otherwise("load").alias("task_id"),
+        "event_id", "time", "alert", "spi",
+    )
+    kind = F.when(F.col("alert"), "Error in report ").when(F.col("spi"), "duration of report ").otherwise("report ")
+    keys = ["dag_id", "run_id", "task_id"]
+
+    def stamp(epoch):
+        day, second = utc_date(epoch), F.pmod(epoch, F.lit(86_400))
+        clock = [F.lpad((F.floor(second / n) % m).cast("string"), 2, "0") for n, m in ((3600, 24), (60, 60), (1, 60))]
+        return F.concat(F.date_format(day, "yyyyMMdd"), F.lit("T"), *clock)
+
+    ends = report.groupBy(*keys).agg(F.min("time").alias("a"), F.max("time").alias("b"))
+    state = F.when(F.crc32(F.concat_ws("/", *keys).cast("binary")) % 3 == 0, "FAILED").otherwise("SUCCESS")
+    mark = F.concat(
+        F.lit("Marking task as "), state, F.lit(". dag_id="), "dag_id", F.lit(", task_id="), "task_id",
+        F.lit(", start_date="), stamp(F.col("a")), F.lit(", end_date="), stamp(F.col("b")),
+    )
+    lines = report.select(*keys, F.col("event_id").alias("place"), F.concat(kind, F.col("event_id").cast("string")).alias("value"))
+    return lines.unionByName(ends.select(*keys, F.lit(2**60).alias("place"), mark.alias("value")))

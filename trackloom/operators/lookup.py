@@ -192,7 +192,8 @@ def enrich_exact(df: DataFrame, routes: DataFrame, callsign: str = "callsign") -
         F.col("callsign").alias("_callsign"),
         *[c for c in routes.columns if c != "callsign" and c not in taken],
     )
-    return df.join(side, df[callsign] == side["_callsign"], "left").drop("_callsign")
+    key = spread_nulls(df, df[callsign])
+    return df.join(side, key == side["_callsign"], "left").drop("_callsign")
 
 
 def rules_by_prefix(rules: DataFrame, prefix: str = "airline_prefix") -> DataFrame:
@@ -240,7 +241,7 @@ def lookup_exact(
     callsign: str = "callsign",
 ) -> DataFrame:
     """Origin and destination from ``primary``, else from ``fallback``, always as a pair."""
-    key = clean_code(df[callsign])
+    key = spread_nulls(df, clean_code(df[callsign]))
 
     def side(routes, name):
         return routes.select(

@@ -19,11 +19,13 @@ from ..functions import (
     with_flight_keys,
 )
 from ..reference_data import SECONDS_PER_POINT
+from . import tracks
 from .filters import valid_history
 
 FLIGHT_KEYS = [
     "flight_date", "callsign_clean", "icao24", "departure_airport", "arrival_airport", "route",
 ]
+AIRCRAFT = ["aircraft_model", "aircraft_type"]
 
 
 def flagged(flag: Column | str) -> Column:
@@ -70,7 +72,7 @@ def build_mapping(history: DataFrame, epoch: str | None = "firstseen", sep: str
 
 
 # measure of the fact table -> (function, source column)
-_EXTREMES = {
+EXTREMES = {
     "first_seen": ("min", "time"),
     "last_seen": ("max", "time"),
     "first_position_update": ("min", "lastposupdate"),
@@ -90,7 +92,7 @@ _EXTREMES = {
     "min_longitude": ("min", "lon"),
     "max_longitude": ("max", "lon"),
 }
-_MEANS = {
+MEANS = {
     "avg_velocity": "velocity",
     "avg_baro_altitude": "baroaltitude",
     "avg_geo_altitude": "geoaltitude",
@@ -100,7 +102,7 @@ _MEANS = {
     "avg_latitude": "lat",
     "avg_longitude": "lon",
 }
-_FLAGS = {"onground_count": "onground", "alert_count": "alert", "spi_count": "spi"}
+FLAGS = {"onground_count": "onground", "alert_count": "alert", "spi_count": "spi"}
 
 
 def cruise_altitude(vertrate: Column | str = "vertrate", altitude: Column | str = "baroaltitude") -> Column:
@@ -122,49 +124,71 @@ def with_durations(fact: DataFrame) -> DataFrame:
     )
 
 
+def first_aircraft(seen: DataFrame) -> DataFrame:
+    """Per ``_flight``: the aircraft of its first report and the number of its squawk codes.
+
+    ``seen`` has a row per squawk code and aircraft with the first time ``_seen``, or several.
+    """
+    return seen.groupBy("_flight").agg(
+        F.min(F.struct(F.isnull("_seen"), "_seen", *AIRCRAFT)).alias("_first"),
+        F.countDistinct("squawk").alias("unique_squawk_codes"),
+    )
+
+
+def finished_fact(joined: DataFrame) -> DataFrame:
+    """The columns of the fact table from measures, first aircraft and distance by ``_flight``."""
+    taken = ("_flight", "_first", "unique_squawk_codes", "distance_km")
+    fact = joined.select(
+        flight_id("_flight.flight_date", "_flight.callsign_clean").alias("flight_id"),
+        *[F.col(f"_flight.{c}").alias(c) for c in FLIGHT_KEYS],
+        *[c for c in joined.columns if c not in taken],
+        *[f"_first.{c}" for c in AIRCRAFT],
+        "unique_squawk_codes",
+        F.round("distance_km", 6).alias("distance_km"),
+    )
+    return with_durations(fact)
+
+
 def fact_flight_history(gold: DataFrame) -> DataFrame:
-    """One row per flight (date, call sign, aircraft, route) with 34 measures and 4 derived.
+    """One row per flight (date, call sign, aircraft, route): 35 measures and 4 derived.
 
     The numeric measures are one hash aggregate. Squawk codes and the aircraft of the
     first report come from a second, narrow branch that is reduced to the distinct
-    combinations of a flight before it is merged. Both end up partitioned by flight, so
-    their join moves nothing. The key is a struct, in which missing parts are equal.
+    combinations of a flight before it is merged; kilometres from a third, that sees
+    positions only. All end up partitioned by flight, so their joins move nothing. The
+    key is a struct, in which missing parts are equal. A flight without any position, or
+    without an aircraft, has no distance.
     """
     rows = with_flight_keys(gold).withColumns(
         {"_cruise": cruise_altitude(), "_flight": F.struct(*FLIGHT_KEYS)}
     )
     measures = rows.groupBy("_flight").agg(
-        *[getattr(F, f)(c).alias(name) for name, (f, c) in _EXTREMES.items()],
-        *[F.avg(c).alias(name) for name, c in _MEANS.items()],
+        *[getattr(F, f)(c).alias(name) for name, (f, c) in EXTREMES.items()],
+        *[F.avg(c).alias(name) for name, c in MEANS.items()],
         F.stddev("velocity").alias("stddev_velocity"),
-        *[flagged(c).alias(name) for name, c in _FLAGS.items()],
+        *[flagged(c).alias(name) for name, c in FLAGS.items()],
         F.count(F.lit(1)).alias("total_data_points"),
     )
-    aircraft = ["aircraft_model", "aircraft_type"]
-    details = (
-        rows.groupBy("_flight", "squawk", *aircraft)
-        .agg(F.min("time").alias("_seen"))
-        .groupBy("_flight")
-        .agg(
-            F.min(F.struct(F.isnull("_seen"), "_seen", *aircraft)).alias("_first"),
-            F.countDistinct("squawk").alias("unique_squawk_codes"),
-        )
-    )
-    fact = measures.join(details, "_flight").select(
-        flight_id("_flight.flight_date", "_flight.callsign_clean").alias("flight_id"),
-        "_flight.*",
-        *[c for c in measures.columns if c != "_flight"],
-        *[f"_first.{c}" for c in aircraft],
-        "unique_squawk_codes",
-    )
-    return with_durations(fact)
+    details = first_aircraft(rows.groupBy("_flight", "squawk", *AIRCRAFT).agg(F.min("time").alias("_seen")))
+    known = rows.filter(F.col("icao24").isNotNull())
+    flown = tracks.track_distance(known, ["_flight"]).drop("positions")
+    return finished_fact(measures.join(details, "_flight").join(flown, "_flight", "left"))
 
 
-def dim_route_analytics(fact: DataFrame, sep: str = "-") -> DataFrame:
-    """Per route: mean flight time, speed and cruise altitude, flights and call signs."""
+def with_route_id(fact: DataFrame, sep: str = "-") -> DataFrame:
     ends = F.concat_ws(sep, "departure_airport", "arrival_airport")
+    return fact.withColumn("route_id", F.coalesce("route", ends))
+
+
+def onground_share(onground: str, points: str) -> Column:
+    """Aggregate: share of reports on the ground, in percent."""
+    return F.try_divide(F.sum(onground) * 100.0, F.sum(points)).alias("onground_pct")
+
+
+def dim_route_analytics(fact: DataFrame, sep: str = "-") -> DataFrame:
+    """Per route: mean flight time, speed and cruise altitude, flights, call signs, ground share."""
     return (
-        fact.withColumn("route_id", F.coalesce("route", ends))
+        with_route_id(fact, sep)
         .groupBy("route_id", "departure_airport", "arrival_airport")
         .agg(
             F.avg("duration_minutes").alias("avg_flight_time_minutes"),
@@ -173,27 +197,37 @@ def dim_route_analytics(fact: DataFrame, sep: str = "-") -> DataFrame:
             F.count(F.lit(1)).alias("total_flights"),
             # distinct call signs, not carriers
             F.countDistinct("callsign_clean").alias("unique_callsigns"),
+            onground_share("onground_count", "total_data_points"),
         )
     )
 
 
-def dim_aircraft_utilization(gold: DataFrame) -> DataFrame:
-    """Per aircraft and day: activity, vertical rates, last position, estimated hours."""
-    keys = ["icao24", "flight_date"]
-    parts = (
-        gold.withColumn("flight_date", utc_date("time"))
-        .groupBy(*keys, "callsign")
-        .agg(
-            F.min("time").alias("_first"),
-            F.max(F.struct("time", "lat", "lon")).alias("_last"),
-            flagged(~F.col("onground")).alias("_airborne"),
-            F.max("vertrate").alias("_max_rate"),
-            F.min("vertrate").alias("_min_rate"),
-            F.sum("velocity").alias("_speed"),
-            F.count("velocity").alias("_speeds"),
-            F.max("baroaltitude").alias("_alt"),
-        )
+#: how the columns of ``utilization_parts`` merge
+MERGED_BY = {
+    "_first": "min", "_last": "max", "_airborne": "sum", "_max_rate": "max", "_min_rate": "min",
+    "_speed": "sum", "_speeds": "sum", "_alt": "max",
+}
+
+
+def utilization_parts(dated: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key and call sign: partial rows of the utilization table."""
+    return dated.groupBy(*keys, "callsign").agg(
+        F.min("time").alias("_first"),
+        F.max(F.struct("time", "lat", "lon")).alias("_last"),
+        flagged(~F.col("onground")).alias("_airborne"),
+        F.max("vertrate").alias("_max_rate"),
+        F.min("vertrate").alias("_min_rate"),
+        F.sum("velocity").alias("_speed"),
+        F.count("velocity").alias("_speeds"),
+        F.max("baroaltitude").alias("_alt"),
     )
+
+
+def utilization(parts: DataFrame, keys: list[str], flown: DataFrame, seconds: int) -> DataFrame:
+    """One row per key from one partial row per key and call sign, and the distances by key.
+
+    An aircraft without a name has no distance, so a plain join leaves it without.
+    """
     merged = parts.groupBy(*keys).agg(
         F.min(F.struct("_first", "callsign"))["callsign"].alias("callsign"),
         F.sum("_airborne").alias("airborne_data_points"),
@@ -205,8 +239,20 @@ def dim_aircraft_utilization(gold: DataFrame) -> DataFrame:
         F.try_divide(F.sum("_speed"), F.sum("_speeds")).alias("avg_velocity"),
         F.max("_alt").alias("max_altitude"),
     )
-    hours = F.col("airborne_data_points") * SECONDS_PER_POINT / 3600
-    return merged.withColumn("estimated_flight_hours", F.round(hours, 2))
+    return merged.join(flown, keys, "left").withColumns(
+        {
+            "distance_km": F.round("distance_km", 6),
+            "estimated_flight_hours": F.round(F.col("airborne_data_points") * seconds / 3600, 2),
+        }
+    )
+
+
+def dim_aircraft_utilization(gold: DataFrame) -> DataFrame:
+    """Per aircraft and day: activity, vertical rates, last position, kilometres, estimated hours."""
+    keys = ["icao24", "flight_date"]
+    dated = gold.withColumn("flight_date", utc_date("time"))
+    flown = tracks.track_distance(dated, keys).drop("positions")
+    return utilization(utilization_parts(dated, keys), keys, flown, SECONDS_PER_POINT)
 
 
 def with_grid(df: DataFrame, degrees: float = 0.5, lat: str = "lat", lon: str = "lon") -> DataFrame:

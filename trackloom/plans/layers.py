@@ -1,6 +1,8 @@
 """Raw files to the merged table: mapping, bronze, silver, gold."""
 
+import hashlib
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
@@ -8,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import clean_code, lookback
+from ..functions import clean_code
+from ..functions.time import DAY
 from ..operators.filters import filter_region, region_routes
 from ..operators.lookup import enrich_routes
 from ..operators.merge import latest_per_key, merge_gold, sample_fraction, speed_as_states
 from ..operators.star import build_mapping
-from ..sinks import counted, export_csv, replace_batch, write_partitioned
+from ..sinks import counted, export_csv, folders, remove, replace_batch, write_partitioned
 from ..sources.files import (
+    list_files,
     read_csv_tree,
     read_layer,
     read_optional,
@@ -22,6 +26,7 @@ from ..sources.files import (
     read_tar_lines,
     tar_states,
 )
+from ..workspace import scratch_path
 
 
 class MissingMapping(RuntimeError):
@@ -59,36 +64,70 @@ def mapping_job(
     }
 
 
+#: what a bronze load read: a row per file, with the figures of its load
+_LOADED = "path string, length long, modification_time timestamp, records long, broken long, load string"
+
+
 def bronze_job(
     spark: SparkSession,
     root: str,
     bronze_path: str,
     archives: bool = True,
-    batch: str = "all",
+    batch: str | None = None,
     modified_after: str | None = None,
     modified_before: str | None = None,
 ) -> dict[str, int]:
-    """Position reports of the region as parquet by batch, year and month, in one pass.
-
-    ``archives`` reads tar files; otherwise ``root`` holds CSV files. The rows are stored
-    under ``batch=``: a load that is repeated under its name replaces its own rows and
-    nothing else. ``modified_after`` and ``modified_before`` (timestamps) bound the files.
-    Damaged archives give no rows; they are counted, and ``sources.files.tar_errors``
-    names them.
+    """Adds position reports of the region to a parquet table by batch, year and month, in one pass.
+
+    ``archives`` reads tar files; otherwise ``root`` holds CSV files. ``modified_after`` and
+    ``modified_before`` (timestamps) bound the files. The files of every load are kept in a ledger
+    beside the table, written last. Without a name the load takes the files that no load has
+    taken yet and is stored under a name made from them, so that nothing is replaced or loaded
+    twice and a load that was lost halfway is done again; where no file is new the figures are
+    those of the loads that hold them. With a name the load takes all files and replaces the rows
+    it had under that name, and nothing else. A file that is written anew is a new file. Damaged
+    archives give no rows; they are counted, and ``sources.files.tar_errors`` names them.
     """
     bounds = {k: v for k, v in (("modifiedAfter", modified_after), ("modifiedBefore", modified_before)) if v}
+    ledger_path = f"{bronze_path}/_files"
+    listed = stored_files(spark, list_files(spark, root, "*.tar" if archives else "*.{csv,csv.gz}", **bounds))
+    if batch is None:
+        known = read_optional(spark, ledger_path, _LOADED)
+        if known is not None:
+            same = ["path", "modification_time"]
+            held = known.join(listed.select(*same), same, "left_semi").select("load", "records", "broken").distinct()
+            listed = listed.join(known.select(*same), same, "left_anti")
+        files = sorted((r.path, str(r.modification_time)) for r in listed.select("path", "modification_time").toLocalIterator())
+        if not files and known is not None:
+            figures = held.agg(F.sum("records").alias("records"), F.sum("broken").alias("broken_archives")).first()
+            return {k: v or 0 for k, v in figures.asDict().items()}
+        batch = "files-" + hashlib.md5(repr(files).encode()).hexdigest()
+        paths = [path for path, _ in files]
+    else:
+        paths = [r.path for r in listed.select("path").toLocalIterator()]
+    if not paths:
+        return {"records": 0, "broken_archives": 0}
     broken = None
     if archives:
-        lines, broken = counted(read_tar_lines(spark, root, **bounds), broken=F.count("error"))
+        lines, broken = counted(read_tar_lines(spark, paths), broken=F.count("error"))
         states = tar_states(lines)
     else:
-        states = read_states(spark, root, **bounds)
+        states = read_states(spark, paths)
     kept, written = counted(filter_region(states))
     replace_batch(kept, bronze_path, batch, ("year", "month"))
-    return {
-        "records": written.get["rows"],
-        "broken_archives": broken.get["broken"] if broken else 0,
-    }
+    figures = {"records": written.get["rows"], "broken_archives": broken.get["broken"] if broken else 0}
+    load = listed.withColumns(
+        {"records": F.lit(figures["records"]).cast("long"), "broken": F.lit(figures["broken_archives"]).cast("long")}
+    )
+    replace_batch(load, ledger_path, batch, column="load")
+    return figures
+
+
+def stored_files(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """A listing as it is now: files that come while a load runs belong to the next one."""
+    path = scratch_path(spark, "listing")
+    listed.write.parquet(path)
+    return spark.read.schema(listed.schema).parquet(path)
 
 
 def require_mapping(spark: SparkSession, mapping_path: str) -> DataFrame:
@@ -139,7 +178,9 @@ def gold_job(
 
     A full load rewrites it. An incremental load rewrites the months that the live layer
     holds and can be repeated; ``since`` (a timestamp) narrows them to months with live
-    files modified after it. ``days`` keeps the reports of the last days only.
+    files modified after it. ``days`` keeps the reports of the last days before the newest one of
+    both layers, whatever the load: months before the cut are dropped from the table, and an
+    incremental load trims the month that the cut is in.
 
     ``distinct`` keeps the latest row per aircraft, clean call sign and last contact over
     both layers. Its table is partitioned by year and month only, as a month's rows of
@@ -153,6 +194,11 @@ def gold_job(
     gold = merge_gold(batch, speed)
     if gold is None:
         return {"gold_records": 0}
+    cut = None
+    if days is not None:
+        newest = [read_optional(spark, path) for path in (silver_path, speed_path)]
+        ends = [d.agg(F.max(c)).first()[0] for d, c in zip(newest, ("time", "time_position")) if d is not None]
+        cut = max((e for e in ends if e is not None), default=0) - days * DAY
     if not full:
         new = spark.read.schema(speed.schema).option("basePath", speed_path)
         new = (new.option("modifiedAfter", since) if since else new).parquet(speed_path)
@@ -161,17 +207,39 @@ def gold_job(
             return {"gold_records": 0}
         # one term per month, so that whole folders are skipped
         gold = gold.filter(reduce(or_, [(F.col("year") == y) & (F.col("month") == m) for y, m in months]))
-    if days is not None:
-        gold = lookback(gold, "time", days)
+    if cut is not None:
+        gold = gold.filter(F.col("time") >= cut)
     if distinct:
         code = gold.withColumn("_code", clean_code("callsign"))
         gold = latest_per_key(code, ["icao24", "_code", "lastcontact", "year", "month"], ["time"]).drop("_code")
     gold, written = counted(gold)
     by = ("year", "month") if distinct else ("data_source", "year", "month")
     write_partitioned(gold, gold_path, "overwrite" if full else "overwrite_partitions", by, cluster=True)
+    if cut is not None and not full:
+        _trim(spark, gold_path, cut, by)
     return {"gold_records": written.get["rows"]}
 
 
+def _trim(spark: SparkSession, gold_path: str, cut: int, by: Sequence[str]) -> None:
+    """Drops the reports before ``cut``: whole months as folders, the month of the cut by a rewrite."""
+    first = datetime.fromtimestamp(cut, timezone.utc)
+    edge = (first.year, first.month)
+    for folder in folders(spark, "/".join([gold_path, *[f"{c}=*" for c in by]])):
+        names = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+        if (int(names["year"]), int(names["month"])) < edge:
+            remove(spark, folder)
+    kept = spark.read.parquet(gold_path).filter((F.col("year") == edge[0]) & (F.col("month") == edge[1]))
+    if kept.filter(F.col("time") < cut).isEmpty():
+        return
+    # read once more from a copy, as its own files are replaced
+    copy = scratch_path(spark, "gold-edge")
+    kept.filter(F.col("time") >= cut).write.partitionBy(*by).parquet(copy)
+    before = folders(spark, "/".join([gold_path, *[f"{c}=*" for c in by[:-2]], f"year={edge[0]}", f"month={edge[1]}"]))
+    write_partitioned(spark.read.schema(kept.schema).parquet(copy), gold_path, "overwrite_partitions", by, cluster=True)
+    after = {f[f.index(copy) + len(copy):] for f in folders(spark, "/".join([copy, *[f"{c}=*" for c in by]]))}
+    remove(spark, *[f for f in before if not any(f.endswith(a) for a in after)])
+
+
 def sample_job(
     spark: SparkSession,
     path: str,

@@ -7,10 +7,10 @@ from ..sources.logs import read_logs
 
 
 def ops_job(
-    spark: SparkSession, log_root: str, layers: dict[str, str], since: str | None = None
+    spark: SparkSession, log_root: str, layers: dict[str, str], since: str | None = None, pattern: str = "*.log"
 ) -> dict[str, DataFrame]:
     """Task metrics, important log lines and storage figures, as DataFrames."""
-    logs = read_logs(spark, log_root, since)
+    logs = read_logs(spark, log_root, since, pattern)
     return {
         "tasks": task_metrics(logs),
         "log_lines": log_summary(logs),

@@ -1,9 +1,13 @@
-"""The merged table to the star schema."""
+"""The merged table to the star schema, as a whole or load by load."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..operators import increments
+from ..operators.codes import new_codes
 from ..operators.filters import telemetry_projection
 from ..operators.merge import sample_fraction
 from ..operators.star import (
@@ -12,7 +16,8 @@ from ..operators.star import (
     dim_route_analytics,
     fact_flight_history,
 )
-from ..sinks import counted
+from ..sinks import counted, replace_batch, write_partitioned
+from ..sources.files import read_optional
 from ..sources.jdbc import write_jdbc
 
 STAR_TABLES = (
@@ -60,3 +65,113 @@ def star_job(
 def jdbc_publisher(options: dict[str, str], mode: str = "overwrite") -> Callable[[DataFrame, str], int]:
     """A ``publish`` function that writes each table over JDBC."""
     return lambda df, name: write_jdbc(df, name, options, mode)
+
+
+#: star table -> the partial tables it is merged from
+_PARTIALS = {
+    "fact_flight_history": ("flights", "details", "tracks"),
+    "dim_route_analytics": ("flights", "details", "tracks"),
+    "dim_aircraft_utilization": ("aircraft", "tracks"),
+    "dim_airspace_heatmap": ("cells",),
+    "raw_telemetry": (),
+}
+
+
+def _grown(spark: SparkSession, path: str, values: DataFrame) -> DataFrame:
+    """The dictionary at ``path`` with codes for all ``values``. Codes once given stay."""
+    known = read_optional(spark, path, "value string, code long")
+    new_codes(values, known).write.mode("append").parquet(path)
+    return spark.read.schema("value string, code long").parquet(path)
+
+
+def _months(parts: DataFrame) -> set[str]:
+    return {r.month for r in parts.select("month").distinct().collect()}
+
+
+def star_load(
+    spark: SparkSession,
+    gold: DataFrame,
+    star_path: str,
+    batch: str,
+    tables: Sequence[str] = STAR_TABLES,
+) -> dict[str, int]:
+    """Takes the reports of one load into the star tables; earlier loads are not read again.
+
+    The load's partial rows are stored under its id, and the months that they touch are merged
+    anew from the partial rows of all loads. A load that is repeated under its id replaces its
+    own rows and nothing else; reports may come in any order and any late. ``read_star`` reads
+    the tables. Returns the months that were merged, and the reports of the load if they are
+    stored; one load runs at a time. Months, of which there are few, are the only values that
+    pass the driver.
+    """
+    root = f"{star_path}/_partials"
+    frames = {
+        "flights": increments.flight_partials(gold),
+        "details": increments.detail_partials(gold),
+        "tracks": increments.track_partials(gold),
+        "aircraft": increments.aircraft_partials(gold),
+    }
+    if "dim_airspace_heatmap" in tables:
+        aircraft = _grown(spark, f"{star_path}/_codes/icao24", gold.select(F.col("icao24").alias("value")))
+        frames["cells"] = increments.cell_partials(gold, aircraft)
+    wanted = sorted({p for t in tables for p in _PARTIALS[t]})
+    layouts = {name: frames[name].schema.add("batch", "string") for name in wanted}
+    mine = F.col("batch") == batch
+    touched: set[str] = set()
+    for name in wanted:
+        path = f"{root}/{name}"
+        before = read_optional(spark, path, layouts[name])
+        if before is not None:
+            touched |= _months(before.filter(mine))
+        replace_batch(frames[name], path, batch, ("month",))
+        touched |= _months(spark.read.schema(layouts[name]).parquet(path).filter(mine))
+    figures = {"months": len(touched)}
+    if "raw_telemetry" in tables:
+        load, written = counted(telemetry_projection(gold))
+        replace_batch(load, f"{star_path}/raw_telemetry", batch)
+        figures["records"] = written.get["rows"]
+    if touched:
+        _refresh(spark, star_path, layouts, sorted(touched), tables)
+    return figures
+
+
+def _refresh(
+    spark: SparkSession, star_path: str, layouts: dict[str, StructType], months: Sequence[str], tables: Sequence[str]
+) -> None:
+    """Merges the partial rows of ``months`` anew."""
+    root = f"{star_path}/_partials"
+
+    def parts(name: str) -> DataFrame:
+        stored = spark.read.schema(layouts[name]).parquet(f"{root}/{name}")
+        return stored.filter(F.col("month").isin(*months)).drop("batch")
+
+    # a month whose last reports a repeated load took away has no partial rows
+    gone = set(months).difference(*[_months(parts(name)) for name in layouts])
+
+    def store(df: DataFrame, path: str) -> DataFrame:
+        write_partitioned(df, path, "overwrite_partitions", ("month",), cluster=True)
+        for month in gone:
+            df.filter("false").drop("month").write.mode("overwrite").parquet(f"{path}/month={month}")
+        return spark.read.schema(df.schema).parquet(path)
+
+    if "flights" in layouts:
+        fact = store(
+            increments.merged_flights(parts("flights"), parts("details"), parts("tracks")),
+            f"{star_path}/fact_flight_history",
+        ).filter(F.col("month").isin(*months))
+    if "dim_route_analytics" in tables:
+        signs = _grown(spark, f"{star_path}/_codes/callsign", fact.select(F.col("callsign_clean").alias("value")))
+        routes = store(increments.route_partials(fact, signs), f"{root}/routes")
+        increments.merged_routes(routes).write.mode("overwrite").parquet(f"{star_path}/dim_route_analytics")
+    if "aircraft" in layouts:
+        merged = increments.merged_aircraft(parts("aircraft"), parts("tracks"))
+        store(merged, f"{star_path}/dim_aircraft_utilization")
+    if "cells" in layouts:
+        cells = store(increments.merged_cells(parts("cells")), f"{root}/cell_months")
+        increments.heatmap(cells).write.mode("overwrite").parquet(f"{star_path}/dim_airspace_heatmap")
+
+
+def read_star(spark: SparkSession, star_path: str, table: str) -> DataFrame:
+    """A table kept by ``star_load``, with the columns that ``star_job`` gives it."""
+    stored = spark.read.parquet(f"{star_path}/{table}")
+    return stored.drop("batch" if table == "raw_telemetry" else "month")

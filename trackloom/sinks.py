@@ -1,7 +1,14 @@
 """Writers for tables, extracts, ledgers and streams."""
 
-from collections.abc import Sequence
-
+import gzip
+import io
+import tarfile
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+import pyarrow.csv as pa_csv
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +48,28 @@ def write_partitioned(
     writer.mode(mode).parquet(path)
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders with all they hold; one that is not there is no error."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, in any store that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data))
+    out.close()
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern such as ``…/batch=*``, sorted. Nothing is opened."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def with_hour_partitions(df: DataFrame, epoch: str | Column = "time") -> DataFrame:
     """Zero-padded ``year, month, day, hour`` folders from event time."""
     date = utc_date(epoch)
@@ -71,6 +100,41 @@ def replace_batch(df: DataFrame, path: str, batch: str, by: Sequence[str] = (),
     (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{column}={name}")
 
 
+def _archive(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """One task's rows as a gzipped CSV in an archive that appears under its name when it is whole."""
+    content, rows = io.BytesIO(), 0
+    with gzip.GzipFile(fileobj=content, mode="wb", mtime=0) as packed:
+        for batch in batches:
+            if not rows:
+                packed.write((",".join(batch.schema.names) + "\n").encode())
+            rows += batch.num_rows
+            pa_csv.write_csv(batch, packed, pa_csv.WriteOptions(include_header=False, quoting_style="needed"))
+    if not rows:
+        return
+    store, folder = FileSystem.from_uri(path)
+    store.create_dir(folder, recursive=True)
+    task = TaskContext.get()
+    name = f"part-{task.partitionId():05d}"
+    hidden = f"{folder}/_{name}-{task.taskAttemptId()}"
+    with store.open_output_stream(hidden) as out, tarfile.open(fileobj=out, mode="w|") as tar:
+        member = tarfile.TarInfo(f"{name}.csv.gz")
+        member.size = content.tell()
+        content.seek(0)
+        tar.addfile(member, content)
+    store.move(hidden, f"{folder}/{name}.tar")
+    yield pa.RecordBatch.from_pylist([{"archive": f"{name}.tar", "rows": rows}])
+
+
+def write_tar_csv(df: DataFrame, path: str) -> int:
+    """Tar archives of one gzipped CSV each, one per partition of ``df``; returns their number.
+
+    They are packed by the tasks, in any store that pyarrow knows. A task that is repeated
+    replaces its archive by the same one. A partition's compressed rows are held in memory.
+    """
+    made = df.mapInArrow(lambda batches: _archive(batches, path), "archive string, rows long")
+    return made.agg(F.count(F.lit(1))).first()[0]
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[Column | str], single_file: bool = False) -> None:
     """An ordered CSV extract with header, in parts whose names sort in row order.
 

@@ -1,9 +1,12 @@
 """CSV, tar and parquet readers, and listings of what lies below a folder."""
 
+import csv
 import gzip
 import io
+import itertools
 import tarfile
 import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -90,7 +93,28 @@ def read_csv_tree(spark: SparkSession, root: str, schema: str | None = schemas.H
     return strip_column_names(reader.csv(root))
 
 
-def _tar_lines(batches):
+def _csv_line(values: list[str]) -> str:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(values)
+    return out.getvalue()
+
+
+def _in_order(text: Iterable[str], names: list[str]) -> Iterator[str]:
+    """Lines behind the header with their columns in the order of ``names``, found by name."""
+    header = next(csv.reader([next(iter(text), "")]), [])
+    header = [c.strip() for c in header]
+    if header == names or not header:
+        yield from (line.rstrip("\r\n") for line in text)
+        return
+    if missing := [n for n in names if n not in header]:
+        raise tarfile.ReadError(f"columns are missing: {', '.join(missing)}")
+    places = [header.index(n) for n in names]
+    for row in csv.reader(text):
+        if row:
+            yield _csv_line([row[k] if k < len(row) else "" for k in places])
+
+
+def _tar_lines(batches, names):
     """Lines of the first gzipped CSV of each archive; a broken archive gives its error."""
     schema = pa.schema([("tar_path", pa.string()), ("line", pa.string()), ("error", pa.string())])
 
@@ -111,21 +135,24 @@ def _tar_lines(batches):
                     if member.offset_data + member.size > len(content):
                         raise tarfile.ReadError("archive is cut short")
                     # read to the end once: damage must show before the first line is given
-                    with gzip.open(tar.extractfile(member), "rt", encoding="utf-8") as text:
+                    with gzip.open(tar.extractfile(member), "rt", encoding="utf-8", newline="") as text:
                         while text.read(4 << 20):
                             pass
-                    with gzip.open(tar.extractfile(member), "rt", encoding="utf-8") as text:
-                        next(text, None)  # header
-                        while chunk := text.readlines(4 << 20):
-                            yield rows(path, (line.rstrip("\r\n") for line in chunk))
+                    with gzip.open(tar.extractfile(member), "rt", encoding="utf-8", newline="") as text:
+                        lines = _in_order(text, names)
+                        while chunk := list(itertools.islice(lines, 50_000)):
+                            yield rows(path, chunk)
             except (tarfile.TarError, OSError, EOFError, UnicodeDecodeError, zlib.error) as problem:
                 yield rows(path, error=f"{type(problem).__name__}: {problem}")
 
 
-def read_tar_lines(spark: SparkSession, root: str, **options: str) -> DataFrame:
+def read_tar_lines(
+    spark: SparkSession, root: str | list[str], schema: str = schemas.STATES, **options: str
+) -> DataFrame:
     """``tar_path, line, error`` of every ``*.tar`` below ``root``.
 
-    Archives are opened in memory on the executors and handed on in chunks of a few
+    A line has the columns of ``schema`` in its order, whatever the order in the member's header;
+    a header without one of them is an error of its archive. Archives are opened in memory on the executors and handed on in chunks of a few
     MB; nothing is extracted to disk. One archive must fit into a task. A damaged archive
     gives its error and no line. ``options`` such as ``modifiedAfter`` bound the files.
     """
@@ -136,8 +163,9 @@ def read_tar_lines(spark: SparkSession, root: str, **options: str) -> DataFrame:
         .options(**options)
         .load(root)
     )
+    names = schemas.names(schema)
     return tars.select("path", "content").mapInArrow(
-        _tar_lines, "tar_path string, line string, error string"
+        lambda batches: _tar_lines(batches, names), "tar_path string, line string, error string"
     )
 
 
@@ -156,7 +184,7 @@ def read_tar_csv(
     spark: SparkSession, root: str, schema: str = schemas.STATES, **options: str
 ) -> DataFrame:
     """Position reports from tar archives that hold one gzipped CSV each."""
-    return tar_states(read_tar_lines(spark, root, **options), schema)
+    return tar_states(read_tar_lines(spark, root, schema, **options), schema)
 
 
 def read_layer(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
