@@ -156,7 +156,7 @@ CTES = {
     "log_tasks": f"""
         select dag, run, task, min(time) as a, max(time) as b,
                {_crc("dag || '/' || run || '/' || task")} % 3 = 0 as failed
-        from log_reports, crc_table group by dag, run, task, crcs""",
+        from log_reports join crc_table on true group by dag, run, task, crcs""",
     "log_marks": f"""
         select dag, run, task, 'Marking task as ' || case when failed then 'FAILED' else 'SUCCESS' end
                || '. dag_id=' || dag || ', task_id=' || task || ', start_date=' || {_STAMP.format(t='a')}

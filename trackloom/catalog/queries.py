@@ -915,7 +915,7 @@ def stream_hourly_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "snapshots")
     _finish(
         start_hourly_snapshots(
-            _as_stream(spark, views.telemetry(spark, sf_dir).repartition(3, F.xxhash64("event_id")), "reports", 1),
+            _as_stream(spark, views.telemetry(spark, sf_dir).repartition(2, F.xxhash64("event_id")), "reports", 1),
             out,
             scratch_path(spark, "checkpoint"),
             available_now=True,
@@ -934,7 +934,7 @@ def live_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = payloads.to_json_value(views.live(spark, sf_dir).drop("event_id", "sensors"))
     p = {n: scratch_path(spark, n) for n in ("checkpoint", "enriched", "state", "hours")}
     started = live_job(
-        _as_stream(spark, messages.repartition(4), "messages", 2), dims.route_rules(spark), p["checkpoint"],
+        _as_stream(spark, messages.repartition(4), "messages", 4), dims.route_rules(spark), p["checkpoint"],
         "parquet", {"path": p["enriched"]}, state_path=p["state"], snapshot_path=p["hours"], available_now=True,
     )
     for stream_query in started.values():

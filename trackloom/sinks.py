@@ -2,19 +2,23 @@
 
 import gzip
 import io
+import sys
 import tarfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.csv as pa_csv
 from pyarrow.fs import FileSystem
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import utc_date, utc_hour
 from .schemas import LEDGER
 
+# functions for tasks are shipped by value, so executors do not need this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
     """Counts rows (and ``measures``) while the frame is written, without a job of its own."""

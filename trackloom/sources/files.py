@@ -4,11 +4,13 @@ import csv
 import gzip
 import io
 import itertools
+import sys
 import tarfile
 import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 
+# functions for tasks are shipped by value, so executors do not need this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_states(
     spark: SparkSession, paths: str | list[str], schema: str = schemas.STATES, **options: str
