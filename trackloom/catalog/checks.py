@@ -821,8 +821,9 @@ CHECKS = {
             from (select dag, run, task, event_id as place, line from log_reports where important
                   union all select dag, run, task, 1000000000000000, line from log_marks)) where from_end <= 5""",
     "storage_figures": """
-        select 'by_day' as layer, count(distinct day) as files, true as has_bytes, count(distinct day) as folders from bronze
-        union all select 'in_parts', 4, true, null""",
+        select 'by_day' as layer, count(distinct day) as files, true as has_bytes from bronze
+        union all select 'in_parts', 4, true
+        union all select 'folders of by_day', count(distinct day), true from bronze""",
     "job_figures": f"""
         select 'mapping' as job, 'total_records' as figure, cast(count(*) as double) as value from routes_hist
         union all select 'mapping', 'unique_callsigns', count(*) from mapping

@@ -147,14 +147,15 @@ def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def storage_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of two stored layers: one file per day, and four."""
+    """Files of two stored layers, one file per day and four; and folders of the first."""
     days, parts = scratch_path(spark, "days"), scratch_path(spark, "parts")
     dated = fn.with_date_parts(views.telemetry(spark, sf_dir), parts=("day",))
     write_partitioned(dated.repartition(4, "day"), days, by=("day",))
     dated.repartition(4).write.parquet(parts)
     found = ops_job(spark, days, {"by_day": days, "in_parts": parts}, pattern="*.none")["storage"]
-    folders = folder_metrics(spark, days).agg(F.count(F.lit(1)).alias("folders"), F.lit("by_day").alias("layer"))
-    return found.join(folders, "layer", "left").select("layer", "files", (F.col("bytes") > 0).alias("has_bytes"), "folders")
+    found = found.select("layer", "files", (F.col("bytes") > 0).alias("has_bytes"))
+    folders = folder_metrics(spark, days).agg(F.count(F.lit(1)).alias("files"))
+    return found.unionByName(folders.select(F.lit("folders of by_day").alias("layer"), "files", F.lit(True).alias("has_bytes")))
 
 
 @query
@@ -172,7 +173,7 @@ def job_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
         "gold": gold_job(spark, p["silver"], scratch_path(spark, "none"), p["gold"]),
     }
     rows = [(job, name, float(n)) for job, found in figures.items() for name, n in found.items()]
-    return spark.createDataFrame(rows, "job string, figure string, value double")
+    return dims.literal_rows(spark, rows, "job string, figure string, value double")
 
 
 @query
