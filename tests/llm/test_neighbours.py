@@ -60,6 +60,31 @@ def test_one_bucket_is_split(spark):
         assert own.sort_values("rank").vec_id.tolist() == want and own.sort_values("rank").score.tolist() == score
 
 
+@pytest.mark.parametrize("blocks", [{}, {"group_rows": 5, "query_rows": 2}])
+def test_all_candidates_if_there_are_few(spark, blocks):
+    x = np.random.default_rng(3).standard_normal((12, 64))
+    ids = np.arange(12) * 10
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, df.vec_id % 20 == 0, **blocks).toPandas()
+    for q in np.flatnonzero(ids % 20 == 0):
+        want, score = brute(ids, x, q, 20)
+        own = out[out.query_id == ids[q]].sort_values("rank")
+        assert own.vec_id.tolist() == want and np.allclose(own.score, score, rtol=1e-12)
+        assert own["rank"].tolist() == list(range(1, 12))
+
+
+@pytest.mark.parametrize("length", [1e-200, 1e200, 5e-324])
+def test_norms_whose_squares_are_no_doubles(spark, length):
+    rows = [(0, [1.0, 0.0]), (1, [length, 0.0]), (2, [-length, 0.0]), (3, [0.0, length]), (20, [length, length])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, df.vec_id % 20 == 0).orderBy("query_id", "rank").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    with np.errstate(over="ignore"):
+        for q in (0, 4):
+            want, score = brute(ids, x, q, 20)
+            assert [(r.vec_id, r.score) for r in out if r.query_id == ids[q]] == list(zip(want, score))
+
+
 @pytest.mark.parametrize("norms", ["one long", "spread"])
 def test_recall_with_unequal_norms(spark, sf_dir, norms):
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas().sort_values("vec_id")

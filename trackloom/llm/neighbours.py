@@ -12,8 +12,13 @@ to the borders that a perturbation crosses. Candidates of all tables are ranked
 inner product.
 
 Buckets are dealt into groups by a hash; a group holds about ``GROUP_ROWS`` entries, and a bucket
-with more than that is split. A task has the entries of one group and the probes that go there,
-and returns at most ``k`` candidates for each query, so nothing grows with a bucket.
+with more than that is split. The queries of a group are split as well, into blocks of about
+``QUERY_ROWS`` by the share of queries that its entries let expect. A task has a part of the entries of
+one group and a block of the probes that go there, and returns at most ``k`` candidates for each query, so
+nothing grows with a bucket. Queries that found fewer than ``k`` are compared with all vectors, in blocks.
+
+Lengths are kept as logarithms, so norms beyond what a double holds, or whose squares are, hash like any
+others. A score is the plain inner product in double precision all the same and can be 0 or infinite there.
 
 Vectors that are null, empty or zero, have a null or non-finite component, or another length than
 the commonest (ties: the longer), take no part; nor do rows without an id. Rows that agree in id
@@ -32,6 +37,7 @@ from .common import stored
 
 TABLES, HASHES, WIDTH, PROBES = 16, 12, 2.5, 220
 GROUP_ROWS = 262_144
+QUERY_ROWS = 8_192
 BAND = 1.1
 _SEED = 4_099
 
@@ -42,6 +48,20 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0)
 
 
+def log_norm(vector: Column) -> Column:
+    """Logarithm of the Euclidean norm; squares are taken of components divided by the largest."""
+    top = F.array_max(F.transform(vector, F.abs))
+    return F.log(top) + F.log(F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))) / 2
+
+
+def unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows divided by their norms, and the logarithms of the norms."""
+    top = np.abs(x).max(axis=1, keepdims=True)
+    x = x / top
+    norm = np.sqrt((x**2).sum(axis=1, keepdims=True))
+    return x / norm, (np.log(top) + np.log(norm))[:, 0]
+
+
 class Tables:
     """The hash functions; the same in every task."""
 
@@ -113,11 +133,13 @@ def nearest(
     width: float = WIDTH,
     probes: int = PROBES,
     group_rows: int = GROUP_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its best candidates, the nearest first.
 
     ``score`` is the inner product of the original vectors in double precision; ties go to the
-    smaller id. Queries without a candidate give no row.
+    smaller id. With fewer than ``k`` candidates in the table a query gets all of them; without one
+    it gives no row.
     """
     spark = vectors.sparkSession
     rows = vectors.select(
@@ -125,20 +147,21 @@ def nearest(
         F.col(embedding).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("q"),
     ).where(usable(F.col("v")) & F.col("id").isNotNull())
-    normed = rows.select(
-        F.size("v").alias("dim"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")
-    )
-    bands = normed.groupBy("dim", F.floor(F.log("norm") / np.log(BAND).item() + 0.5).alias("band")).agg(
-        F.count("*").alias("n"), F.max("norm").alias("norm")
+    normed = rows.select(F.size("v").alias("dim"), "q", log_norm(F.col("v")).alias("norm"))
+    bands = normed.groupBy("dim", F.floor(F.col("norm") / np.log(BAND).item() + 0.5).alias("band")).agg(
+        F.count("*").alias("n"), F.count_if("q").alias("queries"), F.max("norm").alias("norm")
     )
     dims = bands.groupBy("dim").agg(
-        F.sum("n").alias("n"), F.max("n").alias("most"), F.max("norm").alias("norm"), F.array_sort(F.collect_list("norm")).alias("norms")
+        F.sum("n").alias("n"),
+        F.sum("queries").alias("queries"),
+        F.max("n").alias("most"),
+        F.array_sort(F.collect_list("norm")).alias("norms"),
     )
     shape = dims.orderBy(F.desc("n"), F.desc("dim")).first()
     result = "query_id long, rank int, vec_id long, score double"
     if shape is None:
         return spark.createDataFrame([], result)
-    dim, norm, scales = shape.dim, shape.norm, np.array([x for x in shape.norms if x > 0] or [1.0])
+    dim, scales = shape.dim, np.array(shape.norms)
     probes = round(probes * (2 - shape.most / shape.n))
     groups = max(1, -(-shape.n * tables // group_rows))
     rows = rows.where(F.size("v") == dim).groupBy("id", "v").agg(F.max("q").alias("q"))
@@ -169,8 +192,9 @@ def nearest(
             if not len(batch):
                 continue
             x = np.vstack(batch["v"].to_numpy())
-            own = np.searchsorted(scales, np.sqrt((x**2).sum(axis=1)) * (1 - 1e-9))
-            x /= scales[np.minimum(own, len(scales) - 1)][:, None]
+            x, length = unit(x)
+            own = np.minimum(np.searchsorted(scales, length - 1e-9), len(scales) - 1)
+            x *= np.exp(length - scales[own])[:, None]
             rest = np.sqrt(np.maximum(0.0, 1 - (x**2).sum(axis=1, keepdims=True)))
             codes, _ = lsh.place(np.hstack([x, rest]))
             yield by_group(batch["id"], batch["v"], codes)
@@ -180,9 +204,8 @@ def nearest(
         for batch in batches:
             if not len(batch):
                 continue
-            x = np.vstack(batch["v"].to_numpy())
-            unit = x / np.sqrt((x**2).sum(axis=1, keepdims=True))
-            codes, inside = lsh.place(np.hstack([unit, np.zeros((len(x), 1))]))
+            x, _ = unit(np.vstack(batch["v"].to_numpy()))
+            codes, inside = lsh.place(np.hstack([x, np.zeros((len(x), 1))]))
             for at in range(0, len(x), 256):
                 part = slice(at, at + 256)
                 visits = lsh.visits(codes[part], inside[part], sets).reshape(len(x[part]), -1)
@@ -190,19 +213,43 @@ def nearest(
 
     schema = "id long, v array<double>, buckets array<long>, group long"
     index = stored(rows.mapInPandas(hashed, schema), "index")
-    sizes = index.groupBy("group").agg(F.ceil(F.sum(F.size("buckets")) / (2 * group_rows)).cast("int").alias("parts"))
-    asked = rows.where("q").mapInPandas(probing, schema).join(sizes, "group")
-    asked = asked.select("id", "v", "buckets", "group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    index = index.join(sizes, "group").select(
-        "id", "v", "buckets", "group", F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("parts")).cast("int").alias("part")
+    # a query visits a group by chance, or because its entries lie where queries do
+    share = F.greatest(F.lit(tables * probes / groups), F.col("entries") * (1.0 / shape.n))
+    blocks = F.ceil(F.least(F.lit(1.0), share) * (shape.queries / query_rows))
+    sizes = index.groupBy("group").agg(F.sum(F.size("buckets")).alias("entries"))
+    sizes = sizes.select(
+        "group",
+        F.ceil(F.col("entries") / (2 * group_rows)).cast("int").alias("parts"),
+        F.greatest(F.lit(1), blocks.cast("int")).alias("blocks"),
     )
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("parts")).cast("int")
+    block = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("blocks")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = rows.where("q").mapInPandas(probing, schema).join(sizes, "group")
+    asked = asked.select("id", "v", "buckets", "group", block.alias("block"), every("parts").alias("part"))
+    index = index.join(sizes, "group").select("id", "v", "buckets", "group", part.alias("part"), every("blocks").alias("block"))
+
+    def closest(ids: np.ndarray, x: np.ndarray, near: np.ndarray, q: int, v: np.ndarray, found: np.ndarray) -> pd.DataFrame:
+        """The best ``k`` of the rows ``found``; ``near`` are all in single precision, over their largest norm."""
+        if len(found) > k:
+            # single precision leaves out what cannot be among the best; the rest is exact
+            rough = near[found] @ unit(v[None])[0][0].astype(np.float32)
+            found = found[rough >= np.partition(rough, -k)[-k] - 1e-4]
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = x[found] @ v
+        best = np.lexsort((ids[found], -score))[:k]
+        return pd.DataFrame({"query_id": q, "vec_id": ids[found[best]], "score": score[best]})
+
+    def over_largest(x: np.ndarray) -> np.ndarray:
+        direction, length = unit(x)
+        return (direction * np.exp(length - length.max())[:, None]).astype(np.float32)
 
     def rank(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         if not len(entries) or not len(queries):
             return empty
         x, ids = np.vstack(entries["v"].to_numpy()), entries["id"].to_numpy()
-        near = x.astype(np.float32)
+        near = over_largest(x)
         per = entries["buckets"].map(len).to_numpy()
         bucket, owner = np.concatenate(entries["buckets"].to_numpy()), np.repeat(np.arange(len(x)), per)
         order = np.argsort(bucket, kind="stable")
@@ -217,21 +264,41 @@ def nearest(
             marked = ids != q
             seen = np.zeros(len(x), dtype=bool)
             seen[owner[at]] = True
-            found = np.flatnonzero(seen & marked)
-            if len(found) > k:
-                # single precision leaves out what cannot be among the best; the rest is exact
-                rough = near[found] @ v.astype(np.float32)
-                found = found[rough >= np.partition(rough, -k)[-k] - 1e-4 * norm * np.sqrt(v @ v)]
-            score = x[found] @ v
-            best = np.lexsort((ids[found], -score))[:k]
-            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[found[best]], "score": score[best]}))
+            out.append(closest(ids, x, near, q, v, np.flatnonzero(seen & marked)))
         return pd.concat(out) if out else empty
 
-    found = index.groupBy("group", "part").cogroup(asked.groupBy("group", "part")).applyInPandas(
-        rank, "query_id long, vec_id long, score double"
-    )
+    def scan(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(entries) or not len(queries):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        x, ids = np.vstack(entries["v"].to_numpy()), entries["id"].to_numpy()
+        near = over_largest(x)
+        return pd.concat(
+            closest(ids, x, near, q, v, np.flatnonzero(ids != q)) for q, v in zip(queries["id"], queries["v"])
+        )
+
+    pairs = "query_id long, vec_id long, score double"
+    keys = ["group", "part", "block"]
+    found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rank, pairs)
+    found = stored(_best(found, k), "found")
+
+    # the rest, exactly: all vectors in blocks against blocks of the queries that found too few
+    reached = found.groupBy("query_id").count().where(F.col("count") >= k)
+    starved = stored(rows.where("q").join(reached, F.col("id") == F.col("query_id"), "left_anti").select("id", "v"), "starved")
+    short = starved.count()
+    if not short:
+        return found
+    spread = lambda of, n: F.pmod(F.xxhash64(F.lit(of), "id"), F.lit(n)).cast("int")
+    across = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    parts, blocks = -(-shape.n // group_rows), -(-short // query_rows)
+    entries = rows.select("id", "v", spread("part", parts).alias("part"), across(blocks).alias("block"))
+    starved = starved.select("id", "v", spread("block", blocks).alias("block"), across(parts).alias("part"))
+    exact = entries.groupBy("part", "block").cogroup(starved.groupBy("part", "block")).applyInPandas(scan, pairs)
+    rest = found.join(reached, "query_id", "left_semi")
+    return rest.unionByName(_best(exact, k))
+
 
-    # at most k rows of a query from each part that it visits
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """Ranks 1 to ``k`` of each query; at most ``k`` rows of a query come from each task that it visits."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.distinct()
