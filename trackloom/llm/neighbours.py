@@ -49,9 +49,11 @@ def usable(vector: Column) -> Column:
 
 
 def log_norm(vector: Column) -> Column:
-    """Logarithm of the Euclidean norm; squares are taken of components divided by the largest."""
+    """Logarithm of the Euclidean norm; where squares would leave the doubles, of the scaled vector."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x)
     top = F.array_max(F.transform(vector, F.abs))
-    return F.log(top) + F.log(F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))) / 2
+    scaled = F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    return F.when(squares.between(1e-200, 1e200), F.log(squares) / 2).otherwise(F.log(top) + F.log(scaled) / 2)
 
 
 def unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
