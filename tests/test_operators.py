@@ -4,6 +4,8 @@ import heapq
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,39 @@ def test_rule_that_comes_later_in_storage_but_first_in_rank_wins(spark):
     assert lookup.enrich_by_rules(df, table).first().origin_code == "C"
 
 
+def test_many_overlapping_rules_of_one_prefix(spark):
+    draw = np.random.default_rng(5)
+    n = 50_000
+    low = draw.integers(-1000, 900_000, n)
+    high = low + draw.integers(-5, 20_000, n)
+    rank = draw.permutation(n)
+    frame = pd.DataFrame({"rule_rank": rank, "airline_prefix": "VTI", "min_flight_num": low, "max_flight_num": high})
+    table = spark.createDataFrame(frame.assign(origin_code=frame.rule_rank.astype(str), destination_code="X"))
+    asked = np.unique(np.concatenate([draw.integers(-2000, 930_000, 1500), low[:200], high[:200], high[:200] + 1]))
+    df = spark.createDataFrame(pd.DataFrame({"airline_prefix": "VTI", "flight_number": asked}))
+    got = {r.flight_number: r.rule_rank for r in lookup.enrich_by_rules(df, table).collect()}
+    for x in asked:
+        holds = rank[(low <= x) & (x <= high)]
+        assert got[x] == (holds.min() if len(holds) else None)
+
+
+def test_rules_at_the_ends_of_numbers_and_without_rank(spark):
+    top = 2**31 - 1
+    table = rules(spark, [
+        (0, "A", 0, 0, "a", "z"), (1, "A", 0, top, "b", "z"), (2, "A", -top, top, "c", "z"), (3, "A", 9, 3, "d", "z"),
+        (4, "B", None, 5, "e", "z"), (5, None, 1, 5, "f", "z"), (6, "C", 5, 5, "h", "z"), (7, "C", 5, 5, "g", "z"),
+    ])
+    rows = [("A", 0), ("A", 1), ("A", -1), ("A", top), ("A", -top), ("A", None), ("B", 1), (None, 2), ("C", 5), ("C", 4), ("D", 1)]
+    df = spark.createDataFrame(rows, "airline_prefix string, flight_number int")
+    got = {(r[0], r[1]): r.origin_code for r in lookup.enrich_by_rules(df, table).collect()}
+    assert got == {
+        ("A", 0): "a", ("A", 1): "b", ("A", -1): "c", ("A", top): "b", ("A", -top): "c", ("A", None): None,
+        ("B", 1): None, (None, 2): None, ("C", 5): "h", ("C", 4): None, ("D", 1): None,
+    }
+    by_values = lookup.enrich_by_rules(df.filter("airline_prefix = 'C'"), table.drop("rule_rank"))
+    assert {(r[1], r.origin_code) for r in by_values.collect()} == {(5, "g"), (4, None)}
+
+
 def test_schedule_rules(spark):
     rows = [
         ("6E102", "DEL", "BOM"), ("6E102", "BOM", "DEL"), ("AI7", "DEL", "DEL"),

@@ -196,10 +196,62 @@ def enrich_exact(df: DataFrame, routes: DataFrame, callsign: str = "callsign") -
     return df.join(side, key == side["_callsign"], "left").drop("_callsign")
 
 
+def _rule(rules: DataFrame, prefix: str) -> Column:
+    """A rule as one value; the smaller one has precedence."""
+    rank = [c for c in ("rule_rank",) if c in rules.columns]
+    return F.struct(*rank, *[c for c in rules.columns if c not in (prefix, *rank)])
+
+
 def rules_by_prefix(rules: DataFrame, prefix: str = "airline_prefix") -> DataFrame:
     """One row per prefix: its rules as an array in order of precedence."""
-    fields = ["rule_rank"] + [c for c in rules.columns if c not in (prefix, "rule_rank")]
-    return rules.groupBy(prefix).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_rules"))
+    return rules.groupBy(prefix).agg(F.array_sort(F.collect_list(_rule(rules, prefix))).alias("_rules"))
+
+
+def disjoint_rules(rules: DataFrame, prefix: str = "airline_prefix") -> DataFrame:
+    """(prefix, start, rule): ranges that do not overlap, each up to the next start, with their first rule.
+
+    A range is cut into aligned blocks of 2^level numbers, at most two a level, and each block keeps
+    its first rule. The winner changes only where a range starts or ends, and there it is the
+    first rule of the blocks around that number, one a level. So the work is rules times levels,
+    however many overlap, and one prefix may hold all of them. ``rule`` is null in gaps.
+    """
+    shifted = lambda x, level: F.call_function("shiftright", x, level)
+    lo, end, level = F.col("_lo"), F.col("_end"), F.col("_level")
+    ranges = rules.select(
+        prefix,
+        F.col("min_flight_num").cast("long").alias("_lo"),
+        (F.col("max_flight_num").cast("long") + 1).alias("_end"),
+        _rule(rules, prefix).alias("_rule"),
+    ).filter(F.col(prefix).isNotNull() & (lo < end))
+    highest = F.ceil(F.log2(end - lo)).cast("int")
+    first, behind = -shifted(-lo, level), shifted(end, level)
+    edges = F.array(F.when(first % 2 != 0, first), F.when(behind % 2 != 0, behind - 1))
+    blocks = (
+        ranges.withColumn("_level", F.explode(F.sequence(F.lit(0), highest)))
+        .filter(first < behind)
+        .select(prefix, "_level", "_rule", F.explode(F.array_compact(edges)).alias("_block"))
+        .groupBy(prefix, "_level", "_block")
+        .agg(F.min("_rule").alias("_rule"))
+    )
+    starts = ranges.select(prefix, F.explode(F.array(lo, end)).alias("start")).distinct()
+    around = starts.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(62))))
+    around = around.withColumn("_block", shifted(F.col("start"), level))
+    return (
+        around.join(blocks, [prefix, "_level", "_block"], "left")
+        .groupBy(prefix, "start")
+        .agg(F.min("_rule").alias("rule"))
+    )
+
+
+def count_up_to(sorted_values: Column, x: Column) -> Column:
+    """How many values of a sorted array are at most ``x``, by halving steps; null for a null ``x``."""
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda s: s <= F.size(sorted_values))
+    return F.aggregate(
+        F.when(x.isNotNull() & sorted_values.isNotNull(), steps),
+        F.lit(0),
+        lambda at, s: at
+        + F.when((at + s <= F.size(sorted_values)) & (F.get(sorted_values, at + s - 1) <= x), s).otherwise(0),
+    )
 
 
 def enrich_by_rules(
@@ -212,10 +264,10 @@ def enrich_by_rules(
 ) -> DataFrame:
     """Routes from number-range rules: prefix equal, flight number inside the range.
 
-    The rules of one prefix sit in one array, so this is an equi join without
-    fan-out; the range is tested inside the array and no row is shuffled by it.
-    ``policy="first"`` takes the first rule in rank order, ``"all"`` one output row
-    per matching rule.
+    What a prefix needs sits in one array, so this is an equi join without fan-out and no row
+    is shuffled by a range. ``policy="first"`` takes the first rule in rank order, found by
+    binary search in disjoint ranges; ``"all"`` gives one output row per matching rule, and every
+    rule of the prefix is tested. Without a ``rule_rank`` rules rank by their values.
     """
     if policy not in ("first", "all"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -224,10 +276,17 @@ def enrich_by_rules(
         for c in rules.columns
         if c not in (prefix, "min_flight_num", "max_flight_num") and c not in df.columns
     ]
-    joined = df.join(rules_by_prefix(rules, prefix), prefix, "left")
     n = F.col(number)
-    hits = F.filter("_rules", lambda r: n.between(r["min_flight_num"], r["max_flight_num"]))
-    hit = F.get(hits, F.lit(0)) if policy == "first" else F.explode_outer(hits)
+    if policy == "first":
+        side = disjoint_rules(rules, prefix).groupBy(prefix).agg(
+            F.array_sort(F.collect_list(F.struct("start", "rule"))).alias("_ranges")
+        )
+        side = side.select(prefix, F.col("_ranges.start").alias("_starts"), F.col("_ranges.rule").alias("_rules"))
+        hit = F.get("_rules", count_up_to(F.col("_starts"), n) - 1)
+    else:
+        side = rules_by_prefix(rules, prefix)
+        hit = F.explode_outer(F.filter("_rules", lambda r: n.between(r["min_flight_num"], r["max_flight_num"])))
+    joined = df.join(side, prefix, "left")
     out = joined.select(*df.columns, hit.alias("_rule")).select(
         *df.columns, *[F.col(f"_rule.{a}").alias(a) for a in attributes]
     )
