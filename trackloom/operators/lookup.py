@@ -243,6 +243,13 @@ def disjoint_rules(rules: DataFrame, prefix: str = "airline_prefix") -> DataFram
     )
 
 
+def rule_index(rules: DataFrame, prefix: str = "airline_prefix") -> DataFrame:
+    """One row per prefix: starts and winners of its disjoint ranges, for ``enrich_by_rules``."""
+    ranges = F.array_sort(F.collect_list(F.struct("start", "rule")))
+    side = disjoint_rules(rules, prefix).groupBy(prefix).agg(ranges.alias("_ranges"))
+    return side.select(prefix, F.col("_ranges.start").alias("_starts"), F.col("_ranges.rule").alias("_rules"))
+
+
 def count_up_to(sorted_values: Column, x: Column) -> Column:
     """How many values of a sorted array are at most ``x``, by halving steps; null for a null ``x``."""
     steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda s: s <= F.size(sorted_values))
@@ -268,24 +275,19 @@ def enrich_by_rules(
     is shuffled by a range. ``policy="first"`` takes the first rule in rank order, found by
     binary search in disjoint ranges; ``"all"`` gives one output row per matching rule, and every
     rule of the prefix is tested. Without a ``rule_rank`` rules rank by their values.
+    With ``"first"``, ``rules`` can also be a stored ``rule_index``, which is then not built again.
     """
     if policy not in ("first", "all"):
         raise ValueError(f"unknown policy {policy!r}")
-    attributes = [
-        c
-        for c in rules.columns
-        if c not in (prefix, "min_flight_num", "max_flight_num") and c not in df.columns
-    ]
     n = F.col(number)
     if policy == "first":
-        side = disjoint_rules(rules, prefix).groupBy(prefix).agg(
-            F.array_sort(F.collect_list(F.struct("start", "rule"))).alias("_ranges")
-        )
-        side = side.select(prefix, F.col("_ranges.start").alias("_starts"), F.col("_ranges.rule").alias("_rules"))
+        side = rules if "_starts" in rules.columns else rule_index(rules, prefix)
         hit = F.get("_rules", count_up_to(F.col("_starts"), n) - 1)
     else:
         side = rules_by_prefix(rules, prefix)
         hit = F.explode_outer(F.filter("_rules", lambda r: n.between(r["min_flight_num"], r["max_flight_num"])))
+    fields = side.schema["_rules"].dataType.elementType.names
+    attributes = [c for c in fields if c not in ("min_flight_num", "max_flight_num") and c not in df.columns]
     joined = df.join(side, prefix, "left")
     out = joined.select(*df.columns, hit.alias("_rule")).select(
         *df.columns, *[F.col(f"_rule.{a}").alias(a) for a in attributes]

@@ -4,9 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import fill_unknown, with_both_ends
-from ..operators.lookup import enrich_by_rules, enrich_exact, with_callsign_parts
+from ..operators.lookup import enrich_by_rules, enrich_exact, rule_index, with_callsign_parts
 from ..sinks import write_stream
 from ..sources.payloads import parse_json, to_json_value
+from ..workspace import scratch_path
 
 CARRIER_AND_ROUTE = [
     "airline_name", "airline_iata", "airline_icao",
@@ -15,6 +16,13 @@ CARRIER_AND_ROUTE = [
 ]
 
 
+def _once(side: DataFrame) -> DataFrame:
+    """``side`` written and read again, so that micro-batches do not compute it anew."""
+    path = scratch_path(side.sparkSession, "rules")
+    side.coalesce(1).write.parquet(path)
+    return side.sparkSession.read.schema(side.schema).parquet(path)
+
+
 def enrich_flights(
     flights: DataFrame,
     routes: DataFrame,
@@ -38,6 +46,8 @@ def enrich_flights(
         side = routes.select(
             *rank, "airline_prefix", "min_flight_num", "max_flight_num", *CARRIER_AND_ROUTE
         )
+        if flights.isStreaming and policy == "first":
+            side = _once(rule_index(side))
         enriched = enrich_by_rules(parts, side, policy).drop("rule_rank")
     if not keep_unmatched:
         return with_both_ends(enriched)
