@@ -320,3 +320,23 @@ def test_serving_stream_takes_only_new_files(spark, sf_dir, tmp_path):
         direct = table.build(normalize_speed(layer))
         exact = [c for c in direct.columns if not c.startswith("avg")]
         assert rows_of(serving_table(spark, root, table).select(exact)) == rows_of(direct.select(exact))
+
+
+def test_late_reports_are_counted_by_hour(spark, tmp_path):
+    path, hour = str(tmp_path), 3600
+    batches = [
+        [("a", 5 * hour, 1, 1.0), ("b", 5 * hour + 9, 2, 1.0)],
+        [("a", 5 * hour - 1, 3, 1.0), ("a", 4 * hour, 4, 1.0), ("a", 6 * hour, 5, 1.0), (None, 1, 6, 1.0)],
+        [],
+        [("c", 6 * hour - 601, 7, 1.0), ("c", 6 * hour - 600, 8, 1.0), ("c", 9, 9, 1.0)],
+    ]
+    assert state.late_reports(spark, path).count() == 0
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # a repeated batch counts once
+            state.store_hours(spark.createDataFrame(rows, DDL), path, n, ties=("n",), late_after=600)
+    got = {tuple(r) for r in state.late_reports(spark, path).select("hour_start", "reports", "late").collect()}
+    assert got == {(5 * hour, 4, 1), (4 * hour, 2, 1), (6 * hour, 1, 0), (0, 1, 1)}
+    assert len(list((tmp_path / "_late").iterdir())) == 2
+    state.publish_hours(spark, path, ties=("n",), files_per_hour=1)
+    kept = spark.read.parquet(path)
+    assert "late_count" not in kept.columns and kept.agg({"position_count": "sum"}).first()[0] == 8

@@ -845,6 +845,11 @@ CHECKS = {
     "stream_latest_compacted": _LATEST.format(keys="icao24", extra=""),
     "stream_hourly_published": _HOURLY,
     "stream_hourly": _HOURLY,
+    "stream_late": """
+        select cast(floor(time / 3600) * 3600 as bigint) as hour_start, count(*) as reports,
+               cast(sum(case when event_id % 2 = 1 and time < newest - 600 then 1 else 0 end) as bigint) as late
+        from telemetry, (select max(time) as newest from telemetry where event_id % 2 = 0 and icao24 is not null)
+        where icao24 is not null group by 1""",
     "stream_serving": f"""
         select airline_name, count(icao24) as total_flights, {_SERVING_MEANS}
         from unified where airline_name is not null group by 1""",

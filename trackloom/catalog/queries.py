@@ -19,6 +19,7 @@ from ..sources.logs import read_logs
 from ..streaming.enrich import start_enrichment
 from ..streaming.serve import serving_table, start_serving, stored_states
 from ..streaming.state import (
+    late_reports,
     merge_state,
     publish_hours,
     read_state,
@@ -910,6 +911,22 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports and late reports per hour, of a stream that gets the odd reports after the even ones."""
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("reports", "snapshots", "checkpoint"))
+    reports = views.telemetry(spark, sf_dir)
+    for half in (0, 1):
+        reports.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(reports.schema).parquet(source)
+        _finish(
+            start_hourly_snapshots(
+                stream, out, checkpoint, available_now=True, ties=("event_id",), publish=False, late_after=600
+            )
+        )
+    return late_reports(spark, out)
+
+
 @query
 def stream_hourly_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, every micro-batch publishing the hours it touches."""

@@ -7,7 +7,7 @@ number of reports. Order is event time; the checkpoint carries the state over a
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import event_time
@@ -205,11 +205,14 @@ def hourly_snapshots(
     epoch: str = "time",
     ties: tuple[str, ...] = (),
     width: str = "1 hour",
+    late: Column | None = None,
 ) -> DataFrame:
     """Per object and hour of event time: its latest row, first and last time, count.
 
-    For a table, or one micro-batch: ``start_hourly_snapshots`` keeps them for a stream.
+    For a table, or one micro-batch: ``start_hourly_snapshots`` keeps them for a stream. With a condition
+    ``late`` also ``late_count``, the reports that meet it.
     """
+    lateness = {} if late is None else {"late_count": F.count_if(late)}
     timed = df.withColumn("_time", event_time(epoch))
     rest = [c for c in df.columns if c not in (key, epoch, *ties)]
     return (
@@ -220,6 +223,7 @@ def hourly_snapshots(
             F.min(epoch).alias("first_seen"),
             F.max(epoch).alias("last_seen"),
             F.count(F.lit(1)).alias("position_count"),
+            *[c.alias(n) for n, c in lateness.items()],
         )
         .select(
             F.unix_seconds("_hour.start").alias("hour_start"),
@@ -228,6 +232,7 @@ def hourly_snapshots(
             "first_seen",
             "last_seen",
             "position_count",
+            *lateness,
         )
     )
 
@@ -235,20 +240,77 @@ def hourly_snapshots(
 # Below a table of hours there are two hidden ones:
 #   _parts/batch=               snapshots of one micro-batch, until they are merged
 #   _merged/hour_start=/upto=   an hour with all batches up to that one
+#   _late/batch=                reports and late reports per hour, of all batches up to that one
 # The highest ``upto`` of an hour says which batches it holds, so it is the hour's manifest: rows of a
 # part count for an hour if their batch is behind it. An hour's folder appears as a whole when a
 # write is committed.
 
 
 def store_hours(
-    reports: DataFrame, path: str, batch: int, key: str = "icao24", epoch: str = "time", ties: tuple[str, ...] = ()
+    reports: DataFrame,
+    path: str,
+    batch: int,
+    key: str = "icao24",
+    epoch: str = "time",
+    ties: tuple[str, ...] = (),
+    late_after: int | None = None,
 ) -> None:
-    """Stores a batch's own hourly snapshots beside the hours; repeating it changes nothing."""
-    own, written = counted(hourly_snapshots(reports, key, epoch, ties))
+    """Stores a batch's own hourly snapshots beside the hours; repeating it changes nothing.
+
+    With ``late_after`` reports more than so many seconds behind the newest of earlier batches are
+    counted as late, from the same pass over the batch.
+    """
+    spark, late, before = reports.sparkSession, None, None
+    if late_after is not None:
+        before = _lateness(spark, path, int(batch))
+        mark = before.agg(F.max("newest")).first()[0] if before is not None else None
+        late = F.lit(False) if mark is None else F.col(epoch) < mark - late_after
+    own, written = counted(hourly_snapshots(reports, key, epoch, ties, late=late))
     target = f"{path}/_parts/batch={int(batch)}"
     own.sortWithinPartitions("hour_start").write.mode("overwrite").parquet(target)
     if not written.get["rows"]:
-        remove(reports.sparkSession, target)
+        remove(spark, target)
+    elif late is not None:
+        _add_lateness(spark, path, int(batch), spark.read.schema(own.schema).parquet(target), before)
+
+
+_LATE = "hour_start long, reports long, late long, newest long"
+
+
+def _lateness(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
+    """The counts of the last batch, or of the last one before ``below``."""
+    held = read_optional(spark, f"{path}/_late", f"{_LATE}, batch long")
+    if held is None:
+        return None
+    held = held if below is None else held.filter(F.col("batch") < below)
+    last = held.agg(F.max("batch")).first()[0]
+    return held.filter(F.col("batch") == F.lit(last)).drop("batch")
+
+
+def _add_lateness(spark: SparkSession, path: str, batch: int, own: DataFrame, before: DataFrame | None) -> None:
+    """Writes the counts up to ``batch`` and drops all older ones but the last, for a repeated batch."""
+    rows = own.groupBy("hour_start").agg(
+        F.sum("position_count").alias("reports"),
+        F.sum("late_count").alias("late"),
+        F.max("last_seen").cast("long").alias("newest"),
+    )
+    total = rows if before is None else rows.unionByName(before)
+    total = total.groupBy("hour_start").agg(
+        F.sum("reports").alias("reports"), F.sum("late").alias("late"), F.max("newest").alias("newest")
+    )
+    total.coalesce(1).write.mode("overwrite").parquet(f"{path}/_late/batch={batch}")
+    older = sorted((_number(f), f) for f in folders(spark, f"{path}/_late/batch=*") if _number(f) < batch)
+    remove(spark, *[f for _, f in older[:-1]])
+
+
+def late_reports(spark: SparkSession, path: str) -> DataFrame:
+    """(hour_start, reports, late) of the hours of a stream that was started with ``late_after``.
+
+    A late report changes an hour that readers may have taken as complete; it is merged all the same.
+    """
+    held = _lateness(spark, path)
+    held = spark.createDataFrame([], _LATE) if held is None else held
+    return held.drop("newest")
 
 
 def _parts(spark: SparkSession, path: str) -> DataFrame | None:
@@ -277,7 +339,7 @@ def hour_input(spark: SparkSession, path: str, hours: dict[int, int]) -> DataFra
     Waiting rows behind that batch, and the merged rows of those hours.
     """
     held = spark.createDataFrame(sorted(hours.items()), "hour_start long, upto long")
-    new = _parts(spark, path).join(held, "hour_start").filter(F.col("batch") > F.col("upto")).drop("batch", "upto")
+    new = _parts(spark, path).join(held, "hour_start").filter(F.col("batch") > F.col("upto")).drop("batch", "upto", "late_count")
     before = _merged(spark, path, {h: n for h, n in hours.items() if n >= 0})
     return new if before is None else new.unionByName(before)
 
@@ -342,6 +404,7 @@ def start_hourly_snapshots(
     epoch: str = "time",
     ties: tuple[str, ...] = (),
     publish: bool = True,
+    late_after: int | None = None,
 ):
     """Keeps ``year=/month=/day=/hour=`` folders up to date with every report.
 
@@ -349,11 +412,12 @@ def start_hourly_snapshots(
     and the last hour needs no later report to come out. A batch reads and rewrites the hours it
     touches and no others. The few rows of an hour (one per object) are spread over
     ``files_per_hour`` tasks. A backlog, whose batches touch all hours, is quicker read with
-    ``publish=False`` and one ``publish_hours`` at its end.
+    ``publish=False`` and one ``publish_hours`` at its end. ``late_after`` seconds behind the newest report of
+    earlier batches a report counts as late (``late_reports``).
     """
 
     def store(batch, batch_id):
-        store_hours(batch, path, batch_id, key, epoch, ties)
+        store_hours(batch, path, batch_id, key, epoch, ties, late_after)
         if publish:
             publish_hours(batch.sparkSession, path, key, epoch, ties, files_per_hour)
 
