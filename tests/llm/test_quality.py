@@ -1,3 +1,5 @@
+import os
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -54,3 +56,29 @@ def test_whole_text_counts(model):
     assert sizes.measure(good) != sizes.measure(good[: quality.BLOCK_BYTES])
     assert sizes.measure(None) == sizes.measure("") == (0.0, 0.0)
     assert isinstance(pd.Series([sizes.measure(good)[0]])[0], float)
+
+
+def test_scores_start_at_the_share_of_good_labels_and_move_with_length(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    share = quality.good_share(labels)
+    model = quality.fit(quality.sample(docs, labels, rows=500), share=share)
+    texts = [None, "", "a", "!!!!", "1234567890"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    out = frame.select(quality.score(F.col("text"), model).alias("p")).toPandas().p
+    assert out[:2].nunique() == 1 and (out - share).abs().max() < 0.1
+
+
+def test_calibration_by_length(spark, sf_dir):
+    sf_dir = f"{os.path.dirname(sf_dir)}/sf0.1"  # a third of the held-out rows of a smaller table is 32 texts
+    out = LLM_QUERIES["op1_quality"](spark, sf_dir).toPandas()
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").toPandas()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.length("text").alias("n")).toPandas()
+    held = out[out.held_out].merge(labels, on="doc_id").merge(docs, on="doc_id")
+    for _, part in held.groupby(pd.qcut(held.n, 3, duplicates="drop"), observed=True):
+        assert abs(part.score.mean() - part.quality.mean()) < 0.06
+
+
+def test_long_texts_are_learned_from(spark):
+    docs = spark.createDataFrame([(1, "word " * 50_000), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert sorted((len(t), q) for t, q, _ in quality.sample(docs, labels)) == [(0, 0), (250_000, 1)]

@@ -5,7 +5,11 @@ cut into blocks; each block is compressed with either dictionary, and the differ
 sizes, divided by their sum, says which dictionary explains the text better. Text that repeats
 itself is small under both, so the logarithm of the compressed share of the text is measured
 beside it. A logistic curve, fitted on labelled texts that were kept out of the dictionaries,
-turns the two into a probability.
+turns the two into a probability. Evidence grows with length: a text of n bytes has n / (n + 256) of it, the
+rest is the share of good labels, which null and empty texts get as it is unless labelled ones say otherwise.
+
+Defined results: repeated rows and equal texts score alike; an empty table gives no rows; long texts are
+measured whole; without labels every score is 0.5.
 """
 
 import math
@@ -20,11 +24,11 @@ from pyspark.sql import functions as F
 
 #: labelled documents sampled per class, chosen by a hash of their id
 SAMPLE_ROWS = 2_000
-#: longer texts are not sampled for fitting (they are scored like all others)
-SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 65_536
 BLOCK_BYTES = 2_048
 LEVEL = 3
+#: a text of so many bytes counts half of what a long one does
+HALF_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -36,7 +40,7 @@ class QualityModel:
 
     good: bytes | None
     bad: bytes | None
-    slopes: tuple[float, float] = (0.0, 0.0)
+    slopes: tuple[float, float, float] = (0.0, 0.0, 0.0)
     intercept: float = 0.0
     block_bytes: int = BLOCK_BYTES
     level: int = LEVEL
@@ -84,42 +88,62 @@ class _Sizes:
         )
         return (bad - good) / (bad + good), min(0.0, math.log(good / len(data)))
 
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """The two measures and 1, each times the weight of the text's length."""
+        size = len(text.encode("utf-8", "replace")) if text and self.coders else 0
+        weight = size / (size + HALF_BYTES)
+        difference, share = self.measure(text)
+        return weight * difference, weight * share, weight
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, prior: float) -> tuple[tuple[float, ...], float]:
+    """Slopes and intercept by Newton steps; weights ``rows`` of the rows.
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
-    """Slopes and intercept by Newton steps, with a weak pull of the slopes towards 0."""
+    Slopes are pulled weakly towards 0, the intercept by one row's worth towards ``prior``.
+    """
     scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
     a = np.column_stack([x / scale, np.ones(len(x))])
-    w, ridge = np.zeros(a.shape[1]), np.array([1e-3] * x.shape[1] + [1e-6])
+    w, ridge = np.zeros(a.shape[1]), np.array([1e-3] * x.shape[1] + [1.0])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge + 1e-9), a.T @ (y - p) - ridge * w)
+        p = 1 / (1 + np.exp(-np.clip(a @ w + prior, -30, 30)))
+        curve = (a * (rows * p * (1 - p))[:, None]).T @ a + np.diag(ridge + 1e-9)
+        step = np.linalg.solve(curve, a.T @ (rows * (y - p)) - ridge * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return tuple(float(v) for v in w[:-1] / scale), float(w[-1])
-
+    return tuple(float(v) for v in w[:-1] / scale), float(w[-1] + prior)
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple]:
-    """(text, quality, part) of at most ``rows`` documents per class, part 0 or 1.
 
-    Ids are chosen by a hash, so the sample does not depend on partitioning. Ids with labels of
-    both classes, and null labels, are left out. Only the chosen ids (at most ``2 * rows``) are
-    broadcast to the documents.
-    """
-    ids = (
+def agreed(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality) of ids whose labels agree; null labels and null ids are left out."""
+    return (
         labels.where("doc_id is not null and quality in (0, 1)")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
         .where("quality = other")
-        .select("doc_id", "quality", F.xxhash64(F.lit("quality"), "doc_id").alias("h"))
+        .select("doc_id", "quality")
     )
+
+
+def good_share(labels: DataFrame) -> float | None:
+    """Share of good ones among all agreed labels; None without any."""
+    return agreed(labels).agg(F.avg("quality")).first()[0]
+
+
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple]:
+    """(whole text, quality, part) of at most ``rows`` documents per class, part 0 or 1.
+
+    Ids are chosen by a hash, so the sample does not depend on partitioning. Ids with labels of
+    both classes, and null labels, are left out. Only the chosen ids (at most ``2 * rows``) are
+    broadcast to the documents.
+    """
+    ids = agreed(labels).withColumn("h", F.xxhash64(F.lit("quality"), "doc_id"))
     chosen = None
     for q in (0, 1):
         part = ids.where(F.col("quality") == q).orderBy("h", "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     found = (
-        docs.where(F.length("text").between(1, chars))
-        .select("doc_id", "text")
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .orderBy("h", "doc_id", "text")
         .limit(4 * rows)
@@ -127,29 +151,35 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: i
     return [(r.text, r.quality, r.h & 1) for r in found.collect()]
 
 
-def fit(rows: list[tuple], dictionary_bytes: int = DICTIONARY_BYTES) -> QualityModel:
-    """Part 0 makes the dictionaries, part 1 the calibration. No rows: every score is 0.5."""
+def fit(rows: list[tuple], dictionary_bytes: int = DICTIONARY_BYTES, share: float | None = None) -> QualityModel:
+    """Part 0 makes the dictionaries, part 1 the calibration. No rows: every score is 0.5.
+
+    ``share`` is the share of good labels in the corpus (default: in the rows); rows of either class are
+    weighted to it, as the sample holds as many of both.
+    """
     texts = {(q, p): [t.encode() for t, q2, p2 in rows if (q2, p2) == (q, p)] for q in (0, 1) for p in (0, 1)}
     good = _dictionary(texts[1, 0], dictionary_bytes, BLOCK_BYTES)
     bad = _dictionary(texts[0, 0], dictionary_bytes, BLOCK_BYTES)
     sizes = _Sizes(QualityModel(good, bad))
-    held = [(sizes.measure(t), q) for t, q, p in rows if p == 1]
+    held = [(sizes.features(t), q) for t, q, p in rows if p == 1]
     if not held:
         return QualityModel(good, bad)
     x, y = (np.array(v, dtype=float) for v in zip(*held))
     if len(set(y)) == 1:
         return QualityModel(None, None, intercept=3.0 if y[0] else -3.0)
-    return QualityModel(good, bad, *_logistic(x, y))
+    share = y.mean() if share is None else min(max(share, 0.01), 0.99)
+    weights = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    return QualityModel(good, bad, *_logistic(x, y, weights, math.log(share / (1 - share))))
 
 
 def score(text: Column, model: QualityModel) -> Column:
-    """Probability of a good label for the whole text; null and empty texts get the intercept's."""
+    """Probability of a good label for the whole text; null and empty texts get the intercept's, near the share."""
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         sizes = _Sizes(model)
         for texts in batches:
-            x = np.array([sizes.measure(t) for t in texts], dtype=float).reshape(len(texts), 2)
+            x = np.array([sizes.features(t) for t in texts], dtype=float).reshape(len(texts), 3)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.slopes) + model.intercept, -30, 30))))
 
     return scored(text)

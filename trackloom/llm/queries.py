@@ -38,7 +38,8 @@ def ranks_file(folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken") ->
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.QualityModel:
     """Fitted on the given labels of documents outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.fit(quality.sample(docs, labels.where(~is_held_out(F.col("doc_id")))))
+    learned = labels.where(~is_held_out(F.col("doc_id")))
+    return quality.fit(quality.sample(docs, learned), share=quality.good_share(learned))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
