@@ -231,52 +231,68 @@ def nearest(
     asked = asked.select("id", "v", "buckets", "group", block.alias("block"), every("parts").alias("part"))
     index = index.join(sizes, "group").select("id", "v", "buckets", "group", part.alias("part"), every("blocks").alias("block"))
 
-    def closest(ids: np.ndarray, x: np.ndarray, near: np.ndarray, q: int, v: np.ndarray, found: np.ndarray) -> pd.DataFrame:
-        """The best ``k`` of the rows ``found``; ``near`` are all in single precision, over their largest norm."""
+    def closest(ids: np.ndarray, x: np.ndarray, v: np.ndarray, found: np.ndarray, rough: np.ndarray) -> tuple:
+        """Ids and scores of the best ``k`` rows ``found``; ``rough`` are their scores in single precision."""
         if len(found) > k:
             # single precision leaves out what cannot be among the best; the rest is exact
-            rough = near[found] @ unit(v[None])[0][0].astype(np.float32)
             found = found[rough >= np.partition(rough, -k)[-k] - 1e-4]
         with np.errstate(over="ignore", invalid="ignore"):
             score = x[found] @ v
         best = np.lexsort((ids[found], -score))[:k]
-        return pd.DataFrame({"query_id": q, "vec_id": ids[found[best]], "score": score[best]})
+        return ids[found[best]], score[best]
+
+    def frame(queries: list, best: list) -> pd.DataFrame:
+        if not best:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        near, score = (np.concatenate(part) for part in zip(*best))
+        return pd.DataFrame({"query_id": np.repeat(queries, [len(i) for i, _ in best]), "vec_id": near, "score": score})
 
     def over_largest(x: np.ndarray) -> np.ndarray:
         direction, length = unit(x)
         return (direction * np.exp(length - length.max())[:, None]).astype(np.float32)
 
     def rank(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         if not len(entries) or not len(queries):
-            return empty
+            return frame([], [])
         x, ids = np.vstack(entries["v"].to_numpy()), entries["id"].to_numpy()
         near = over_largest(x)
         per = entries["buckets"].map(len).to_numpy()
         bucket, owner = np.concatenate(entries["buckets"].to_numpy()), np.repeat(np.arange(len(x)), per)
         order = np.argsort(bucket, kind="stable")
-        bucket, owner = bucket[order], owner[order]
-        out = []
-        for q, v, visits in zip(queries["id"], queries["v"], queries["buckets"]):
-            a, b = np.searchsorted(bucket, visits, "left"), np.searchsorted(bucket, visits, "right")
-            size = b - a
-            if not size.sum():
-                continue
-            at = np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())
-            marked = ids != q
-            seen = np.zeros(len(x), dtype=bool)
-            seen[owner[at]] = True
-            out.append(closest(ids, x, near, q, v, np.flatnonzero(seen & marked)))
-        return pd.concat(out) if out else empty
+        owner = owner[order]
+        bucket, start, count = np.unique(bucket[order], return_index=True, return_counts=True)
+        asked, best = [], []
+        for at in range(0, len(queries), 64):
+            part = queries.iloc[at : at + 64]
+            v = np.vstack(part["v"].to_numpy())
+            direction = unit(v)[0].astype(np.float32)
+            reached = []
+            for q, visits in zip(part["id"], part["buckets"]):
+                place = np.minimum(np.searchsorted(bucket, visits), len(bucket) - 1)
+                place = place[bucket[place] == visits]
+                a, size = start[place], count[place]
+                seen = np.zeros(len(x), dtype=bool)
+                seen[owner[np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())]] = True
+                found = np.flatnonzero(seen)
+                reached.append(found[ids[found] != q])
+            # where most rows are candidates, one product for all queries is cheaper than gathering rows
+            dense = sum(map(len, reached)) * 4 > len(x) * len(part)
+            scores = direction @ near.T if dense else None
+            for i, (q, found) in enumerate(zip(part["id"], reached)):
+                rough = scores[i, found] if dense else near[found] @ direction[i]
+                asked.append(q)
+                best.append(closest(ids, x, v[i], found, rough))
+        return frame(asked, best)
 
     def scan(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(entries) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return frame([], [])
         x, ids = np.vstack(entries["v"].to_numpy()), entries["id"].to_numpy()
-        near = over_largest(x)
-        return pd.concat(
-            closest(ids, x, near, q, v, np.flatnonzero(ids != q)) for q, v in zip(queries["id"], queries["v"])
-        )
+        near, best = over_largest(x), []
+        for q, v in zip(queries["id"], queries["v"]):
+            found = np.flatnonzero(ids != q)
+            best.append(closest(ids, x, v, found, near[found] @ unit(v[None])[0][0].astype(np.float32)))
+        return frame(queries["id"].tolist(), best)
 
     pairs = "query_id long, vec_id long, score double"
     keys = ["group", "part", "block"]
