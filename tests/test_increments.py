@@ -124,3 +124,28 @@ def test_partials_are_reduced_before_the_shuffle(spark, sf_dir, tmp_path):
     text = plan(increments.flight_partials(gold))
     assert [k for _, k in heavy_aggregates(text)] == ["HashAggregate", "HashAggregate"]
     assert "Window" not in plan(star.fact_flight_history(gold))
+
+
+def test_a_backlog_is_merged_once_and_a_broken_merge_made_up_for(spark, sf_dir, tmp_path, monkeypatch):
+    from trackloom.plans import star as plan
+
+    gold = gold_of(spark, sf_dir, str(tmp_path / "gold"))
+    star_job(spark, str(tmp_path / "gold"), str(tmp_path / "whole"))
+    root, merged, refresh = str(tmp_path / "star"), [], plan._refresh
+
+    def broken(spark, path, layouts, months, tables):
+        merged.append(list(months))
+        if len(merged) == 1:
+            raise RuntimeError("lost on the way")
+        refresh(spark, path, layouts, months, tables)
+
+    monkeypatch.setattr(plan, "_refresh", broken)
+    for batch, kept in (("a", "event_id % 2 = 0"), ("b", "event_id % 2 = 1"), ("a", "event_id % 2 = 0")):
+        star_load(spark, gold.filter(kept), root, batch, refresh=False)
+    assert merged == []
+    with pytest.raises(RuntimeError):
+        plan.refresh_star(spark, gold, root)
+    assert plan.refresh_star(spark, gold, root) == len(merged[0]) >= 1
+    assert merged[1] == merged[0] and plan.refresh_star(spark, gold, root) == 0
+    for table in STAR_TABLES:
+        assert rows_of(read_star(spark, root, table)) == rows_of(spark.read.parquet(str(tmp_path / "whole" / table))), table

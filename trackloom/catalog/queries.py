@@ -12,7 +12,7 @@ from ..plans.layers import bronze_job, gold_job, mapping_job, silver_job
 from ..plans.live import live_job
 from ..plans.ops import ops_job
 from ..plans.serving import serving_job
-from ..plans.star import read_star, star_job, star_load
+from ..plans.star import read_star, refresh_star, star_job, star_load
 from ..sinks import export_csv, put, upsert_ledger, write_partitioned, write_tar_csv
 from ..sources import dims, files, payloads
 from ..sources.logs import read_logs
@@ -1090,13 +1090,14 @@ def serving_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_loads(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A star table from two loads whose reports alternate in time, the first one loaded twice."""
+    """A star table from a backlog of two loads whose reports alternate in time, the first one loaded twice."""
     gold, star_path = scratch_path(spark, "gold"), scratch_path(spark, "star")
     write_partitioned(views.silver(spark, sf_dir), gold)
     reports = spark.read.parquet(gold)
     first = F.col("event_id") % 3 == 0
     for batch, kept in (("2024-01-01", first), ("2024-01-02", ~first), ("2024-01-01", first)):
-        star_load(spark, reports.filter(kept), star_path, batch, [table])
+        star_load(spark, reports.filter(kept), star_path, batch, [table], refresh=False)
+    refresh_star(spark, reports, star_path, [table])
     return read_star(spark, star_path, table)
 
 

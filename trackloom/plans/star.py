@@ -16,7 +16,7 @@ from ..operators.star import (
     dim_route_analytics,
     fact_flight_history,
 )
-from ..sinks import counted, replace_batch, write_partitioned
+from ..sinks import counted, folders, put, remove, replace_batch, write_partitioned
 from ..sources.files import read_optional
 from ..sources.jdbc import write_jdbc
 
@@ -77,11 +77,14 @@ _PARTIALS = {
 }
 
 
+_CODES = "value string, code long"
+
+
 def _grown(spark: SparkSession, path: str, values: DataFrame) -> DataFrame:
     """The dictionary at ``path`` with codes for all ``values``. Codes once given stay."""
-    known = read_optional(spark, path, "value string, code long")
+    known = read_optional(spark, path, _CODES)
     new_codes(values, known).write.mode("append").parquet(path)
-    return spark.read.schema("value string, code long").parquet(path)
+    return spark.read.schema(_CODES).parquet(path)
 
 
 def _months(parts: DataFrame) -> set[str]:
@@ -94,27 +97,21 @@ def star_load(
     star_path: str,
     batch: str,
     tables: Sequence[str] = STAR_TABLES,
+    refresh: bool = True,
 ) -> dict[str, int]:
     """Takes the reports of one load into the star tables; earlier loads are not read again.
 
     The load's partial rows are stored under its id, and the months that they touch are merged
     anew from the partial rows of all loads. A load that is repeated under its id replaces its
     own rows and nothing else; reports may come in any order and any late. ``read_star`` reads
-    the tables. Returns the months that were merged, and the reports of the load if they are
+    the tables. Returns the months that the load touches, and its reports if they are
     stored; one load runs at a time. Months, of which there are few, are the only values that
-    pass the driver.
+    pass the driver. A backlog of loads that touch the same months is quicker taken in with
+    ``refresh=False`` and one ``refresh_star`` at its end: the months are marked and merged once.
     """
     root = f"{star_path}/_partials"
-    frames = {
-        "flights": increments.flight_partials(gold),
-        "details": increments.detail_partials(gold),
-        "tracks": increments.track_partials(gold),
-        "aircraft": increments.aircraft_partials(gold),
-    }
-    if "dim_airspace_heatmap" in tables:
-        aircraft = _grown(spark, f"{star_path}/_codes/icao24", gold.select(F.col("icao24").alias("value")))
-        frames["cells"] = increments.cell_partials(gold, aircraft)
-    wanted = sorted({p for t in tables for p in _PARTIALS[t]})
+    frames = _frames(spark, gold, star_path, tables)
+    wanted = _wanted(tables)
     layouts = {name: frames[name].schema.add("batch", "string") for name in wanted}
     mine = F.col("batch") == batch
     touched: set[str] = set()
@@ -122,19 +119,74 @@ def star_load(
         path = f"{root}/{name}"
         before = read_optional(spark, path, layouts[name])
         if before is not None:
-            touched |= _months(before.filter(mine))
+            touched |= _mark(spark, star_path, tables, _months(before.filter(mine)))
         replace_batch(frames[name], path, batch, ("month",))
-        touched |= _months(spark.read.schema(layouts[name]).parquet(path).filter(mine))
+        touched |= _mark(spark, star_path, tables, _months(spark.read.schema(layouts[name]).parquet(path).filter(mine)))
     figures = {"months": len(touched)}
     if "raw_telemetry" in tables:
         load, written = counted(telemetry_projection(gold))
         replace_batch(load, f"{star_path}/raw_telemetry", batch)
         figures["records"] = written.get["rows"]
-    if touched:
-        _refresh(spark, star_path, layouts, sorted(touched), tables)
+    if refresh:
+        refresh_star(spark, gold, star_path, tables)
     return figures
 
 
+def refresh_star(spark: SparkSession, gold: DataFrame, star_path: str, tables: Sequence[str] = STAR_TABLES) -> int:
+    """Merges anew the months that loads touched since they were last merged; returns their number.
+
+    ``gold`` gives the columns of the reports; its rows are not read. A month stays marked until its
+    tables are written, so a run that breaks off is made up for by the next one.
+    """
+    layouts = {name: f.schema.add("batch", "string") for name, f in _frames(spark, gold, star_path, tables, grow=False).items()}
+    layouts = {name: layouts[name] for name in _wanted(tables)}
+    marks = _marks(spark, star_path, tables)
+    months = sorted({m.rsplit("/", 1)[1] for m in marks})
+    if months:
+        _refresh(spark, star_path, layouts, months, tables)
+        remove(spark, *marks)
+    return len(months)
+
+
+def _wanted(tables: Sequence[str]) -> list[str]:
+    return sorted({p for t in tables for p in _PARTIALS[t]})
+
+
+def _frames(
+    spark: SparkSession, gold: DataFrame, star_path: str, tables: Sequence[str], grow: bool = True
+) -> dict[str, DataFrame]:
+    """The partial rows of a load; without ``grow`` only their columns are meant."""
+    frames = {
+        "flights": increments.flight_partials(gold),
+        "details": increments.detail_partials(gold),
+        "tracks": increments.track_partials(gold),
+        "aircraft": increments.aircraft_partials(gold),
+    }
+    if "dim_airspace_heatmap" in tables:
+        path = f"{star_path}/_codes/icao24"
+        aircraft = (
+            _grown(spark, path, gold.select(F.col("icao24").alias("value")))
+            if grow
+            else spark.read.schema(_CODES).parquet(path)
+        )
+        frames["cells"] = increments.cell_partials(gold, aircraft)
+    return frames
+
+
+# a month that waits to be merged has an empty file _stale/<table>/<month>
+
+
+def _mark(spark: SparkSession, star_path: str, tables: Sequence[str], months: set[str]) -> set[str]:
+    for table in tables:
+        for month in months:
+            put(spark, f"{star_path}/_stale/{table}/{month}", b"")
+    return months
+
+
+def _marks(spark: SparkSession, star_path: str, tables: Sequence[str]) -> list[str]:
+    return [m for table in tables for m in folders(spark, f"{star_path}/_stale/{table}/*")]
+
+
 def _refresh(
     spark: SparkSession, star_path: str, layouts: dict[str, StructType], months: Sequence[str], tables: Sequence[str]
 ) -> None:
