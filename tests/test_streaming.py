@@ -340,3 +340,12 @@ def test_late_reports_are_counted_by_hour(spark, tmp_path):
     state.publish_hours(spark, path, ties=("n",), files_per_hour=1)
     kept = spark.read.parquet(path)
     assert "late_count" not in kept.columns and kept.agg({"position_count": "sum"}).first()[0] == 8
+
+
+def test_versions_of_many_hours_take_one_listing(spark, tmp_path, monkeypatch):
+    for hour, upto in ((0, 3), (0, 12), (3600, 12), (7200, 5), (-3600, 1)):
+        (tmp_path / "_merged" / f"hour_start={hour}" / f"upto={upto}").mkdir(parents=True)
+    calls, listed = [], state.folders
+    monkeypatch.setattr(state, "folders", lambda *a: calls.append(a) or listed(*a))
+    assert state._versions(spark, str(tmp_path), [0, 3600, -3600, 9000]) == {0: [-1, 3, 12], 3600: [-1, 12], -3600: [-1, 1], 9000: [-1]}
+    assert len(calls) == 1

@@ -53,10 +53,11 @@ def write_partitioned(
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
-    """Deletes folders with all they hold; one that is not there is no error."""
+    """Deletes folders of one store with all they hold; one that is not there is no error."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    store = new(paths[0]).getFileSystem(spark._jsc.hadoopConfiguration()) if paths else None
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        store.delete(new(path), True)
 
 
 def put(spark: SparkSession, path: str, data: bytes) -> None:
