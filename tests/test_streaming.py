@@ -349,3 +349,16 @@ def test_versions_of_many_hours_take_one_listing(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(state, "folders", lambda *a: calls.append(a) or listed(*a))
     assert state._versions(spark, str(tmp_path), [0, 3600, -3600, 9000]) == {0: [-1, 3, 12], 3600: [-1, 12], -3600: [-1, 1], 9000: [-1]}
     assert len(calls) == 1
+
+
+def test_a_dropped_report_is_looked_up_once(spark):
+    """A filter on both ends of a route would otherwise repeat the search for the rule."""
+    from test_plans import plan
+
+    from trackloom.operators import filters, lookup
+    from trackloom.sources import dims
+
+    rows = spark.createDataFrame([("IGO", 101), ("ZZZ", 5), (None, None)], "airline_prefix string, flight_number int").repartition(2)
+    index = lookup.rule_index(dims.route_rules(spark))
+    known = filters.with_both_ends(lookup.enrich_by_rules(rows, index, keep_unmatched=False))
+    assert plan(known).count("aggregate(") == plan(lookup.enrich_by_rules(rows, index)).count("aggregate(")

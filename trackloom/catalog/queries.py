@@ -1006,7 +1006,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     paths = {n: scratch_path(spark, n) for n in ("silver", "speed", "gold", "once", "star", "serving")}
     write_partitioned(views.silver(spark, sf_dir).drop("event_id"), paths["silver"])
     hours = ("year", "month", "day", "hour")
-    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), paths["speed"], by=hours)
+    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), paths["speed"], by=hours, cluster=True)
     return paths
 
 
@@ -1075,7 +1075,7 @@ def serving_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(silver.filter(early), p["silver"])
     serving_job(spark, p["silver"], p["speed"], p["root"], first)
     write_partitioned(silver.filter(~early), p["silver"])
-    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), p["speed"], by=hours)
+    write_partitioned(views.speed_layer(spark, sf_dir).drop("event_id"), p["speed"], by=hours, cluster=True)
     serving_job(spark, p["silver"], p["speed"], p["root"], "second")
     serving_job(spark, p["silver"], p["speed"], p["root"], first)
     ledger = spark.read.parquet(f"{p['root']}/ledger")

@@ -252,13 +252,14 @@ def rule_index(rules: DataFrame, prefix: str = "airline_prefix") -> DataFrame:
 
 def count_up_to(sorted_values: Column, x: Column) -> Column:
     """How many values of a sorted array are at most ``x``, by halving steps; null for a null ``x``."""
-    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda s: s <= F.size(sorted_values))
-    return F.aggregate(
-        F.when(x.isNotNull() & sorted_values.isNotNull(), steps),
-        F.lit(0),
-        lambda at, s: at
-        + F.when((at + s <= F.size(sorted_values)) & (F.get(sorted_values, at + s - 1) <= x), s).otherwise(0),
-    )
+    highest = F.length(F.bin(F.greatest(F.size(sorted_values), F.lit(0)))) - 1
+
+    def step(at: Column, k: Column) -> Column:
+        end = at + F.call_function("shiftleft", F.lit(1), k)
+        return F.when((end <= F.size(sorted_values)) & (F.get(sorted_values, end - 1) <= x), end).otherwise(at)
+
+    steps = F.sequence(highest, F.lit(0), F.lit(-1))
+    return F.aggregate(F.when(x.isNotNull() & sorted_values.isNotNull(), steps), F.lit(0), step)
 
 
 def enrich_by_rules(
@@ -283,6 +284,8 @@ def enrich_by_rules(
     if policy == "first":
         side = rules if "_starts" in rules.columns else rule_index(rules, prefix)
         hit = F.get("_rules", count_up_to(F.col("_starts"), n) - 1)
+        if not keep_unmatched:  # as a generated row the rule is not looked up again by the filter on its ends
+            hit = F.explode(F.array(hit))
     else:
         side = rules_by_prefix(rules, prefix)
         hit = F.explode_outer(F.filter("_rules", lambda r: n.between(r["min_flight_num"], r["max_flight_num"])))

@@ -48,7 +48,7 @@ def enrich_flights(
         )
         if flights.isStreaming and policy == "first":
             side = _once(rule_index(side))
-        enriched = enrich_by_rules(parts, side, policy).drop("rule_rank")
+        enriched = enrich_by_rules(parts, side, policy, keep_unmatched=keep_unmatched).drop("rule_rank")
     if not keep_unmatched:
         return with_both_ends(enriched)
     return fill_unknown(enriched) if fill else enriched
