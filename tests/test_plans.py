@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackloom.catalog import views
 from trackloom.catalog.queries import QUERIES
 from trackloom.operators import filters, live, lookup, sites, star, tracks
+from trackloom.operators.merge import merge_unified
 from trackloom.sources import dims, files
 
 STREAMS_AND_FILES = {n for n in QUERIES if n.startswith(("scan_", "stream_", "bronze_", "silver_"))} | {
@@ -145,3 +146,44 @@ def test_listing_does_not_read_contents(spark, tmp_path):
     (tmp_path / "a.bin").write_text("x")
     text = plan(files.list_files(spark, str(tmp_path)))
     assert "content" not in re.search(r"ReadSchema: (.*)", text).group(1)
+
+
+class _Reached(Exception):
+    pass
+
+
+def stream_source(monkeypatch, spark, sf_dir, name):
+    """The rows that a query stores as the files of its stream."""
+    seen = []
+
+    def reach(_, df, *__):
+        seen.append(df)
+        raise _Reached
+
+    monkeypatch.setattr("trackloom.catalog.queries._as_stream", reach)
+    with pytest.raises(_Reached):
+        QUERIES[name](spark, sf_dir)
+    return seen[0]
+
+
+@pytest.mark.parametrize("name", ["stream_enrich", "stream_latest", "live_tables", "stream_serving"])
+def test_stream_files_are_dealt_without_a_sort(monkeypatch, spark, sf_dir, name):
+    text = plan(stream_source(monkeypatch, spark, sf_dir, name))
+    assert "RoundRobinPartitioning" not in text and "xxhash64" in text
+
+
+def test_serving_stream_shuffles_no_report_for_its_route(monkeypatch, spark, sf_dir):
+    # a bound between the bytes of the mapping and those of the history that it comes from
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        source = stream_source(monkeypatch, spark, sf_dir, "stream_serving")
+        text = plan(source)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2
+    # every state, with what the unified layout of the whole query has, in files of much the same size
+    whole = merge_unified(views.silver(spark, sf_dir), views.speed_layer(spark, sf_dir))
+    assert source.exceptAll(whole).count() == 0 and whole.exceptAll(source).count() == 0
+    sizes = [r[0] for r in source.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * min(sizes)

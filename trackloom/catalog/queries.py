@@ -832,6 +832,11 @@ def _as_stream(spark: SparkSession, df: DataFrame, label: str, files_per_batch:
     return reader.parquet(path)
 
 
+def _dealt(df: DataFrame, files: int) -> DataFrame:
+    """The rows in so many parts by a hash of the whole row; dealt in turn, Spark sorts every task's rows first."""
+    return df.repartition(files, F.xxhash64(*df.columns))
+
+
 def _finish(stream_query) -> None:
     stream_query.awaitTermination()
 
@@ -843,7 +848,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "enriched")
     _finish(
         start_enrichment(
-            _as_stream(spark, messages.repartition(8), "messages", 3),
+            _as_stream(spark, _dealt(messages, 8), "messages", 3),
             dims.route_rules(spark),
             "parquet",
             scratch_path(spark, "checkpoint"),
@@ -863,7 +868,7 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "state")
     _finish(
         start_accumulation(
-            _as_stream(spark, views.telemetry(spark, sf_dir).repartition(8), "reports", 3),
+            _as_stream(spark, _dealt(views.telemetry(spark, sf_dir), 8), "reports", 3),
             out,
             scratch_path(spark, "checkpoint"),
             ties=("event_id",),
@@ -879,7 +884,7 @@ def stream_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out, checkpoint = (scratch_path(spark, n) for n in ("reports", "state", "checkpoint"))
     reports = views.telemetry(spark, sf_dir)
     for half in (0, 1):
-        reports.filter(F.col("event_id") % 2 == half).repartition(6).write.mode("append").parquet(source)
+        _dealt(reports.filter(F.col("event_id") % 2 == half), 6).write.mode("append").parquet(source)
         stream = spark.readStream.schema(reports.schema).option("maxFilesPerTrigger", 1).parquet(source)
         _finish(
             start_accumulation(
@@ -952,7 +957,7 @@ def live_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = payloads.to_json_value(views.live(spark, sf_dir).drop("event_id", "sensors"))
     p = {n: scratch_path(spark, n) for n in ("checkpoint", "enriched", "state", "hours")}
     started = live_job(
-        _as_stream(spark, messages.repartition(4), "messages", 4), dims.route_rules(spark), p["checkpoint"],
+        _as_stream(spark, _dealt(messages, 4), "messages", 4), dims.route_rules(spark), p["checkpoint"],
         "parquet", {"path": p["enriched"]}, state_path=p["state"], snapshot_path=p["hours"], available_now=True,
     )
     for stream_query in started.values():
@@ -970,11 +975,17 @@ def live_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carrier statistics merged from the partial rows of several batches."""
-    root = scratch_path(spark, "serving")
+    """Carrier statistics merged from the partial rows of several batches.
+
+    The mapping is stored first, as by its job, so that its bytes are known and no report is shuffled for it.
+    """
+    root, routes = scratch_path(spark, "serving"), scratch_path(spark, "mapping")
+    views.mapping(spark, sf_dir).write.parquet(routes)
+    silver = views.silver(spark, sf_dir, spark.read.parquet(routes))
+    states = merge.merge_unified(silver, views.speed_layer(spark, sf_dir))
     _finish(
         start_serving(
-            _as_stream(spark, _unified(spark, sf_dir).repartition(8), "states", 3),
+            _as_stream(spark, _dealt(states, 8), "states", 3),
             root,
             scratch_path(spark, "checkpoint"),
         )

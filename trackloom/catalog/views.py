@@ -125,10 +125,10 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mapping(history(spark, sf_dir))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch reports with dates and routes."""
+def silver(spark: SparkSession, sf_dir: str, routes: DataFrame | None = None) -> DataFrame:
+    """Batch reports with dates and routes; ``routes`` is the mapping if it is stored already."""
     states = with_date_parts(telemetry(spark, sf_dir))
-    return enrich_routes(states, mapping(spark, sf_dir))
+    return enrich_routes(states, mapping(spark, sf_dir) if routes is None else routes)
 
 
 def speed(spark: SparkSession, sf_dir: str) -> DataFrame:
